@@ -1,0 +1,235 @@
+"""Cluster description, density clustering and vector queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from noticelens.fixed_values import NO_KEYWORDS, STOP_WORDS
+from noticelens.operators import density, encoders, keywords, vectors
+from noticelens.plans import inputs as i
+from noticelens.plans.registry import query
+from noticelens.session import shared_path
+from noticelens.sources.tables import read_sheet, write_book
+
+SQL_STOP = "(" + ", ".join(i.sql_text(w) for w in STOP_WORDS) + ")"
+SQL_TFIDF = rf"""{i.SQL_CLUSTERED},
+    tok AS (
+      SELECT cluster_id AS c, doc_id AS d,
+             unnest(regexp_extract_all(lower(text), '([\p{{L}}\p{{N}}_]{{2,}})', 1)) AS term
+      FROM clustered WHERE text IS NOT NULL),
+    tf AS (SELECT c, d, term, count(*) AS tf FROM tok WHERE term NOT IN {SQL_STOP} GROUP BY c, d, term),
+    sizes AS (SELECT cluster_id AS c, count(*) AS n FROM clustered WHERE text IS NOT NULL GROUP BY cluster_id),
+    voc AS (
+      SELECT c, term, count(*) AS df, row_number() OVER (PARTITION BY c ORDER BY sum(tf) DESC, term) AS r
+      FROM tf GROUP BY c, term),
+    idf AS (
+      SELECT voc.c, term, ln((1 + n) / (1 + df)) + 1 AS idf FROM voc JOIN sizes ON sizes.c = voc.c
+      WHERE r <= 2000),
+    w AS (
+      SELECT tf.c, tf.d, tf.term, tf * idf AS w,
+             sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY tf.c, tf.d)) AS norm
+      FROM tf JOIN idf ON idf.c = tf.c AND idf.term = tf.term),
+    scored AS (SELECT c, term, round(sum(w / norm), 6) AS score FROM w GROUP BY c, term),
+    ranked AS (
+      SELECT c AS cluster_id, CAST(row_number() OVER (PARTITION BY c ORDER BY score DESC, term) AS INTEGER)
+             AS rank, term, score FROM scored)"""
+
+
+@query(
+    "cluster_keywords",
+    f"WITH {SQL_TFIDF} SELECT cluster_id, rank, term, score FROM ranked WHERE rank <= 20",
+)
+def cluster_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.cluster_keywords(i.clustered(spark, sf_dir), "cluster_id", "doc_id", "text")
+
+
+SQL_SAMPLED = """sampled AS (
+      SELECT cluster_id, doc_id, text, CAST(row_number() OVER (
+               PARTITION BY cluster_id ORDER BY md5('42:' || doc_id), doc_id) AS INTEGER) AS rank
+      FROM clustered)"""
+
+
+@query(
+    "cluster_samples",
+    f"""WITH {i.SQL_CLUSTERED}, {SQL_SAMPLED}
+    SELECT 'sample' AS kind, cluster_id, rank, doc_id, text FROM sampled WHERE rank <= 30
+    UNION ALL
+    SELECT 'head', cluster_id, rank, doc_id, text FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) AS INTEGER) AS rank
+      FROM clustered WHERE cluster_id <> -1) WHERE rank <= 5""",
+)
+def cluster_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = i.clustered(spark, sf_dir)
+    samples = keywords.cluster_samples(rows, "cluster_id", "doc_id", "text")
+    heads = keywords.cluster_heads(rows, "cluster_id", "doc_id")
+    return samples.withColumn("kind", F.lit("sample")).unionByName(
+        heads.withColumn("kind", F.lit("head"))
+    )
+
+
+@query(
+    "cluster_stats",
+    f"""WITH {i.SQL_CLUSTERED}
+    SELECT count(*) AS n_rows, count(DISTINCT cluster_id) FILTER (cluster_id <> -1) AS n_clusters,
+           count(*) FILTER (cluster_id = -1) AS n_noise FROM clustered""",
+)
+def cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.cluster_stats(i.clustered(spark, sf_dir), "cluster_id")
+
+
+@query(
+    "report_cluster",
+    f"""WITH {SQL_TFIDF}, {SQL_SAMPLED},
+    k AS (SELECT * FROM ranked WHERE rank <= 20),
+    words AS (SELECT cluster_id, string_agg(term, ', ' ORDER BY rank) AS top FROM k WHERE rank <= 5
+              GROUP BY cluster_id),
+    summary AS (
+      SELECT g.cluster_id, CASE WHEN g.cluster_id = -1 THEN 'Noise' ELSE 'Cluster ' || g.cluster_id END AS name,
+             g.size, coalesce(top, '{NO_KEYWORDS}') AS top_keywords
+      FROM (SELECT cluster_id, count(*) AS size FROM clustered GROUP BY cluster_id) g
+      LEFT JOIN words ON words.cluster_id = g.cluster_id),
+    detail AS (
+      SELECT coalesce(k.cluster_id, s.cluster_id) AS cluster_id, coalesce(k.rank, s.rank) AS rank,
+             k.term AS top_keyword, s.text AS sample_text
+      FROM k FULL JOIN (SELECT * FROM sampled WHERE rank <= 30) s
+        ON s.cluster_id = k.cluster_id AND s.rank = k.rank)
+    SELECT cluster_id, name, size, top_keywords, rank, top_keyword, sample_text
+    FROM summary JOIN detail USING (cluster_id)""",
+)
+def report_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the report book, one detail folder per cluster, and read both sheets back."""
+    rows = i.clustered(spark, sf_dir)
+    words = keywords.cluster_keywords(rows, "cluster_id", "doc_id", "text")
+    samples = keywords.cluster_samples(rows, "cluster_id", "doc_id", "text")
+    book = shared_path(spark, "book")
+    write_book({"keywords": words}, book)
+    words = read_sheet(spark, book, "keywords")
+    write_book(
+        {
+            "Summary": keywords.cluster_summary(rows, words, "cluster_id", "text"),
+            "Detail": keywords.cluster_detail(words, samples, "cluster_id", "text"),
+        },
+        book,
+        partition_by={"Detail": "cluster_id"},
+    )
+    summary, detail = (read_sheet(spark, book, sheet) for sheet in ("Summary", "Detail"))
+    return summary.join(detail, "cluster_id")
+
+
+@query(
+    "density_cluster",
+    """WITH RECURSIVE p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+    near AS (
+      SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.id <> b.id
+        AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.02::DOUBLE * 0.02::DOUBLE),
+    core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
+    link AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+    walk(id, root) AS (
+      SELECT id, id FROM core
+      UNION SELECT link.b, walk.root FROM walk JOIN link ON link.a = walk.id WHERE walk.root < link.b),
+    roots AS (SELECT id, min(root) AS root FROM walk GROUP BY id),
+    kept AS (SELECT root, CAST(row_number() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster_id
+             FROM (SELECT root FROM roots GROUP BY root HAVING count(*) >= 8))
+    SELECT p.id, coalesce(cluster_id, -1) AS cluster_id
+    FROM p LEFT JOIN roots ON roots.id = p.id LEFT JOIN kept ON kept.root = roots.root""",
+)
+def density_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = i.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"),
+        F.get("embedding", F.lit(0)).alias("x"),
+        F.get("embedding", F.lit(1)).alias("y"),
+    )
+    return density.density_cluster(points, eps=0.02, min_samples=5, min_cluster_size=8)
+
+
+@query(
+    "knn_l2",
+    f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS},
+    d AS (
+      SELECT label_id AS query_id, id, list_sum(list_transform(list_zip(v, a), lambda z: (z[1] - z[2]) ** 2)) AS d
+      FROM c CROSS JOIN e)
+    SELECT query_id, id, round(d, 6) AS distance,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
+    FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) <= 10""",
+)
+def knn_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = i.vectors(spark, sf_dir)
+    queries = i.label_vectors(vecs).withColumnRenamed("label_id", "query_id")
+    found = vectors.knn(queries, vecs.select("id", F.col("vec_a").alias("embedding")), 10)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query(
+    "mean_pool",
+    f"""WITH {i.SQL_VECTORS},
+    t AS (SELECT id // 8 AS text_id, a, CASE WHEN label % 3 = 0 THEN 0 ELSE 1 END AS mask FROM e)
+    SELECT text_id, CAST(i - 1 AS INTEGER) AS pos, round(sum(a[i] * mask) / greatest(sum(mask), 1e-9), 6) + 0.0 AS value
+    FROM t, range(1, 65) r(i) GROUP BY text_id, i""",
+)
+def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = i.vectors(spark, sf_dir).select(
+        F.floor(F.col("id") / 8).alias("text_id"),
+        "vec_a",
+        F.when(F.col("label") % 3 == 0, 0).otherwise(1).alias("mask"),
+    )
+    pooled = vectors.mean_pool(tokens, "text_id", "vec_a", "mask")
+    cells = pooled.select("text_id", F.posexplode("embedding").alias("pos", "value"))
+    return cells.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+@query(
+    "quantize_int8",
+    f"""WITH {i.SQL_VECTORS},
+    s AS (SELECT a FROM e QUALIFY row_number() OVER (ORDER BY md5('42:' || id), id) <= 200),
+    r AS (SELECT min(list_min(a)) AS low, max(list_max(a)) AS high FROM s),
+    k AS (SELECT (high - low) / 255 AS scale, CAST(round_even(-low / ((high - low) / 255), 0) AS INTEGER) AS zero FROM r),
+    q AS (
+      SELECT id, a, scale, zero, list_transform(a, lambda x: greatest(0, least(255,
+               CAST(round_even(x / scale, 0) AS INTEGER) + zero))) AS q FROM e, k)
+    SELECT id, array_to_string(q, ',') AS codes,
+           round(list_max(list_transform(list_zip(a, q), lambda z: abs(z[1] - (z[2] - zero) * scale))), 6) AS max_error
+    FROM q""",
+)
+def quantize_int8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = i.vectors(spark, sf_dir)
+    calibration = vectors.calibrate_minmax(vecs, "id", "vec_a")
+    coded = vectors.quantize_int8(vecs.select("id", "vec_a"), "vec_a", calibration)
+    return coded.select(
+        "id",
+        F.array_join(F.col("q").cast("array<string>"), ",").alias("codes"),
+        F.round("max_error", 6).alias("max_error"),
+    )
+
+
+@query("project_2d")
+def project_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = i.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return encoders.project_2d(rows).select(
+        "id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")
+    )
+
+
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return i.table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), F.regexp_extract("html", i.PAGE_TITLE, 1).alias("title")
+    )
+
+
+@query("encode_channels")
+def encode_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = page_titles(spark, sf_dir)
+    general = encoders.fit_general(titles, "title")
+    domain = encoders.fit_domain(titles, "title")
+    coded = encoders.encode_channels(titles, "title", general, domain)
+
+    def square(col: str):
+        return F.aggregate(col, F.lit(0.0), lambda s, x: s + x * x)
+
+    return coded.select(
+        "id",
+        F.size("vec_a").alias("dims_a"),
+        F.round(square("vec_a"), 6).alias("square_a"),
+        F.size("vec_b").alias("dims_b"),
+        F.round(square("vec_b"), 6).alias("square_b"),
+    )
