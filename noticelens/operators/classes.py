@@ -16,7 +16,7 @@ from noticelens.operators.ranking import (
     seeded_rank,
     seeded_sample,
 )
-from noticelens.session import small_side
+from noticelens.session import lookup
 
 
 def eligible_titles(
@@ -96,12 +96,12 @@ def class_weights(df: DataFrame, label: str = "label", mode: str = "balanced") -
 def keep_common_classes(df: DataFrame, label: str = "label", min_count: int = 20) -> DataFrame:
     """Rows whose class has at least ``min_count`` rows; nulls in other columns still count."""
     kept = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count)
-    return df.join(small_side(kept.select(label)), label, "left_semi")
+    return lookup(df, kept.select(label), [label], "left_semi")
 
 
 def encode_labels(df: DataFrame, label: str = "label", out: str = "label_id") -> DataFrame:
     """Adds the dense id of each label in sorted order."""
-    return df.join(small_side(dense_index(df, label, out)), label)
+    return lookup(df, dense_index(df, label, out), [label])
 
 
 def prepare_multiclass(

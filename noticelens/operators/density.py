@@ -190,7 +190,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         hooked = cut_lineage(hooked)
         parents = hooked.select(F.col("id").alias("f"), F.col("f").alias("gf"))
-        state = cut_lineage(lookup(hooked, parents, ["f"], ["id"]).select("id", "f", "gf"))
+        state = cut_lineage(lookup(hooked, parents, ["f"], spread=["id"]).select("id", "f", "gf"))
         # Parents only ever fall, so equal sums mean that nothing moved.
         sums = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("f", "gf")]
         now = tuple(state.agg(*sums).first())
@@ -223,7 +223,7 @@ def density_cluster(
     )
     located = rows.filter(F.col("cx").isNotNull() & F.col("cy").isNotNull())
     cells = located.groupBy("cx", "cy").agg((F.count(F.lit(1)) >= needed).alias("dense"))
-    points = cut_lineage(lookup(located, cells, ["cx", "cy"], ["key"]))
+    points = cut_lineage(lookup(located, cells, ["cx", "cy"], spread=["key"]))
     sparse = points.filter(~F.col("dense"))
     core_keys = _core_sparse(sparse, points, eps, side, needed)
     core = points.filter("dense").unionByName(sparse.join(core_keys, "key", "left_semi"))
@@ -240,7 +240,7 @@ def density_cluster(
     large = roots.groupBy("root").agg(F.sum("n").alias("size")).filter(F.col("size") >= min_cluster_size)
     numbers = dense_index(large, "root", "cluster_id")
     cell_cluster = roots.join(small_side(numbers), "root").select("cx", "cy", "cluster_id")
-    members = lookup(core, cell_cluster, ["cx", "cy"], ["key"]).select("key", "cluster_id")
+    members = lookup(core, cell_cluster, ["cx", "cy"], spread=["key"]).select("key", "cluster_id")
     return (
         rows.select("key")
         .join(members, "key", "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -64,30 +64,36 @@ def cluster_keywords(
     return ranked.select(F.col("c").alias(cluster), "rank", "term", "score")
 
 
-def cluster_samples(
-    df: DataFrame, cluster: str, key: str, text_col: str, n: int = 30, seed: int = SEED
+def _first_rows(
+    df: DataFrame, cluster: str, key: str, text_col: str, order: Column, n: int
 ) -> DataFrame:
-    """Up to ``n`` seeded sample rows per cluster, as (cluster, rank, key, text).
+    """First ``n`` rows per cluster as (cluster, rank, key, text).
 
-    The rank is chosen on keys alone (each task keeps its first n before the
-    shuffle); the chosen texts are fetched by a join.
+    Ranks are found on keys alone, each task keeping its first n per cluster
+    before the shuffle; the chosen texts are fetched by a join on the key.
     """
-    order = W.partitionBy(cluster).orderBy(seeded_order(F.col(key), seed), F.col(key))
+    window = W.partitionBy(cluster).orderBy(order, F.col(key))
     chosen = (
         df.select(cluster, key)
-        .withColumn("rank", F.row_number().over(order))
+        .withColumn("rank", F.row_number().over(window))
         .filter(F.col("rank") <= n)
     )
-    return df.select(key, text_col).join(small_side(chosen), key).select(
-        cluster, "rank", key, text_col
-    )
+    texts = df.select(key, text_col)
+    return texts.join(small_side(chosen), key).select(cluster, "rank", key, text_col)
 
 
-def cluster_heads(df: DataFrame, cluster: str, key: str, n: int = 5, noise: int = -1) -> DataFrame:
+def cluster_samples(
+    df: DataFrame, cluster: str, key: str, text_col: str, n: int = 30, seed: int = SEED
+) -> DataFrame:
+    """Up to ``n`` seeded sample rows per cluster."""
+    return _first_rows(df, cluster, key, text_col, seeded_order(F.col(key), seed), n)
+
+
+def cluster_heads(
+    df: DataFrame, cluster: str, key: str, text_col: str, n: int = 5, noise: int = -1
+) -> DataFrame:
     """First ``n`` rows per cluster by key, noise left out."""
-    order = W.partitionBy(cluster).orderBy(key)
-    kept = df.filter(F.col(cluster) != noise)
-    return kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+    return _first_rows(df.filter(F.col(cluster) != noise), cluster, key, text_col, F.col(key), n)
 
 
 def cluster_stats(df: DataFrame, cluster: str, noise: int = -1) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelens.fixed_values import MATCH, MISMATCH, UNDETERMINED, VALIDATION_SKIPPED
-from noticelens.session import small_side
+from noticelens.session import lookup, small_side
 
 
 def require_unique(df: DataFrame, key: str) -> DataFrame:
@@ -31,7 +31,7 @@ def label_info(
         F.col(div).alias("predicted_div"),
         F.col(dept).alias("predicted_dept"),
     )
-    joined = df.join(small_side(info), label, "left")
+    joined = lookup(df, info, [label], "left")
     if default is None:
         return joined
     return joined.fillna(default, subset=["predicted_div", "predicted_dept"])
@@ -42,7 +42,7 @@ def standard_dept(df: DataFrame, dept_map: DataFrame, raw: str, out: str) -> Dat
     names = require_unique(dept_map, "key").select(
         F.col("key").alias(raw), F.col("value").alias("_standard")
     )
-    joined = df.join(small_side(names), raw, "left")
+    joined = lookup(df, names, [raw], "left")
     return joined.withColumn(out, F.coalesce("_standard", raw)).drop("_standard")
 
 
@@ -80,7 +80,7 @@ def dept_match(
 def rollup_codes(df: DataFrame, code: str, codes: DataFrame) -> DataFrame:
     """Adds the canonical field of a code; an unknown code stays null."""
     names = codes.select(F.col("key").alias(code), F.col("value").alias("field"))
-    return df.join(small_side(names), code, "left")
+    return lookup(df, names, [code], "left")
 
 
 def field_labels(df: DataFrame, taxonomy: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from noticelens.operators.vectors import (
     to_matrix,
     unit_rows,
 )
-from noticelens.session import small_side
+from noticelens.session import cut_lineage, lookup
 
 
 class _Block:
@@ -62,7 +62,7 @@ def _keyword_blocks(keywords: DataFrame, channels: Sequence[str], max_cells: int
 
 
 def _label_table(labels: DataFrame) -> DataFrame:
-    return small_side(labels.select(F.col("label_id").cast("bigint").alias("label_id"), "label"))
+    return cut_lineage(labels.select(F.col("label_id").cast("bigint").alias("label_id"), "label"))
 
 
 def _without_keywords(names: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -128,7 +128,9 @@ def maxsim(
     """(id, label, score) for every label; a label without keywords scores 0."""
     scored = score_labels(df, keywords, [channel], max_cells, id_col)
     names = _label_table(labels)
-    rows = scored.join(names, "label_id").select(id_col, "label", F.col(channel).alias("score"))
+    rows = lookup(scored, names, ["label_id"]).select(
+        id_col, "label", F.col(channel).alias("score")
+    )
     # One array of label names, repeated per title like the score table itself.
     empty = _without_keywords(names, keywords).agg(F.collect_list("label")).scalar()
     zeros = df.withColumn("_empty", empty).select(
@@ -151,7 +153,8 @@ def ensemble_label(
 
     The winner is the label with the best weighted score, the smallest label_id
     among equals. The channel scores are each channel's own best over all labels,
-    not the winner's. The score matrix is reduced inside each Arrow batch.
+    not the winner's. The score matrix is reduced inside each Arrow batch. A row
+    without vectors gets no label and no scores.
     """
     names = _label_table(labels)
     pieces = _keyword_blocks(keywords, channels, max_cells)
@@ -161,7 +164,7 @@ def ensemble_label(
         best = _best_in_batch(df, pieces[0], channels, weights, first_empty)
     else:
         best = _best_by_shuffle(df, keywords, channels, weights, first_empty, max_cells, id_col)
-    found = best.join(names, "label_id", "left")
+    found = lookup(best, names, ["label_id"], "left")
     status = F.when(F.col("final_ensemble_score") >= threshold, CONFIRMED_ENSEMBLE).otherwise(
         REVIEW_ENSEMBLE
     )
@@ -183,25 +186,30 @@ def _best_in_batch(df, block, channels, weights, first_empty) -> DataFrame:
 
     def work(batch):
         block, first_empty = shared.value
-        a, b = (block.best(batch, c) for c in channels)
+        given = np.ones(batch.num_rows, dtype=bool)
+        for c in channels:
+            given &= column_of(batch, c).is_valid().to_numpy(zero_copy_only=False)
+        if not given.any():
+            return [pa.nulls(batch.num_rows, t) for t in (pa.int64(), *[pa.float64()] * 3)]
+        part = batch.filter(pa.array(given))
+        a, b = (block.best(part, c) for c in channels)
         ids = block.label_ids
         if first_empty is not None:
             at = int(np.searchsorted(ids, first_empty))
             ids = np.insert(ids, at, first_empty)
             a, b = np.insert(a, at, 0.0, axis=1), np.insert(b, at, 0.0, axis=1)
         both = weights[0] * a + weights[1] * b
-        return [
-            pa.array(ids[both.argmax(axis=1)]),
-            pa.array(both.max(axis=1)),
-            pa.array(a.max(axis=1)),
-            pa.array(b.max(axis=1)),
-        ]
+        found = [ids[both.argmax(axis=1)], both.max(axis=1), a.max(axis=1), b.max(axis=1)]
+        # Put the results back among the rows without vectors.
+        slot = pa.array(np.cumsum(given) - 1, mask=~given)
+        return [pa.array(x).take(slot) for x in found]
 
     return map_batches(df, channels, _BEST, work, block.width)
 
 
 def _best_by_shuffle(df, keywords, channels, weights, first_empty, max_cells, id_col) -> DataFrame:
-    scores = score_labels(df, keywords, channels, max_cells, id_col)
+    given = df.dropna(subset=list(channels))
+    scores = score_labels(given, keywords, channels, max_cells, id_col)
     a, b = F.col(channels[0]), F.col(channels[1])
     ranked = F.struct((a * weights[0] + b * weights[1]).alias("s"), (-F.col("label_id")).alias("l"))
     best = scores.groupBy(id_col).agg(

@@ -60,24 +60,42 @@ def seeded_rank(
     )
 
 
+SMALL_SAMPLE = 10_000
+
+
 def seeded_sample(df: DataFrame, n: int | Column, key: Column, seed: int = SEED) -> DataFrame:
     """Exactly the first ``n`` rows in md5 order (all rows when there are fewer).
 
-    Whole slices pass through without a shuffle; only the one slice that ``n``
-    cuts in two is ranked.
+    A small ``n`` is a top-n. A large or computed one becomes a threshold: slice
+    counts tell which slice holds the n-th row, ranking that slice alone gives its
+    place in the order, and one filter then picks the rows without a shuffle. The
+    two passes before the filter read only the key. ``key`` is unique.
     """
+    if isinstance(n, int) and n <= SMALL_SAMPLE:
+        return (
+            df.withColumn("_key", key)
+            .orderBy(seeded_order(F.col("_key"), seed), "_key")
+            .limit(n)
+            .drop("_key")
+        )
     n = F.lit(n) if isinstance(n, int) else n
-    sliced = _slices(df, F.lit(0), key, seed)
+    narrow = _slices(df.select(key.alias("_key")), F.lit(0), F.col("_key"), seed)
     # No grouping column here, so this table has at most 4096 rows.
-    wanted = F.broadcast(_slice_offsets(sliced).drop("_group").filter(F.col("_before") < n))
-    kept = sliced.join(wanted, "_slice")
-    whole = kept.filter(F.col("_before") + F.col("_rows") <= n)
-    cut = kept.filter(F.col("_before") + F.col("_rows") > n)
+    at = F.broadcast(
+        _slice_offsets(narrow).filter((F.col("_before") < n) & (n <= F.col("_before") + F.col("_rows")))
+    )
     within = W.partitionBy("_slice").orderBy("_order", "_key")
-    cut = cut.withColumn("_rank", F.row_number().over(within)).filter(
-        F.col("_before") + F.col("_rank") <= n
+    last = (
+        narrow.join(at.select("_slice", "_before"), "_slice")
+        .withColumn("_rank", F.col("_before") + F.row_number().over(within))
+        .filter(F.col("_rank") == n)
+        .select(F.struct("_order", "_key").alias("last"))
+        .scalar()
     )
-    return whole.unionByName(cut.drop("_rank")).drop(*_HELPERS)
+    place = F.struct(seeded_order(F.col("_key"), seed).alias("_order"), F.col("_key"))
+    # Without an n-th row there are fewer rows than n and all are taken.
+    wanted = (n > 0) & F.coalesce(place <= last, F.lit(True))
+    return df.withColumn("_key", key).filter(wanted).drop("_key")
 
 
 def top_n(

@@ -14,7 +14,7 @@ from noticelens.fixed_values import SEED
 from noticelens.functions.scoring import array_cells, total
 from noticelens.operators.classes import class_weights, stratified_folds
 from noticelens.operators.evaluate import classification_metrics, fold_summary
-from noticelens.session import cut_lineage, small_side
+from noticelens.session import cut_lineage, lookup
 
 
 @dataclass
@@ -43,8 +43,8 @@ def train_cv(
     fit then reads that table with a filter.
     """
     folded = stratified_folds(df.select(key, label, features), key, label, k, seed)
-    per_class = small_side(class_weights(folded, label, weights).select(label, "weight"))
-    table = cut_lineage(folded.join(per_class, label))
+    per_class = class_weights(folded, label, weights).select(label, "weight")
+    table = cut_lineage(lookup(folded, per_class, [label]))
     family = LogisticRegression(
         featuresCol=features, labelCol=label, weightCol="weight", maxIter=max_iter, regParam=reg
     )

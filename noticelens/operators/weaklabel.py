@@ -43,28 +43,22 @@ def weak_label(
 
     ``kb`` holds label_id, final_label, div, dep. Rule rows have confidence 1.0
     and no model scores; model rows keep confidence 0.0 and carry their score in
-    final_ensemble_score. The vectors of rule rows never reach the Python workers.
+    final_ensemble_score. It is one pass over the notices: rule rows ride along
+    without their vectors, so nothing is scored for them.
     """
     cleaned = notices.withColumn("service_title_cleaned", clean_light(F.col(text_col)))
     ruled = apply_rules(cleaned, "service_title_cleaned", rules)
-    none = F.lit(None).cast("double")
-    by_rule = ruled.filter(F.col("rule_label").isNotNull()).withColumns(
+    by_rule = F.col("rule_label").isNotNull()
+    rest = ruled.withColumns({c: F.when(~by_rule, F.col(c)) for c in channels})
+    labels = kb.select("label_id", F.col("final_label").alias("label"))
+    scored = ensemble_label(rest, keywords, labels, channels, weights, threshold, max_cells, id_col)
+    merged = scored.withColumns(
         {
-            "predicted_label": F.col("rule_label"),
-            "status": F.col("rule_status"),
-            "confidence_score": F.lit(1.0),
-            "final_ensemble_score": none,
-            "score_a": none,
-            "score_b": none,
+            "predicted_label": F.coalesce("rule_label", "predicted_label"),
+            "status": F.when(by_rule, F.col("rule_status")).otherwise(F.col("status")),
+            "confidence_score": F.when(by_rule, 1.0).otherwise(0.0),
         }
-    )
-    rest = ruled.filter(F.col("rule_label").isNull())
-    labels = kb.select("label_id", F.col("final_label").alias("label"))
-    by_model = ensemble_label(
-        rest, keywords, labels, channels, weights, threshold, max_cells, id_col
-    ).withColumn("confidence_score", F.lit(0.0))
-    helpers = ("rule_label", "rule_status")
-    merged = by_rule.drop(*channels, *helpers).unionByName(by_model.drop(*helpers))
+    ).drop("rule_label", "rule_status")
     return dept_match(label_info(merged, kb), dept_map)
 
 

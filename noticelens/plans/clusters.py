@@ -62,7 +62,7 @@ SQL_SAMPLED = """sampled AS (
 def cluster_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = i.clustered(spark, sf_dir)
     samples = keywords.cluster_samples(rows, "cluster_id", "doc_id", "text")
-    heads = keywords.cluster_heads(rows, "cluster_id", "doc_id")
+    heads = keywords.cluster_heads(rows, "cluster_id", "doc_id", "text")
     return samples.withColumn("kind", F.lit("sample")).unionByName(
         heads.withColumn("kind", F.lit("head"))
     )

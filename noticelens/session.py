@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 
 def local_session(cpus: str | int = "*", app: str = "noticelens", **conf: str) -> SparkSession:
@@ -60,36 +61,47 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 SMALL_ROWS = 200_000
+SMALL_BYTES = 64 * 1024 * 1024
+
+
+def _is_small(table: DataFrame, max_rows: int) -> bool:
+    """Count a materialised table and the length of its rows as JSON text."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in table.columns]))))
+    rows, data = table.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return rows <= max_rows and data <= SMALL_BYTES
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Materialise a summary table once and mark it for broadcast only if it is small.
 
-    Beyond ``max_rows`` the frame comes back without a hint, so the join shuffles
-    and adaptive execution may still split its skewed partitions.
+    Otherwise the frame comes back without a hint, so the join shuffles and
+    adaptive execution may still split its skewed partitions.
     """
     df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if _is_small(df, max_rows) else df
 
 
 def lookup(
     df: DataFrame,
     table: DataFrame,
     on: list[str],
-    spread: list[str],
     how: str = "inner",
+    spread: list[str] | None = None,
     max_rows: int = SMALL_ROWS,
     salts: int = 16,
 ) -> DataFrame:
     """Join a table that is unique in ``on`` to rows whose keys may be very uneven.
 
-    A small table is broadcast after counting it. A larger one is repeated once
+    A small table is broadcast after measuring it. A larger one is repeated once
     per salt, so that a key holding a third of the rows is served by many tasks;
-    ``spread`` names row columns that vary within a key.
+    ``spread`` names row columns that vary within a key, by default all plain ones.
     """
     table = cut_lineage(table)
-    if table.count() <= max_rows:
+    if _is_small(table, max_rows):
         return df.join(F.broadcast(table), on, how)
+    if spread is None:
+        plain = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+        spread = [c for c in plain if c not in on] or on
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return rows.join(salted, [*on, "_salt"], how).drop("_salt")
