@@ -6,7 +6,7 @@ import html
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -90,3 +90,8 @@ def token_window(tokens: Column, max_len: int = 128, pad: str = "[PAD]") -> Colu
             F.array_repeat(F.lit(1), F.size(cut)), F.array_repeat(F.lit(0), missing)
         ).alias("mask"),
     )
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Make ``html_unescape`` callable from SQL."""
+    spark.udf.register("html_unescape", html_unescape)

@@ -46,20 +46,23 @@ def balanced_dataset(
     sizes = pos.agg(F.count(F.lit(1)).alias("n")).unionByName(
         neg.agg(F.count(F.lit(1)).alias("n"))
     )
-    n = sizes.agg(F.min("n")).scalar()
+    n = sizes.agg(F.min("n")).first()[0]
     parts = [
         seeded_sample(side, n, F.col(key), seed).select(
             F.col(text_col).alias("service_title"), F.lit(label).alias("label")
         )
         for side, key, label in ((neg, neg_key, 0), (pos, pos_key, 1))
     ]
+    # The length is an aggregate, so its filter is not pushed below the cleaning,
+    # where it would run the cleaning a second time.
     merged = (
         parts[0]
         .unionByName(parts[1])
         .withColumn("service_title", clean(F.col("service_title")))
-        .filter(F.col("service_title") != "")
         .groupBy("service_title")
-        .agg(F.max("label").alias("label"))
+        .agg(F.max("label").alias("label"), F.max(F.length("service_title")).alias("_length"))
+        .filter(F.col("_length") > 0)
+        .drop("_length")
     )
     if not shuffle:
         return merged

@@ -38,7 +38,8 @@ def cluster_keywords(
     sizes = small_side(docs.groupBy("c").agg(F.count(F.lit(1)).alias("n_docs")))
     counts = (
         docs.repartition("d")
-        .select("c", "d", F.explode(word_tokens(F.col("t"), stop_words)).alias("term"))
+        .select("c", "d", F.explode(word_tokens(F.col("t"))).alias("term"))
+        .filter(~F.col("term").isin(list(stop_words)))
         .groupBy("c", "d", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

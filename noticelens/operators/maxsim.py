@@ -24,6 +24,7 @@ from noticelens.fixed_values import (
     REVIEW,
     REVIEW_ENSEMBLE,
 )
+from noticelens.functions.text import keyword_list
 from noticelens.operators.vectors import (
     MAX_BLOCK_CELLS,
     blocks,
@@ -36,6 +37,25 @@ from noticelens.operators.vectors import (
 from noticelens.session import cut_lineage, lookup
 
 
+def explode_keywords(kb: DataFrame, null_as_nan: bool = False) -> DataFrame:
+    """(label_id, keyword_id, keyword) from the comma lists of a knowledge base."""
+    cells = keyword_list(F.col("keywords"), null_as_nan)
+    return kb.select(
+        F.col("label_id").cast("bigint").alias("label_id"),
+        F.posexplode(cells).alias("keyword_id", "keyword"),
+    )
+
+
+def keyword_universe(kb: DataFrame, null_as_nan: bool = False) -> DataFrame:
+    """Every keyword once, so that each is encoded once."""
+    return explode_keywords(kb, null_as_nan).select("keyword").distinct()
+
+
+def attach_vectors(kb: DataFrame, keyword_vectors: DataFrame, null_as_nan: bool = False) -> DataFrame:
+    """Keyword vectors per label; a keyword without a vector is left out."""
+    return explode_keywords(kb, null_as_nan).join(keyword_vectors, "keyword").drop("keyword")
+
+
 class _Block:
     """Keyword vectors of one block, sorted by label, with each label's first row."""
 

@@ -63,39 +63,33 @@ def seeded_rank(
 SMALL_SAMPLE = 10_000
 
 
-def seeded_sample(df: DataFrame, n: int | Column, key: Column, seed: int = SEED) -> DataFrame:
+def seeded_sample(
+    df: DataFrame, n: int, key: Column, seed: int = SEED, small: int = SMALL_SAMPLE
+) -> DataFrame:
     """Exactly the first ``n`` rows in md5 order (all rows when there are fewer).
 
-    A small ``n`` is a top-n. A large or computed one becomes a threshold: slice
-    counts tell which slice holds the n-th row, ranking that slice alone gives its
-    place in the order, and one filter then picks the rows without a shuffle. The
-    two passes before the filter read only the key. ``key`` is unique.
+    The place of the n-th row is found on keys alone: by a top-n for a small ``n``,
+    else from slice counts and a ranking of the one slice that holds it. A filter
+    then picks the rows where they lie, without a shuffle. ``key`` is unique.
     """
-    if isinstance(n, int) and n <= SMALL_SAMPLE:
-        return (
-            df.withColumn("_key", key)
-            .orderBy(seeded_order(F.col("_key"), seed), "_key")
-            .limit(n)
-            .drop("_key")
-        )
-    n = F.lit(n) if isinstance(n, int) else n
-    narrow = _slices(df.select(key.alias("_key")), F.lit(0), F.col("_key"), seed)
-    # No grouping column here, so this table has at most 4096 rows.
-    at = F.broadcast(
-        _slice_offsets(narrow).filter((F.col("_before") < n) & (n <= F.col("_before") + F.col("_rows")))
-    )
-    within = W.partitionBy("_slice").orderBy("_order", "_key")
-    last = (
-        narrow.join(at.select("_slice", "_before"), "_slice")
-        .withColumn("_rank", F.col("_before") + F.row_number().over(within))
-        .filter(F.col("_rank") == n)
-        .select(F.struct("_order", "_key").alias("last"))
-        .scalar()
-    )
+    keys = df.select(key.alias("_key"))
+    if n <= small:
+        ordered = keys.select(seeded_order(F.col("_key"), seed).alias("_order"), "_key")
+        nth = ordered.orderBy("_order", "_key").limit(n)
+    else:
+        narrow = _slices(keys, F.lit(0), F.col("_key"), seed)
+        # No grouping column here, so this table has at most 4096 rows.
+        holds = (F.col("_before") < n) & (F.col("_before") + F.col("_rows") >= n)
+        total = F.sum("_rows").over(W.partitionBy())
+        last_slice = (total < n) & (F.col("_before") + F.col("_rows") == total)
+        at = _slice_offsets(narrow).withColumn("_hit", holds | last_slice)
+        at = F.broadcast(at.filter("_hit").select("_slice", "_before"))
+        within = W.partitionBy("_slice").orderBy("_order", "_key")
+        rank = F.col("_before") + F.row_number().over(within)
+        nth = narrow.join(at, "_slice").withColumn("_rank", rank).filter(F.col("_rank") <= n)
+    last = nth.agg(F.max(F.struct("_order", "_key"))).scalar()
     place = F.struct(seeded_order(F.col("_key"), seed).alias("_order"), F.col("_key"))
-    # Without an n-th row there are fewer rows than n and all are taken.
-    wanted = (n > 0) & F.coalesce(place <= last, F.lit(True))
-    return df.withColumn("_key", key).filter(wanted).drop("_key")
+    return df.withColumn("_key", key).filter(place <= last).drop("_key")
 
 
 def top_n(

@@ -20,7 +20,12 @@ from noticelens.fixed_values import (
 from noticelens.functions.judgement import candidate_line, judge_prompt, parse_judgement
 from noticelens.functions.text import clean_light
 from noticelens.operators.mapping import dept_match, label_info
-from noticelens.operators.maxsim import ensemble_label, top_labels
+from noticelens.operators.maxsim import (
+    attach_vectors,
+    ensemble_label,
+    keyword_universe,
+    top_labels,
+)
 from noticelens.operators.rules import apply_rules
 from noticelens.operators.vectors import MAX_BLOCK_CELLS
 from noticelens.session import cut_lineage
@@ -62,6 +67,28 @@ def weak_label(
     return dept_match(label_info(merged, kb), dept_map)
 
 
+def weak_label_texts(
+    notices: DataFrame,
+    kb: DataFrame,
+    encode: Callable[[DataFrame, str], DataFrame],
+    dept_map: DataFrame | None = None,
+    text_col: str = "service_title",
+    null_as_nan: bool = False,
+    **options,
+) -> DataFrame:
+    """``weak_label`` from plain texts: titles and keywords go through the same encoder.
+
+    ``encode(df, column)`` adds the channel columns vec_a and vec_b. Each distinct
+    keyword is encoded once; ``kb`` also holds a comma list ``keywords``.
+    """
+    words = encode(keyword_universe(kb, null_as_nan), "keyword")
+    vectors = attach_vectors(kb, words.select("keyword", "vec_a", "vec_b"), null_as_nan)
+    cleaned = notices.withColumn("_clean", clean_light(F.col(text_col)))
+    return weak_label(
+        encode(cleaned, "_clean").drop("_clean"), vectors, kb, dept_map, text_col=text_col, **options
+    )
+
+
 def value_summary(df: DataFrame, col: str, name: str, count: str = "count") -> DataFrame:
     """Non-null values with their counts, most frequent first."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias(name))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelens.fixed_values import CODE_ROLLUP, TAXONOMY
+from noticelens.operators.maxsim import attach_vectors
 from noticelens.operators.vectors import group_means
 from noticelens.sources.tables import mapping_rows
 
@@ -147,15 +148,21 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def keyword_vectors(vecs: DataFrame) -> DataFrame:
-    """Several keyword vectors per label: means of all vectors of the label in id residues."""
-    keyed = vecs.select(
-        F.col("label").cast("bigint").alias("label_id"),
-        (F.col("id") % KEYWORDS_PER_LABEL).alias("keyword_id"),
-        "vec_a",
-        "vec_b",
-    )
-    return group_means(keyed, ["label_id", "keyword_id"], ["vec_a", "vec_b"])
+def kb_keywords(spark: SparkSession) -> DataFrame:
+    """Keyword lists of the knowledge base; keyword ``3:1`` is the second one of label 3."""
+    rows = [
+        (row[0], ", ".join(f"{row[0]}:{n}" for n in range(KEYWORDS_PER_LABEL)) if row[2] else None)
+        for row in KNOWLEDGE_BASE
+    ]
+    return spark.createDataFrame(rows, "label_id bigint, keywords string")
+
+
+def keyword_vectors(spark: SparkSession, vecs: DataFrame) -> DataFrame:
+    """A vector per keyword, the mean of all vectors of its label in one id residue."""
+    name = F.concat_ws(":", F.col("label").cast("string"), (F.col("id") % KEYWORDS_PER_LABEL).cast("string"))
+    keyed = vecs.select(name.alias("keyword"), "vec_a", "vec_b")
+    means = group_means(keyed, ["keyword"], ["vec_a", "vec_b"])
+    return attach_vectors(kb_keywords(spark), means)
 
 
 def label_vectors(vecs: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from noticelens.fixed_values import CODE_ROLLUP, HARD_RULES, TAXONOMY
 from noticelens.functions.judgement import parse_judgement
-from noticelens.functions.text import join_keyword_columns
-from noticelens.operators import mapping, maxsim, rules, weaklabel
+from noticelens.functions.text import clean_light, join_keyword_columns, word_tokens
+from noticelens.operators import encoders, mapping, maxsim, rules, weaklabel
+from noticelens.operators.ranking import dense_index, top_n
 from noticelens.plans import inputs as i
 from noticelens.plans.registry import query
 
@@ -45,7 +46,7 @@ def hard_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def maxsim_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = i.vectors(spark, sf_dir)
     scores = maxsim.maxsim(
-        vecs.select("id", "vec_a"), i.keyword_vectors(vecs), i.kb_labels(spark), "vec_a"
+        vecs.select("id", "vec_a"), i.keyword_vectors(spark, vecs), i.kb_labels(spark), "vec_a"
     )
     return scores.withColumn("score", F.round("score", 6))
 
@@ -98,7 +99,7 @@ SQL_STATUS = (
 def weak_label_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = i.vectors(spark, sf_dir)
     labelled = maxsim.ensemble_label(
-        vecs.drop("label"), i.keyword_vectors(vecs), i.kb_labels(spark), threshold=i.THRESHOLD
+        vecs.drop("label"), i.keyword_vectors(spark, vecs), i.kb_labels(spark), threshold=i.THRESHOLD
     )
     found = mapping.label_info(labelled, i.knowledge_base(spark))
     return found.select(
@@ -161,7 +162,7 @@ SQL_WEAK = f"""WITH {i.SQL_VECTORS}, {i.SQL_KEYWORDS}, {i.SQL_KB}, {i.SQL_SCORES
 def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weaklabel.weak_label(
         notices(spark, sf_dir),
-        i.keyword_vectors(i.vectors(spark, sf_dir)),
+        i.keyword_vectors(spark, i.vectors(spark, sf_dir)),
         i.knowledge_base(spark),
         i.dept_mapping(spark),
         threshold=i.THRESHOLD,
@@ -210,6 +211,41 @@ def weak_label_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.filter("value IS NOT NULL").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("weak_label_text")
+def weak_label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page titles labelled from text alone, with the built-in encoders."""
+    titles = i.table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"),
+        F.regexp_extract("html", i.PAGE_TITLE, 1).alias("service_title"),
+    )
+    cleaned = titles.select(clean_light(F.col("service_title")).alias("text"))
+    general, domain = encoders.fit_general(cleaned, "text"), encoders.fit_domain(cleaned, "text")
+    # The keywords of a label are words of the titles, found per page host.
+    host = F.regexp_extract(F.col("url"), r"\.([a-z]+)/", 1)
+    words = i.table(spark, sf_dir, "pages").select(
+        host.alias("final_label"),
+        F.explode(word_tokens(F.regexp_extract("html", i.PAGE_TITLE, 1), (), 6)).alias("word"),
+    )
+    counted = words.groupBy("final_label", "word").agg(F.count(F.lit(1)).alias("n"))
+    best = top_n(counted, ["final_label"], [F.desc("n"), F.asc("word")], 10, F.col("word"))
+    lists = best.groupBy("final_label").agg(
+        F.array_join(F.sort_array(F.collect_list("word")), ", ").alias("keywords")
+    )
+    kb = lists.join(dense_index(lists, "final_label", "label_id"), "final_label").select(
+        "label_id", "final_label", "keywords", F.lit("web").alias("div"), F.lit("web").alias("dep")
+    )
+    found = weaklabel.weak_label_texts(
+        titles,
+        kb,
+        lambda df, col: encoders.encode_channels(df, col, general, domain),
+        threshold=i.THRESHOLD,
+    )
+    return found.select(
+        "id", "service_title_cleaned", "predicted_label", "status",
+        F.round("final_ensemble_score", 4).alias("final_ensemble_score"),
+    )
+
+
 # Predicted labels picked by id: knowledge-base labels, an unknown one, an error, null.
 PREDICTED = [row[1] for row in i.KNOWLEDGE_BASE] + ["bridge_design", "classification error", None]
 SQL_PREDICTED = f"""predicted AS (
