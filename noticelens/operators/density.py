@@ -21,7 +21,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelens.operators.ranking import dense_index
+from noticelens.fixed_values import SEED
+from noticelens.operators.ranking import dense_index, seeded_sample
+from noticelens.operators.vectors import knn
 from noticelens.session import cut_lineage, lookup, small_side
 
 _FINEST = 10
@@ -147,6 +149,10 @@ def _links(core: DataFrame, eps: float, side: float) -> DataFrame:
     )
     linked = None
     for level in range(_FINEST + 1):
+        if level > 1:
+            # Few pairs are still open; only their cells are cut finer.
+            open_cells = pairs.select("cx", "cy").union(pairs.select("nx", "ny")).distinct()
+            core = cut_lineage(lookup(core, open_cells, ["cx", "cy"], "left_semi", ["key"]))
         boxes = _sub_cells(core, side, level)
         ours = pairs.join(boxes, ["cx", "cy"]).alias("a")
         theirs = boxes.alias("b")
@@ -190,7 +196,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         hooked = cut_lineage(hooked)
         parents = hooked.select(F.col("id").alias("f"), F.col("f").alias("gf"))
-        state = cut_lineage(lookup(hooked, parents, ["f"], spread=["id"]).select("id", "f", "gf"))
+        jumped = lookup(hooked, parents, ["f"], spread=["id"], materialised=True)
+        state = cut_lineage(jumped.select("id", "f", "gf"))
         # Parents only ever fall, so equal sums mean that nothing moved.
         sums = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("f", "gf")]
         now = tuple(state.agg(*sums).first())
@@ -248,6 +255,21 @@ def density_cluster(
     )
 
 
-def eps_from_sample(df: DataFrame, distance: str, share: float = 0.9) -> float:
-    """A radius from sampled k-distances: the given quantile of the distance column."""
-    return df.agg(F.percentile_approx(distance, share, 10_000)).first()[0]
+def suggest_eps(
+    df: DataFrame,
+    min_samples: int = 15,
+    share: float = 0.9,
+    n: int = 1000,
+    seed: int = SEED,
+    key: str = "id",
+    x: str = "x",
+    y: str = "y",
+) -> float:
+    """A radius: the given quantile of the distance to the min_samples-th neighbour of a sample."""
+    points = df.select(
+        F.col(key).alias("id"), F.array(F.col(x), F.col(y)).cast("array<double>").alias("embedding")
+    )
+    sample = seeded_sample(points, n, F.col("id"), seed).withColumnRenamed("id", "query_id")
+    # The nearest hit is the point itself or a copy of it.
+    last = knn(sample, points, min_samples + 1).filter(F.col("rank") == min_samples + 1)
+    return last.agg(F.percentile_approx(F.sqrt("distance"), share, 10_000)).first()[0]

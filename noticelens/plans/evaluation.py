@@ -138,7 +138,8 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM metrics""",
 )
 def fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folded = classes.stratified_folds(_predictions(spark, sf_dir), "id", "truth")
+    # Ranking reads its input twice; the predictions are made once.
+    folded = classes.stratified_folds(cut_lineage(_predictions(spark, sf_dir)), "id", "truth")
     per_fold = evaluate.classification_metrics(folded, "truth", "pred", ["fold"])
     summary = evaluate.fold_summary(per_fold)
     rounded = [F.round(c, 6).alias(c) for c in ("mean_accuracy", "mean_f1", "std_f1")]

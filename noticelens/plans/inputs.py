@@ -139,12 +139,15 @@ SQL_RULE_TITLES = (
 
 # Vectors. Channel a is the embedding; channel b bends every cell by x * |x|.
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = F.col("embedding").cast("array<double>")
+    def bend(x: Column) -> Column:
+        x = x.cast("double")
+        return x * F.abs(x)
+
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
         "label",
-        a.alias("vec_a"),
-        F.transform(a, lambda x: x * F.abs(x)).alias("vec_b"),
+        F.col("embedding").alias("vec_a"),
+        F.transform("embedding", bend).alias("vec_b"),
     )
 
 

@@ -134,11 +134,18 @@ def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE keyword <> '' GROUP BY keyword""",
 )
 def keyword_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = i.table(spark, sf_dir, "documents")
-    uses = docs.select("doc_id", F.explode(keyword_list(F.col("text"))).alias("keyword"))
-    per_doc = uses.groupBy("keyword", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("keyword").agg(
-        F.sum("n").alias("n_uses"), F.count(F.lit(1)).alias("n_docs")
+    words = keyword_list(F.col("text"))
+
+    def counted(keywords, uses: int, docs: int):
+        return F.transform(
+            keywords, lambda k: F.struct(k.alias("k"), F.lit(uses).alias("u"), F.lit(docs).alias("d"))
+        )
+
+    # Every use and every distinct keyword of a text, so one shuffle counts both.
+    both = F.concat(counted(words, 1, 0), counted(F.array_distinct(words), 0, 1))
+    rows = i.table(spark, sf_dir, "documents").select(F.explode(both).alias("r"))
+    return rows.groupBy(F.col("r.k").alias("keyword")).agg(
+        F.sum("r.u").alias("n_uses"), F.sum("r.d").alias("n_docs")
     )
 
 

@@ -65,10 +65,11 @@ SMALL_BYTES = 64 * 1024 * 1024
 
 
 def _is_small(table: DataFrame, max_rows: int) -> bool:
-    """Count a materialised table and the length of its rows as JSON text."""
+    """Count a materialised table; if it has few rows, also add up their length as JSON."""
+    if table.count() > max_rows:
+        return False
     size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in table.columns]))))
-    rows, data = table.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
-    return rows <= max_rows and data <= SMALL_BYTES
+    return (table.agg(size).first()[0] or 0) <= SMALL_BYTES
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
@@ -89,14 +90,17 @@ def lookup(
     spread: list[str] | None = None,
     max_rows: int = SMALL_ROWS,
     salts: int = 16,
+    materialised: bool = False,
 ) -> DataFrame:
     """Join a table that is unique in ``on`` to rows whose keys may be very uneven.
 
     A small table is broadcast after measuring it. A larger one is repeated once
     per salt, so that a key holding a third of the rows is served by many tasks;
     ``spread`` names row columns that vary within a key, by default all plain ones.
+    ``materialised`` says that the table is read from storage as it is.
     """
-    table = cut_lineage(table)
+    if not materialised:
+        table = cut_lineage(table)
     if _is_small(table, max_rows):
         return df.join(F.broadcast(table), on, how)
     if spread is None:

@@ -101,9 +101,13 @@ def test_components_of_long_paths(spark):
     assert got == expected
 
 
-def test_eps_from_sample(spark):
-    df = spark.createDataFrame([(float(n),) for n in range(101)], "d double")
-    assert density.eps_from_sample(df, "d", 0.9) == 90.0
+def test_suggest_eps(spark):
+    points = mixture(6)
+    xy = np.array([points[k] for k in sorted(points)])
+    d = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(-1))
+    expected = np.sort(np.sort(d, axis=1)[:, 4])
+    got = density.suggest_eps(frame(spark, points), 4, 0.9, 10_000)
+    assert expected[int(0.88 * len(xy))] - 1e-4 <= got <= expected[int(0.92 * len(xy))] + 1e-4
 
 
 def test_row_order_does_not_matter(spark):

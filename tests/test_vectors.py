@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from noticelens.operators import maxsim as m
 from noticelens.operators import vectors as v
+from noticelens.session import shared_path
+from noticelens.sources.tables import read_sheet, write_book
 from noticelens.operators.weaklabel import candidates, judge, value_summary, weak_label
 
 DIM, TITLES = 6, 90
@@ -171,6 +173,18 @@ def test_weak_label_rules_come_first(spark, titles, keywords):
     assert (first.confidence_score, first.final_ensemble_score, first.predicted_dept) == (1.0, None, "N/A")
     assert all(r.confidence_score == 0.0 and r.final_ensemble_score is not None for n, r in rows.items() if n)
     assert {r.dept_match_status for r in rows.values() if r.predicted_label == "l1"} <= {"match"}
+    book = shared_path(spark, "book")
+    labelled = weak_label(notices, keywords, kb, threshold=0.5)
+    write_book(
+        {
+            "Classification_Result": labelled,
+            "Label_Summary": value_summary(labelled, "predicted_label", "final_label"),
+        },
+        book,
+    )
+    sheet = read_sheet(spark, book, "Label_Summary")
+    assert sheet.agg(F.sum("count")).first()[0] == TITLES
+    assert read_sheet(spark, book, "Classification_Result").count() == TITLES
     summary = value_summary(spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "x string"), "x", "label")
     assert [tuple(r) for r in summary.collect()] == [("b", 2), ("a", 1)]
 
