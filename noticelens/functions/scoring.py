@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -25,18 +25,27 @@ def total(cells: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, cells)
 
 
-def softmax(logits: Column, k: int) -> Column:
-    """Softmax over ``k`` logits; null logits give null."""
-    cells = array_cells(logits, k)
-    top = F.greatest(*cells) if k > 1 else cells[0]
-    exps = F.array(*[F.exp(c - top) for c in cells])
-    norm = F.aggregate(exps, F.lit(0.0), lambda acc, e: acc + e)
-    return F.when(logits.isNotNull(), F.transform(exps, lambda e: e / norm))
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Bind a value once for an expression that reads it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def softmax(logits: Column) -> Column:
+    """Softmax over an array of logits; null logits give null."""
+
+    def exps(cells: Column) -> Column:
+        return with_value(F.array_max(cells), lambda top: F.transform(cells, lambda c: F.exp(c - top)))
+
+    def shares(e: Column) -> Column:
+        norm = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+        return with_value(norm, lambda n: F.transform(e, lambda x: x / n))
+
+    return with_value(with_value(logits.cast("array<double>"), exps), shares)
 
 
 def prob_map(logits: Column, labels: Sequence[str]) -> Column:
     """label -> probability; a failed inference (null logits) is an empty map."""
-    probs = F.map_from_arrays(F.array(*[F.lit(x) for x in labels]), softmax(logits, len(labels)))
+    probs = F.map_from_arrays(F.array(*[F.lit(x) for x in labels]), softmax(logits))
     return F.coalesce(probs, F.create_map().cast("map<string,double>"))
 
 

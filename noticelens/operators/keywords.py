@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import NO_KEYWORDS, SEED, STOP_WORDS
 from noticelens.functions.text import word_tokens
 from noticelens.operators.ranking import seeded_order, top_n
-from noticelens.session import small_side
+from noticelens.session import cut_lineage, lookup, small_side
 
 
 def cluster_keywords(
@@ -22,47 +26,96 @@ def cluster_keywords(
     n: int = 20,
     max_features: int = 2000,
     stop_words: Sequence[str] = tuple(STOP_WORDS),
-    broadcast_rows: int = 1_000_000,
+    in_row_terms: int = 300_000,
 ) -> DataFrame:
     """Top terms per cluster by summed, length-normalised TF-IDF: (cluster, rank, term, score).
 
-    Every cluster is a corpus of its own. Texts are placed once by document; term
-    counts, their weights and the document norms then need no further shuffle, and
-    only per-(cluster, term) partial sums move. A cluster of any size therefore
-    spreads over all tasks. Ranking uses the score rounded to 6 digits, ties
-    alphabetical.
+    Every cluster is a corpus of its own. Two counting passes shuffle only partial
+    sums per (cluster, term) and give the vocabulary with its weights. While that
+    has at most ``in_row_terms`` entries, texts are weighed where they lie; a larger
+    one is joined. A cluster of any size spreads over all tasks. Ranking uses the
+    score rounded to 6 digits, ties alphabetical.
     """
     docs = df.filter(F.col(text_col).isNotNull()).select(
         F.col(cluster).alias("c"), F.col(key).alias("d"), F.col(text_col).alias("t")
     )
-    sizes = small_side(docs.groupBy("c").agg(F.count(F.lit(1)).alias("n_docs")))
+    vocabulary = cut_lineage(_vocabulary(docs, max_features, stop_words))
+    if vocabulary.count() <= in_row_terms:
+        scores = _scores_in_rows(docs, vocabulary)
+    else:
+        scores = _scores_by_join(docs, vocabulary)
+    top = W.partitionBy("c").orderBy(F.desc("score"), F.asc("term"))
+    ranked = scores.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= n)
+    return ranked.select(F.col("c").alias(cluster), "rank", "term", "score")
+
+
+def _vocabulary(docs: DataFrame, max_features: int, stop_words: Sequence[str]) -> DataFrame:
+    """(c, term, idf) of the most used terms per cluster, at most ``max_features`` each."""
+    words = word_tokens(F.col("t"))
+
+    def counted(terms: Column, name: str) -> DataFrame:
+        rows = docs.select("c", F.explode(terms).alias("term"))
+        kept = rows.filter(~F.col("term").isin(list(stop_words)))
+        return kept.groupBy("c", "term").agg(F.count(F.lit(1)).alias(name))
+
+    order = [F.desc("total"), F.asc("term")]
+    most_used = top_n(counted(words, "total"), ["c"], order, max_features, F.col("term"))
+    found_in = counted(F.array_distinct(words), "df")
+    sizes = docs.groupBy("c").agg(F.count(F.lit(1)).alias("n_docs"))
+    idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
+    return most_used.join(found_in, ["c", "term"]).join(sizes, "c").select("c", "term", idf.alias("idf"))
+
+
+def _scores_in_rows(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Weigh and normalise each text as one sparse vector, then add up per term.
+
+    Terms are named by cluster and word, so one count vectorizer serves all
+    clusters and a term's place in the vector tells its cluster.
+    """
+
+    def name(word: Column) -> Column:
+        return F.concat(F.col("c").cast("string"), F.lit(":"), word)
+
+    terms = vocabulary.select(name(F.col("term")).alias("name"), "idf").toPandas()
+    names = terms["name"].tolist() or [""]
+    weights = terms["idf"].tolist() or [0.0]
+    stages = PipelineModel(
+        [
+            CountVectorizerModel.from_vocabulary(names, inputCol="words", outputCol="tf"),
+            ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="w"),
+            Normalizer(inputCol="w", outputCol="unit"),
+        ]
+    )
+    named = docs.select(F.transform(word_tokens(F.col("t")), name).alias("words"))
+    cells = F.unwrap_udt("unit")
+    parts = stages.transform(named).select(
+        F.explode(F.arrays_zip(cells["indices"].alias("at"), cells["values"].alias("share"))).alias("p")
+    )
+    sums = parts.groupBy("p.at").agg(F.round(F.sum("p.share"), 6).alias("score"))
+    places = pd.DataFrame({"at": range(len(terms)), "name": terms["name"]})
+    at = docs.sparkSession.createDataFrame(places, "at int, name string")
+    named_terms = vocabulary.select("c", "term", name(F.col("term")).alias("name"))
+    return sums.join(at, "at").join(named_terms, "name").select("c", "term", "score")
+
+
+def _scores_by_join(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The same scores by joining term counts with a vocabulary of any size.
+
+    Texts are placed once by document, which serves the counts and the norms; a
+    frequent term's rows are spread over salts in the join.
+    """
     counts = (
         docs.repartition("d")
         .select("c", "d", F.explode(word_tokens(F.col("t"))).alias("term"))
-        .filter(~F.col("term").isin(list(stop_words)))
         .groupBy("c", "d", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    terms = counts.groupBy("c", "term").agg(
-        F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")
+    weighted = lookup(counts, vocabulary, ["c", "term"], spread=["d"], materialised=True).withColumn(
+        "w", F.col("tf") * F.col("idf")
     )
-    order = [F.desc("total"), F.asc("term")]
-    kept = top_n(terms, ["c"], order, max_features, F.col("term"))
-    idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    vocabulary = kept.join(sizes, "c").select("c", "term", idf.alias("idf"))
-    # At most max_features rows per cluster, and the clusters are counted.
-    if sizes.count() * max_features <= broadcast_rows:
-        vocabulary = F.broadcast(vocabulary)
-    weighted = counts.join(vocabulary, ["c", "term"]).withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("c", "d")))
-    scores = (
-        weighted.withColumn("share", F.col("w") / norm)
-        .groupBy("c", "term")
-        .agg(F.round(F.sum("share"), 6).alias("score"))
-    )
-    top = W.partitionBy("c").orderBy(F.desc("score"), F.asc("term"))
-    ranked = scores.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= n)
-    return ranked.select(F.col("c").alias(cluster), "rank", "term", "score")
+    shares = weighted.withColumn("share", F.col("w") / norm)
+    return shares.groupBy("c", "term").agg(F.round(F.sum("share"), 6).alias("score"))
 
 
 def _first_rows(

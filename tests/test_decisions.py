@@ -66,7 +66,7 @@ def test_bid_category(spark):
 
 def test_softmax_and_failed_inference(spark):
     df = spark.createDataFrame([([1000.0, 1000.0],), (None,)], "l array<double>")
-    rows = df.select(softmax(F.col("l"), 2).alias("s"), prob_map(F.col("l"), ["a", "b"]).alias("m")).collect()
+    rows = df.select(softmax(F.col("l")).alias("s"), prob_map(F.col("l"), ["a", "b"]).alias("m")).collect()
     assert rows[0].s == [0.5, 0.5] and rows[0].m == {"a": 0.5, "b": 0.5}
     assert rows[1].s is None and rows[1].m == {}
 

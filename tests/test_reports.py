@@ -49,9 +49,9 @@ def brute(cap):
     return out
 
 
-@pytest.mark.parametrize("cap,broadcast_rows", [(2000, 1_000_000), (2000, 0), (3, 1_000_000)])
-def test_cluster_keywords(docs, cap, broadcast_rows):
-    got = keywords.cluster_keywords(docs, "cluster_id", "id", "text", max_features=cap, broadcast_rows=broadcast_rows)
+@pytest.mark.parametrize("cap,in_row", [(2000, 300_000), (2000, 0), (3, 300_000), (3, 0)])
+def test_cluster_keywords(docs, cap, in_row):
+    got = keywords.cluster_keywords(docs, "cluster_id", "id", "text", max_features=cap, in_row_terms=in_row)
     rows = {(r.cluster_id, r["rank"]): (r.term, pytest.approx(r.score, abs=1e-6)) for r in got.collect()}
     assert rows == brute(cap)
 
