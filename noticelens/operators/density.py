@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import SEED
 from noticelens.operators.ranking import dense_index, seeded_sample
 from noticelens.operators.vectors import knn
-from noticelens.session import cut_lineage, lookup, small_side
+from noticelens.session import cut_lineage, is_small, lookup, small_side
 
 _FINEST = 10
 _REACH = range(-2, 3)
@@ -100,9 +100,7 @@ def _core_sparse(sparse: DataFrame, points: DataFrame, eps: float, side: float,
         "a.key",
         F.col("a.x0").alias("x"),
         F.col("a.y0").alias("y"),
-        F.col("b.sx").alias("sx"),
-        F.col("b.sy").alias("sy"),
-        F.col("b.n").alias("n"),
+        *[F.col(f"b.{c}").alias(c) for c in ("cx", "cy", "sx", "sy", "n")],
         (far <= limit).alias("inside"),
     )
     seen = cut_lineage(seen)
@@ -124,12 +122,14 @@ def _core_sparse(sparse: DataFrame, points: DataFrame, eps: float, side: float,
     placed = points.select(
         "x",
         "y",
+        "cx",
+        "cy",
         F.floor(F.col("x") / step).cast("double").alias("sx"),
         F.floor(F.col("y") / step).cast("double").alias("sy"),
         F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int").alias("_salt"),
     ).alias("b")
     dx, dy = F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("sx", "sy", "_salt")]
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("cx", "cy", "sx", "sy", "_salt")]
     close = straddling.join(placed, same + [dx * dx + dy * dy <= limit])
     counted = close.groupBy("a.key").agg(
         (F.count(F.lit(1)) + F.max("a.sure")).alias("found")
@@ -181,7 +181,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     edges = cut_lineage(edges)
     state = cut_lineage(nodes.select("id", F.col("id").alias("f"), F.col("id").alias("gf")))
-    total = None
+    small, total = is_small(state), None
     while True:
         lowest = (
             edges.join(state.select(F.col("id").alias("v"), "gf"), "v")
@@ -194,9 +194,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         hooked = seen.join(offers, "id", "left").select(
             "id", F.least("f", "gf", "m", "offer").alias("f")
         )
-        hooked = cut_lineage(hooked)
         parents = hooked.select(F.col("id").alias("f"), F.col("f").alias("gf"))
-        jumped = lookup(hooked, parents, ["f"], spread=["id"], materialised=True)
+        jumped = lookup(hooked, parents, ["f"], spread=["id"], small=small)
         state = cut_lineage(jumped.select("id", "f", "gf"))
         # Parents only ever fall, so equal sums mean that nothing moved.
         sums = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("f", "gf")]

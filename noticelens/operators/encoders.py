@@ -89,15 +89,19 @@ def encode_channels(
 def project_2d(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
     """Adds x and y: the two main axes of a vector column.
 
-    The sign of each axis is fixed by making its largest loading positive.
+    The sign of each axis is fixed by making its largest loading positive. A row
+    without a vector has no place.
     """
-    vectors = df.withColumn("_v", array_to_vector(F.col(vec_col).cast("array<double>")))
-    model = PCA(k=2, inputCol="_v", outputCol="_p").fit(vectors.filter(F.col("_v").isNotNull()))
+    given = F.col(vec_col).cast("array<double>")
+    fitted = df.filter(given.isNotNull()).select(array_to_vector(given).alias("_v"))
+    model = PCA(k=2, inputCol="_v", outputCol="_p").fit(fitted)
     axes = model.pc.toArray().T
     signs = [1.0 if axis[abs(axis).argmax()] >= 0 else -1.0 for axis in axes]
+    blank = F.array_repeat(F.lit(0.0), axes.shape[1])
+    vectors = df.withColumn("_v", array_to_vector(F.coalesce(given, blank)))
     cells = vector_to_array("_p")
-    return (
-        model.transform(vectors)
-        .withColumns({"x": F.get(cells, F.lit(0)) * signs[0], "y": F.get(cells, F.lit(1)) * signs[1]})
-        .drop("_v", "_p")
-    )
+
+    def place(n: int):
+        return F.when(F.col(vec_col).isNotNull(), F.get(cells, F.lit(n)) * signs[n])
+
+    return model.transform(vectors).withColumns({"x": place(0), "y": place(1)}).drop("_v", "_p")

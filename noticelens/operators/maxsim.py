@@ -8,10 +8,11 @@ which score 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,37 +57,53 @@ def attach_vectors(kb: DataFrame, keyword_vectors: DataFrame, null_as_nan: bool
     return explode_keywords(kb, null_as_nan).join(keyword_vectors, "keyword").drop("keyword")
 
 
-class _Block:
-    """Keyword vectors of one block, sorted by label, with each label's first row."""
+class KeywordBlock(NamedTuple):
+    """Keyword vectors sorted by label, with each label's first row.
+
+    Shipped to the tasks as a plain tuple.
+    """
+
+    label_ids: np.ndarray
+    starts: np.ndarray
+    channels: dict[str, np.ndarray]
+
+    @property
+    def width(self) -> int:
+        return len(next(iter(self.channels.values())))
 
-    def __init__(self, rows, channels: Sequence[str]):
-        rows = sorted(rows, key=lambda r: (r["label_id"], r["keyword_id"]))
-        ids = np.array([r["label_id"] for r in rows], dtype=np.int64)
-        self.label_ids, self.starts = np.unique(ids, return_index=True)
-        self.channels = {c: unit_rows(stack(rows, c)) for c in channels}
-        self.width = len(rows)
 
-    def best(self, batch: pa.RecordBatch, channel: str) -> np.ndarray:
-        """rows x labels: the largest cosine to any keyword of the label."""
-        keywords = self.channels[channel]
-        titles = unit_rows(to_matrix(column_of(batch, channel), keywords.shape[1]))
-        return np.maximum.reduceat(titles @ keywords.T, self.starts, axis=1)
+def _block(rows: list[Row], channels: Sequence[str]) -> KeywordBlock:
+    rows = sorted(rows, key=lambda r: (r["label_id"], r["keyword_id"]))
+    ids = np.array([r["label_id"] for r in rows], dtype=np.int64)
+    label_ids, starts = np.unique(ids, return_index=True)
+    return KeywordBlock(label_ids, starts, {c: unit_rows(stack(rows, c)) for c in channels})
 
 
-def _keyword_blocks(keywords: DataFrame, channels: Sequence[str], max_cells: int) -> list[_Block]:
-    present = keywords.select("label_id", "keyword_id", *channels)
-    for c in channels:
-        present = present.filter(F.col(c).isNotNull())
-    pieces = blocks(present, ["label_id", "keyword_id"], channels, max_cells)
-    return [_Block(rows, channels) for rows in pieces if rows]
+def best_per_label(
+    batch: pa.RecordBatch, channel: str, keywords: np.ndarray, starts: np.ndarray
+) -> np.ndarray:
+    """rows x labels: the largest cosine to any keyword of the label."""
+    titles = unit_rows(to_matrix(column_of(batch, channel), keywords.shape[1]))
+    return np.maximum.reduceat(titles @ keywords.T, starts, axis=1)
+
+
+def _keyword_blocks(
+    keywords: DataFrame, channels: Sequence[str], max_cells: int
+) -> list[KeywordBlock]:
+    table = keywords.select("label_id", "keyword_id", *channels)
+    pieces = blocks(table, ["label_id", "keyword_id"], channels, max_cells)
+    return [_block(rows, channels) for rows in pieces if rows]
 
 
 def _label_table(labels: DataFrame) -> DataFrame:
     return cut_lineage(labels.select(F.col("label_id").cast("bigint").alias("label_id"), "label"))
 
 
-def _without_keywords(names: DataFrame, keywords: DataFrame) -> DataFrame:
-    return names.join(keywords.select("label_id").distinct(), "label_id", "left_anti")
+def _without_keywords(
+    names: DataFrame, keywords: DataFrame, channels: Sequence[str]
+) -> DataFrame:
+    given = keywords.dropna(subset=list(channels)).select("label_id").distinct()
+    return names.join(given, "label_id", "left_anti")
 
 
 def score_labels(
@@ -106,16 +123,16 @@ def score_labels(
     scored = None
     pieces = _keyword_blocks(keywords, channels, max_cells)
     for piece in pieces:
-        shared = sc.broadcast(piece)
+        shared = sc.broadcast(tuple(piece))
         fields = [T.StructField("_labels", T.ArrayType(T.LongType()))]
         fields += [T.StructField(f"_{c}", T.ArrayType(T.DoubleType())) for c in channels]
 
         def work(batch, shared=shared):
-            block = shared.value
-            n, m = batch.num_rows, len(block.label_ids)
+            label_ids, starts, matrices = shared.value
+            n, m = batch.num_rows, len(label_ids)
             offsets = pa.array(np.arange(0, n * m + 1, m, dtype=np.int32))
-            columns = [np.tile(block.label_ids, n)]
-            columns += [block.best(batch, c).ravel() for c in channels]
+            columns = [np.tile(label_ids, n)]
+            columns += [best_per_label(batch, c, matrices[c], starts).ravel() for c in channels]
             return [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in columns]
 
         part = map_batches(df, channels, fields, work, piece.width)
@@ -152,7 +169,7 @@ def maxsim(
         id_col, "label", F.col(channel).alias("score")
     )
     # One array of label names, repeated per title like the score table itself.
-    empty = _without_keywords(names, keywords).agg(F.collect_list("label")).scalar()
+    empty = _without_keywords(names, keywords, [channel]).agg(F.collect_list("label")).scalar()
     zeros = df.withColumn("_empty", empty).select(
         id_col, F.explode("_empty").alias("label"), F.lit(0.0).alias("score")
     )
@@ -179,7 +196,7 @@ def ensemble_label(
     names = _label_table(labels)
     pieces = _keyword_blocks(keywords, channels, max_cells)
     # Labels without keywords all score 0 and only the first of them can win.
-    first_empty = _without_keywords(names, keywords).agg(F.min("label_id")).first()[0]
+    first_empty = _without_keywords(names, keywords, channels).agg(F.min("label_id")).first()[0]
     if len(pieces) == 1:
         best = _best_in_batch(df, pieces[0], channels, weights, first_empty)
     else:
@@ -202,18 +219,17 @@ _BEST = [
 
 
 def _best_in_batch(df, block, channels, weights, first_empty) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast((block, first_empty))
+    shared = df.sparkSession.sparkContext.broadcast((tuple(block), first_empty))
 
     def work(batch):
-        block, first_empty = shared.value
+        (ids, starts, matrices), first_empty = shared.value
         given = np.ones(batch.num_rows, dtype=bool)
         for c in channels:
             given &= column_of(batch, c).is_valid().to_numpy(zero_copy_only=False)
         if not given.any():
             return [pa.nulls(batch.num_rows, t) for t in (pa.int64(), *[pa.float64()] * 3)]
         part = batch.filter(pa.array(given))
-        a, b = (block.best(part, c) for c in channels)
-        ids = block.label_ids
+        a, b = (best_per_label(part, c, matrices[c], starts) for c in channels)
         if first_empty is not None:
             at = int(np.searchsorted(ids, first_empty))
             ids = np.insert(ids, at, first_empty)

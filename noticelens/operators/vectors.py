@@ -35,9 +35,10 @@ def blocks(
     """The rows of a vector table in pieces of bounded size, usually one piece.
 
     The table is materialised once; its cells are counted before anything is
-    fetched, and every piece is fetched by its own filter.
+    fetched, and every piece is fetched by its own filter. Rows without a vector
+    are left out.
     """
-    df = cut_lineage(df)
+    df = cut_lineage(df.dropna(subset=list(vec_cols)))
     cells = df.agg(*[F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(c) for c in vec_cols]).first()
     n = sum(cells)
     if n <= max_cells:
@@ -117,8 +118,11 @@ def mean_pool(
 
 
 def group_means(df: DataFrame, keys: Sequence[str], vec_cols: Sequence[str]) -> DataFrame:
-    """Mean vector per group and vector column, merged partially before the shuffle."""
-    means = df.groupBy(*keys).agg(
+    """Mean vector per group and vector column over rows that have all of them.
+
+    Merged partially before the shuffle.
+    """
+    means = df.dropna(subset=list(vec_cols)).groupBy(*keys).agg(
         *[
             Summarizer.mean(array_to_vector(F.col(c).cast("array<double>"))).alias(c)
             for c in vec_cols

@@ -149,7 +149,7 @@ def density_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     d AS (
       SELECT label_id AS query_id, id, list_sum(list_transform(list_zip(v, a), lambda z: (z[1] - z[2]) ** 2)) AS d
       FROM c CROSS JOIN e)
-    SELECT query_id, id, round(d, 6) AS distance,
+    SELECT CAST(query_id AS BIGINT) AS query_id, id, round(d, 6) AS distance,
            CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
     FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) <= 10""",
 )

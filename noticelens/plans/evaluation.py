@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelens.fixed_values import MODEL_PROBABILITY, RULE_PROBABILITY, SCORING_RULES
+from noticelens.functions.scoring import array_cells
 from noticelens.operators import classes, encoders, evaluate, maxsim, train
 from noticelens.operators.score import score_batch
 from noticelens.plans import inputs as i
@@ -181,15 +182,16 @@ def two_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def eval_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = two_passes(spark, sf_dir)
-    # Ten classes: the weights are ten numbers on the driver, as they are for a model.
-    per_class = classes.class_weights(rows).orderBy("label").collect()
-    weights = [r["weight"] for r in per_class]
+    # One array of class weights in label order, as a scalar subquery.
+    ordered = F.array_sort(F.collect_list(F.struct("label", "weight")))
+    weights = classes.class_weights(rows).agg(F.transform(ordered, lambda c: c["weight"])).scalar()
+    rows = rows.withColumn("weights", weights)
     label = F.col("label")
-    own = F.get(F.array(*[F.lit(w) for w in weights]), label)
+    own = F.get("weights", label)
     first, second = evaluate.Logits("first", 10), evaluate.Logits("second", 10)
     rows = second.attach(first.attach(rows))
     focal = evaluate.focal_loss(first, label, own)
-    smooth, divisor = evaluate.smoothed_ce_parts(first, label, weights)
+    smooth, divisor = evaluate.smoothed_ce_parts(first, label, array_cells(F.col("weights"), 10))
     kl = evaluate.kl_divergence(second, first)
     combined = evaluate.combined_objective(first, second, label, own)
     return rows.agg(

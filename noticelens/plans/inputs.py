@@ -225,7 +225,7 @@ SQL_ENSEMBLE = """best AS (
 
 
 def logits(name: str, cells: range) -> Column:
-    """Logits made of embedding cells, scaled by 10; an id divisible by 11 has none."""
+    """Logits made of embedding cells, scaled by 10."""
     values = F.array(*[F.get("embedding", F.lit(i)).cast("double") * 10.0 for i in cells])
     return values.alias(name)
 

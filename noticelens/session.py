@@ -64,7 +64,7 @@ SMALL_ROWS = 200_000
 SMALL_BYTES = 64 * 1024 * 1024
 
 
-def _is_small(table: DataFrame, max_rows: int) -> bool:
+def is_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
     """Count a materialised table; if it has few rows, also add up their length as JSON."""
     if table.count() > max_rows:
         return False
@@ -79,7 +79,7 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     adaptive execution may still split its skewed partitions.
     """
     df = cut_lineage(df)
-    return F.broadcast(df) if _is_small(df, max_rows) else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def lookup(
@@ -91,17 +91,21 @@ def lookup(
     max_rows: int = SMALL_ROWS,
     salts: int = 16,
     materialised: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a table that is unique in ``on`` to rows whose keys may be very uneven.
 
     A small table is broadcast after measuring it. A larger one is repeated once
     per salt, so that a key holding a third of the rows is served by many tasks;
     ``spread`` names row columns that vary within a key, by default all plain ones.
-    ``materialised`` says that the table is read from storage as it is.
+    ``materialised`` says that the table is read from storage as it is, ``small``
+    that its size was measured before.
     """
-    if not materialised:
-        table = cut_lineage(table)
-    if _is_small(table, max_rows):
+    if small is None:
+        if not materialised:
+            table = cut_lineage(table)
+        small = is_small(table, max_rows)
+    if small:
         return df.join(F.broadcast(table), on, how)
     if spread is None:
         plain = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]

@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import csv
 import logging
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from noticelens.sources.tables import or_missing
 
@@ -115,6 +117,11 @@ def read_csv_dir(
     return or_missing(spark, read, schema, missing)
 
 
+def _literal(path: str) -> str:
+    """A file's URL as a path that the reader takes literally."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(path))
+
+
 def _read(spark, path, encodings, on_fail, require, multi_line, schema) -> DataFrame:
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     # One row per file, like the file listing the driver keeps for any scan.
@@ -127,7 +134,7 @@ def _read(spark, path, encodings, on_fail, require, multi_line, schema) -> DataF
         header = bytes(file.header or b"").decode(file.encoding).lstrip("﻿")
         columns = tuple(next(csv.reader([header]), []))
         if all(c in columns for c in require) and columns:
-            groups[(file.encoding, columns)].append(file.path)
+            groups[(file.encoding, columns)].append(_literal(file.path))
     parts = []
     for (encoding, columns), paths in sorted(groups.items()):
         fields = ", ".join(f"c{i} string" for i in range(len(columns)))
@@ -141,7 +148,7 @@ def _read(spark, path, encodings, on_fail, require, multi_line, schema) -> DataF
         )
     if not parts:
         log.warning("no usable CSV file in %s", path)
-        empty = schema or StructType.fromDDL(", ".join(f"`{c}` string" for c in require))
+        empty = schema or StructType([StructField(c, StringType()) for c in require])
         return spark.createDataFrame([], empty)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

@@ -1,4 +1,5 @@
 import re
+import subprocess
 import sys
 from pathlib import Path
 
@@ -80,3 +81,22 @@ def test_map_only_labelling(spark):
     text = plan(entry.queries()["weak_label_ensemble"](spark, SF))
     assert "MapInArrow" in text and "Exchange hashpartitioning" not in text
     assert "Exchange" not in plan(entry.queries()["score_batch"](spark, SF))
+
+
+OUTSIDE = """
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry", {path!r})
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("weak_label_ensemble", "title_clean"):
+    assert entry.queries()[name](spark, {sf!r}).count() > 0
+"""
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    """Run from a folder and session that know nothing of this repository."""
+    code = OUTSIDE.format(path=entry.__file__, sf=SF)
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

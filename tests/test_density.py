@@ -101,6 +101,15 @@ def test_components_of_long_paths(spark):
     assert got == expected
 
 
+def test_components_of_a_large_graph(spark, monkeypatch):
+    monkeypatch.setattr(density, "is_small", lambda df: False)
+    edges = [(n, n + 2) for n in range(60)]
+    both = spark.createDataFrame(edges + [(b, a) for a, b in edges], "u bigint, v bigint")
+    nodes = spark.createDataFrame([(n,) for n in range(62)], "id bigint")
+    got = {r.id: r.root for r in density.components(nodes, both).collect()}
+    assert got == {n: n % 2 for n in range(62)}
+
+
 def test_suggest_eps(spark):
     points = mixture(6)
     xy = np.array([points[k] for k in sorted(points)])

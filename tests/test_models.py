@@ -77,7 +77,10 @@ def test_built_in_channels(spark):
 def test_project_2d_matches_svd(spark):
     x = rng.normal(size=(60, 5)) * np.array([5, 3, 1, 0.5, 0.1])
     df = spark.createDataFrame([(n, r.tolist()) for n, r in enumerate(x)], "id bigint, embedding array<double>")
-    got = np.array([(r.x, r.y) for r in encoders.project_2d(df).orderBy("id").collect()])
+    nothing = spark.createDataFrame([(99, None)], df.schema)
+    rows = encoders.project_2d(df.unionByName(nothing)).orderBy("id").collect()
+    assert rows.pop().x is None
+    got = np.array([(r.x, r.y) for r in rows])
     _, _, vt = np.linalg.svd(x - x.mean(axis=0))
     axes = np.array([a * np.sign(a[np.abs(a).argmax()]) for a in vt[:2]])
     assert np.allclose(got, x @ axes.T, atol=1e-6)

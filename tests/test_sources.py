@@ -56,6 +56,17 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("한 줄\n두 줄", "acme")]
 
 
+def test_odd_file_names_and_empty_folder(spark, tmp_path):
+    (tmp_path / "공고 [1] 100%.csv").write_bytes((HEADER + "a,b\n").encode())
+    (tmp_path / "x{y}*.csv").write_bytes((HEADER + "공,d\n").encode("euc-kr"))
+    got = sorted(r.notice_name for r in csvdir.read_csv_dir(spark, str(tmp_path)).collect())
+    assert got == ["a", "공"]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "n.txt").write_text("x")
+    assert csvdir.read_csv_dir(spark, str(tmp_path / "sub")).columns == []
+    assert csvdir.read_csv_dir(spark, str(tmp_path / "sub"), require=["a"]).columns == ["a"]
+
+
 def test_missing_inputs(spark, tmp_path):
     nowhere = str(tmp_path / "nowhere")
     empty = csvdir.read_csv_dir(spark, nowhere, schema=schema("participated"), missing="empty")

@@ -74,7 +74,7 @@ def test_ensemble(titles, keywords, labels, max_cells):
 
 def test_label_without_keywords_beats_negative_scores(spark, labels):
     title = spark.createDataFrame([(1, [1.0, 0.0], [1.0, 0.0])], "id bigint, vec_a array<double>, vec_b array<double>")
-    kw = spark.createDataFrame([(0, 0, [-1.0, 0.0], [-1.0, 0.0])], "label_id bigint, keyword_id int, vec_a array<double>, vec_b array<double>")
+    kw = spark.createDataFrame([(0, 0, [-1.0, 0.0], [-1.0, 0.0]), (1, 0, None, None)], "label_id bigint, keyword_id int, vec_a array<double>, vec_b array<double>")
     r = m.ensemble_label(title, kw, labels).first()
     # Labels 1 to 4 have no keywords here; the first of them wins.
     assert (r.predicted_label, r.final_ensemble_score, r.score_a) == ("l1", 0.0, 0.0)
@@ -133,6 +133,11 @@ def test_knn_is_exact_with_copies(spark, max_cells):
     assert len(got) == len(queries)
 
 
+def test_group_means_skip_missing_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 6.0]), (1, None), (2, None)], "k int, v array<float>")
+    assert {r.k: r.v for r in v.group_means(df, ["k"], ["v"]).collect()} == {1: [2.0, 4.0]}
+
+
 def test_knn_of_nothing(spark):
     q = spark.createDataFrame([], "query_id bigint, embedding array<double>")
     c = spark.createDataFrame([(1, [1.0])], "id bigint, embedding array<double>")
