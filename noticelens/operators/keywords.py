@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -40,7 +39,7 @@ def cluster_keywords(
         F.col(cluster).alias("c"), F.col(key).alias("d"), F.col(text_col).alias("t")
     )
     vocabulary = cut_lineage(_vocabulary(docs, max_features, stop_words))
-    if vocabulary.count() <= in_row_terms:
+    if 0 < vocabulary.count() <= in_row_terms:
         scores = _scores_in_rows(docs, vocabulary)
     else:
         scores = _scores_by_join(docs, vocabulary)
@@ -76,13 +75,21 @@ def _scores_in_rows(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     def name(word: Column) -> Column:
         return F.concat(F.col("c").cast("string"), F.lit(":"), word)
 
-    terms = vocabulary.select(name(F.col("term")).alias("name"), "idf").toPandas()
-    names = terms["name"].tolist() or [""]
-    weights = terms["idf"].tolist() or [0.0]
+    listed = vocabulary.withColumn("words", F.array(name(F.col("term"))))
+    counter = CountVectorizer(
+        inputCol="words", outputCol="tf", vocabSize=vocabulary.count(), minDF=1.0
+    ).fit(listed)
+    # Counting a term by itself tells its place in the vectors.
+    placed = cut_lineage(
+        counter.transform(listed).select(
+            "c", "term", "idf", F.get(F.unwrap_udt("tf")["indices"], F.lit(0)).alias("at")
+        )
+    )
+    weights = placed.select("at", "idf").toPandas().sort_values("at")["idf"]
     stages = PipelineModel(
         [
-            CountVectorizerModel.from_vocabulary(names, inputCol="words", outputCol="tf"),
-            ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="w"),
+            counter,
+            ElementwiseProduct(scalingVec=Vectors.dense(weights.to_numpy()), inputCol="tf", outputCol="w"),
             Normalizer(inputCol="w", outputCol="unit"),
         ]
     )
@@ -92,10 +99,7 @@ def _scores_in_rows(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
         F.explode(F.arrays_zip(cells["indices"].alias("at"), cells["values"].alias("share"))).alias("p")
     )
     sums = parts.groupBy("p.at").agg(F.round(F.sum("p.share"), 6).alias("score"))
-    places = pd.DataFrame({"at": range(len(terms)), "name": terms["name"]})
-    at = docs.sparkSession.createDataFrame(places, "at int, name string")
-    named_terms = vocabulary.select("c", "term", name(F.col("term")).alias("name"))
-    return sums.join(at, "at").join(named_terms, "name").select("c", "term", "score")
+    return sums.join(placed, "at").select("c", "term", "score")
 
 
 def _scores_by_join(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -265,9 +265,8 @@ def platt_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("train_binary_cv")
 def train_binary_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = i.labelled_documents(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), F.col("quality").alias("label"), "text"
-    )
+    texts = i.texts(spark, sf_dir, "documents", "doc_id").join(i.table(spark, sf_dir, "labels"), "doc_id")
+    docs = texts.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"), "text")
     docs = cut_lineage(encoders.with_words(docs, "text").drop("text"))
     stages = encoders.Pipeline(
         stages=[

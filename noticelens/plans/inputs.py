@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import CODE_ROLLUP, TAXONOMY
 from noticelens.operators.maxsim import attach_vectors
 from noticelens.operators.vectors import group_means
+from noticelens.session import spread_scan
 from noticelens.sources.tables import mapping_rows
 
 # Title phrases, picked by id; some fire a rule, some do not.
@@ -59,6 +60,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose texts are about to be parsed or cleaned."""
+    return spread_scan(table(spark, sf_dir, name), key)
+
+
 def sql_text(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
@@ -85,10 +91,10 @@ PAGE_TITLE = "<title>(.*?)</title>"
 
 def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.regexp_extract("html", PAGE_TITLE, 1)
-    pages = table(spark, sf_dir, "pages").select(
+    pages = texts(spark, sf_dir, "pages", "page_id").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), title.alias("raw")
     )
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir, "documents", "doc_id").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("raw")
     )
     return pages.unionByName(docs)
@@ -256,9 +262,10 @@ def sql_pairs(name: str, pairs: list[tuple[str, str]]) -> str:
 
 
 # Clusters: the number in documents.source, shifted so that src0 plays the noise.
-def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clustered(spark: SparkSession, sf_dir: str, parse: bool = False) -> DataFrame:
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int") - 1
-    return table(spark, sf_dir, "documents").select("doc_id", number.alias("cluster_id"), "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id") if parse else table(spark, sf_dir, "documents")
+    return docs.select("doc_id", number.alias("cluster_id"), "text")
 
 
 SQL_CLUSTERED = r"""clustered AS (

@@ -143,7 +143,7 @@ def keyword_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Every use and every distinct keyword of a text, so one shuffle counts both.
     both = F.concat(counted(words, 1, 0), counted(F.array_distinct(words), 0, 1))
-    rows = i.table(spark, sf_dir, "documents").select(F.explode(both).alias("r"))
+    rows = i.texts(spark, sf_dir, "documents", "doc_id").select(F.explode(both).alias("r"))
     return rows.groupBy(F.col("r.k").alias("keyword")).agg(
         F.sum("r.u").alias("n_uses"), F.sum("r.d").alias("n_docs")
     )
@@ -159,7 +159,7 @@ def keyword_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(len(cut) AS BIGINT) AS n_tokens FROM w""",
 )
 def window_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = i.table(spark, sf_dir, "conversations")
+    rows = i.texts(spark, sf_dir, "conversations", "conv_id")
     window = token_window(word_tokens(F.col("text"), (), 1), 128)
     return rows.select("conv_id", "turn", window.alias("w")).select(
         "conv_id",

@@ -60,6 +60,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """A plain table scan, spread over all cores if its files give fewer pieces than that.
+
+    Meant for costly text work on a small table in one file. A large table has more
+    pieces than there are cores and is left alone, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 SMALL_ROWS = 200_000
 SMALL_BYTES = 64 * 1024 * 1024
 

@@ -56,6 +56,11 @@ def test_cluster_keywords(docs, cap, in_row):
     assert rows == brute(cap)
 
 
+def test_no_usable_word_at_all(docs):
+    got = keywords.cluster_keywords(docs.filter("cluster_id = 1"), "cluster_id", "id", "text")
+    assert got.count() == 0 and got.columns == ["cluster_id", "rank", "term", "score"]
+
+
 def test_report_book(spark, docs):
     words = keywords.cluster_keywords(docs, "cluster_id", "id", "text")
     samples = keywords.cluster_samples(docs, "cluster_id", "id", "text", n=2)
