@@ -21,18 +21,22 @@ def encode(
     out: str = "embedding",
     batch_size: int = 64,
 ) -> DataFrame:
-    """Run a caller's encoder over a text column in Arrow batches; it is built once per task."""
+    """Run a caller's encoder over a text column in Arrow batches; it is built once per task.
+
+    Null texts are not encoded and get a null vector.
+    """
 
     @F.pandas_udf("array<float>")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = encoder_factory()
         for part in texts:
-            part = part.fillna("")
+            given = part.dropna()
             rows: list = []
-            for start in range(0, len(part), batch_size):
-                batch = part.iloc[start : start + batch_size].tolist()
+            for start in range(0, len(given), batch_size):
+                batch = given.iloc[start : start + batch_size].tolist()
                 rows.extend([list(map(float, v)) for v in encoder(batch)])
-            yield pd.Series(rows, index=part.index)
+            vectors = pd.Series(rows, index=given.index, dtype=object).reindex(part.index)
+            yield vectors.where(vectors.notna(), None)
 
     return df.withColumn(out, run(F.col(text_col)))
 

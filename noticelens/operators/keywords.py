@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import NO_KEYWORDS, SEED, STOP_WORDS
 from noticelens.functions.text import word_tokens
 from noticelens.operators.ranking import seeded_order, top_n
-from noticelens.session import cut_lineage, lookup, small_side
+from noticelens.session import cut_lineage, is_small, lookup, small_side
 
 
 def cluster_keywords(
@@ -39,10 +39,10 @@ def cluster_keywords(
         F.col(cluster).alias("c"), F.col(key).alias("d"), F.col(text_col).alias("t")
     )
     vocabulary = cut_lineage(_vocabulary(docs, max_features, stop_words))
-    if 0 < vocabulary.count() <= in_row_terms:
-        scores = _scores_in_rows(docs, vocabulary)
-    else:
+    if vocabulary.isEmpty() or not is_small(vocabulary, in_row_terms):
         scores = _scores_by_join(docs, vocabulary)
+    else:
+        scores = _scores_in_rows(docs, vocabulary)
     top = W.partitionBy("c").orderBy(F.desc("score"), F.asc("term"))
     ranked = scores.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= n)
     return ranked.select(F.col("c").alias(cluster), "rank", "term", "score")

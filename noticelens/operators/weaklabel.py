@@ -51,8 +51,19 @@ def weak_label(
     final_ensemble_score. It is one pass over the notices: rule rows ride along
     without their vectors, so nothing is scored for them.
     """
+    ruled = _ruled(notices, text_col, rules)
+    options = (channels, weights, threshold, max_cells, id_col)
+    return _label_rest(ruled, keywords, kb, dept_map, *options)
+
+
+def _ruled(notices: DataFrame, text_col: str, rules: Sequence) -> DataFrame:
     cleaned = notices.withColumn("service_title_cleaned", clean_light(F.col(text_col)))
-    ruled = apply_rules(cleaned, "service_title_cleaned", rules)
+    return apply_rules(cleaned, "service_title_cleaned", rules)
+
+
+def _label_rest(
+    ruled, keywords, kb, dept_map, channels, weights, threshold, max_cells, id_col
+) -> DataFrame:
     by_rule = F.col("rule_label").isNotNull()
     rest = ruled.withColumns({c: F.when(~by_rule, F.col(c)) for c in channels})
     labels = kb.select("label_id", F.col("final_label").alias("label"))
@@ -72,21 +83,28 @@ def weak_label_texts(
     kb: DataFrame,
     encode: Callable[[DataFrame, str], DataFrame],
     dept_map: DataFrame | None = None,
+    rules: Sequence = HARD_RULES,
+    weights: Sequence[float] = ENSEMBLE_WEIGHTS,
+    threshold: float = CONFIDENCE_THRESHOLD,
     text_col: str = "service_title",
+    id_col: str = "id",
+    max_cells: int = MAX_BLOCK_CELLS,
     null_as_nan: bool = False,
-    **options,
 ) -> DataFrame:
     """``weak_label`` from plain texts: titles and keywords go through the same encoder.
 
     ``encode(df, column)`` adds the channel columns vec_a and vec_b. Each distinct
-    keyword is encoded once; ``kb`` also holds a comma list ``keywords``.
+    keyword is encoded once, and of the titles only those no rule has labelled; the
+    others reach the encoder as null. ``kb`` also holds a comma list ``keywords``.
     """
+    channels = ("vec_a", "vec_b")
     words = encode(keyword_universe(kb, null_as_nan), "keyword")
-    vectors = attach_vectors(kb, words.select("keyword", "vec_a", "vec_b"), null_as_nan)
-    cleaned = notices.withColumn("_clean", clean_light(F.col(text_col)))
-    return weak_label(
-        encode(cleaned, "_clean").drop("_clean"), vectors, kb, dept_map, text_col=text_col, **options
-    )
+    vectors = attach_vectors(kb, words.select("keyword", *channels), null_as_nan)
+    ruled = _ruled(notices, text_col, rules)
+    open_title = F.when(F.col("rule_label").isNull(), F.col("service_title_cleaned"))
+    encoded = encode(ruled.withColumn("_open", open_title), "_open").drop("_open")
+    options = (channels, weights, threshold, max_cells, id_col)
+    return _label_rest(encoded, vectors, kb, dept_map, *options)
 
 
 def value_summary(df: DataFrame, col: str, name: str, count: str = "count") -> DataFrame:

@@ -10,6 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 from compare import compare, connect  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from noticelens import session  # noqa: E402
+from noticelens.operators import density, keywords, maxsim, vectors, weaklabel  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {
@@ -23,6 +25,31 @@ def con():
     return connect(SF)
 
 
+@pytest.fixture()
+def nothing_is_small(monkeypatch):
+    """Every table counts as large and every vector block as full."""
+    for module in (session, keywords, density):
+        monkeypatch.setattr(module, "is_small", lambda *_: False)
+    limited = [maxsim.maxsim, maxsim.ensemble_label, maxsim.top_labels, maxsim.nearest_label]
+    limited += [weaklabel.weak_label, weaklabel.candidates, vectors.knn]
+    for fn in limited:
+        defaults = tuple(2000 if d == vectors.MAX_BLOCK_CELLS else d for d in fn.__defaults__)
+        monkeypatch.setattr(fn, "__defaults__", defaults)
+
+
+LARGE_PATHS = [
+    "cluster_keywords", "cluster_samples", "density_cluster", "knn_l2", "maxsim_label",
+    "nearest_label", "weak_label_ensemble", "weak_label_full", "label_info_lookup", "dept_match",
+    "taxonomy_rollup", "judge_candidates", "rare_class_filter", "label_encode", "eval_metrics",
+]
+
+
+@pytest.mark.parametrize("name", LARGE_PATHS)
+def test_large_paths_give_the_same(spark, con, nothing_is_small, name):
+    verdict = compare(spark, con, name, SF)
+    assert verdict.startswith("ok"), verdict
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -41,7 +68,8 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_cartesian_product(spark, name):
-    assert "CartesianProduct" not in plan(entry.queries()[name](spark, SF))
+    text = plan(entry.queries()[name](spark, SF))
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
 PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|MapIn\w+|FlatMapGroups\w*")

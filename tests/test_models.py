@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from noticelens.operators import encoders, train
 from noticelens.operators.score import score_batch
+from noticelens.operators.weaklabel import weak_label_texts
 from noticelens.session import shared_path
 from noticelens.streaming.scoring import score_stream
 
@@ -57,7 +58,35 @@ def test_caller_encoder_is_batched(spark):
 
     df = spark.createDataFrame([("abc",), (None,), ("x",)], "t string").coalesce(1)
     got = [r.embedding for r in encoders.encode(df, "t", factory, batch_size=2).collect()]
-    assert got == [[3.0, 1.0], [0.0, 1.0], [1.0, 1.0]]
+    assert got == [[3.0, 1.0], None, [1.0, 1.0]]
+
+
+def test_only_open_titles_are_encoded(spark):
+    def factory():
+        def encoder(texts):
+            if any("safety_check" in t for t in texts):
+                raise RuntimeError("a rule had labelled this title")
+            return [[float("road" in t), float("port" in t)] for t in texts]
+
+        return encoder
+
+    def both(df, col):
+        return encoders.encode(encoders.encode(df, col, factory, "vec_a"), col, factory, "vec_b")
+
+    kb = spark.createDataFrame(
+        [(0, "road_design", "road, ", "d", "A"), (1, "harbor_design", "port,port", "d", "B"), (2, "none", None, "d", "C")],
+        "label_id bigint, final_label string, keywords string, div string, dep string",
+    )
+    titles = ["ring road &amp; more", "new port", "safety_check", "neither", None]
+    notices = spark.createDataFrame(list(enumerate(titles)), "id bigint, service_title string")
+    got = {r.id: (r.predicted_label, r.status, r.confidence_score) for r in weak_label_texts(notices, kb, both).collect()}
+    assert got == {
+        0: ("road_design", "auto_confirmed (ensemble)", 0.0),
+        1: ("harbor_design", "auto_confirmed (ensemble)", 0.0),
+        2: ("structural_safety_inspection", "rule:safety_inspection", 1.0),
+        3: ("road_design", "manual_review_needed (AI)", 0.0),
+        4: ("road_design", "manual_review_needed (AI)", 0.0),
+    }
 
 
 def test_built_in_channels(spark):
