@@ -105,16 +105,17 @@ def mean_pool(
 ) -> DataFrame:
     """Mean of the unmasked token vectors per key; the divisor is at least 1e-9.
 
-    Summarizer merges partial sums before the shuffle, so a long text costs one
-    row per map task.
+    The mask is 0 or 1. Summarizer merges partial sums before the shuffle, so a long
+    text costs one row per map task.
     """
     mask = F.col(mask_col).cast("double")
-    masked = F.transform(F.col(vec_col), lambda x: x.cast("double") * mask)
+    cells = F.col(vec_col).cast("array<double>")
+    masked = F.when(mask > 0, cells).otherwise(F.array_repeat(F.lit(0.0), F.size(cells)))
     pooled = tokens.groupBy(key).agg(
         Summarizer.sum(array_to_vector(masked)).alias("_sum"), F.sum(mask).alias("_n")
     )
-    cells = F.transform(vector_to_array("_sum"), lambda x: x / F.greatest("_n", F.lit(1e-9)))
-    return pooled.select(key, cells.alias(out))
+    mean = F.transform(vector_to_array("_sum"), lambda x: x / F.greatest("_n", F.lit(1e-9)))
+    return pooled.select(key, mean.alias(out))
 
 
 def group_means(df: DataFrame, keys: Sequence[str], vec_cols: Sequence[str]) -> DataFrame:
@@ -145,7 +146,7 @@ def calibrate_minmax(
     )
     span = F.col("high") - F.col("low")
     return ranges.withColumn("scale", F.when(span > 0, span / 255).otherwise(1.0)).withColumn(
-        "zero_point", F.bround(-F.col("low") / F.col("scale")).cast("int")
+        "zero_point", F.rint(-F.col("low") / F.col("scale")).cast("int")
     )
 
 
@@ -161,14 +162,18 @@ def quantize_int8(
     cells = F.col(vec_col).cast("array<double>")
 
     def encode(x: Column) -> Column:
-        code = F.bround(x / F.col("_scale")).cast("int") + F.col("_zero")
+        # rint rounds half to even.
+        code = F.rint(x / F.col("_scale")).cast("int") + F.col("_zero")
         return F.least(F.greatest(code, F.lit(0)), F.lit(255)).cast("short")
 
-    coded = with_params.withColumn(out, F.transform(cells, encode)).withColumn(
-        "decoded", F.transform(out, lambda q: (q - F.col("_zero")) * F.col("_scale"))
-    )
-    errors = F.zip_with(cells, "decoded", lambda x, y: F.abs(x - y))
-    return coded.withColumn("max_error", F.array_max(errors)).drop("_scale", "_zero")
+    def decode(q: Column) -> Column:
+        return (q - F.col("_zero")) * F.col("_scale")
+
+    coded = with_params.withColumn(out, F.transform(cells, encode))
+    errors = F.zip_with(cells, out, lambda x, q: F.abs(x - decode(q)))
+    return coded.withColumns(
+        {"decoded": F.transform(out, decode), "max_error": F.array_max(errors)}
+    ).drop("_scale", "_zero")
 
 
 def knn(
