@@ -70,7 +70,7 @@ def platt_fit(
     n = table.count()
     curve = LogisticRegression(
         featuresCol="_logit", labelCol=label, regParam=1.0 / (c * max(1, n)), standardization=False,
-        maxIter=100,
+        maxIter=200, tol=1e-12,
     )
     return curve.fit(table)
 

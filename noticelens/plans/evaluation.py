@@ -251,7 +251,28 @@ def strategy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumns({c: F.round(c, 6) for c in ("f1", "size_mb", "speed_ms")})
 
 
-@query("platt_scale")
+@query(
+    "platt_scale",
+    """WITH RECURSIVE r AS (
+      SELECT vec_id AS id, embedding[2]::DOUBLE * 10.0::DOUBLE AS x, label % 2 AS y FROM embeddings),
+    d AS (SELECT list({'x': x, 'y': y}) AS rows FROM r),
+    fit(i, w, b) AS (
+      SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
+      UNION ALL
+      SELECT i + 1, w - (gw * hbb - gb * hwb) / (hww * hbb - hwb * hwb),
+             b - (gb * hww - gw * hwb) / (hww * hbb - hwb * hwb)
+      FROM (
+        SELECT i, w, b, w + list_sum(list_transform(ps, lambda z: (z.p - z.y) * z.x)) AS gw,
+               list_sum(list_transform(ps, lambda z: z.p - z.y)) AS gb,
+               1 + list_sum(list_transform(ps, lambda z: z.p * (1 - z.p) * z.x * z.x)) AS hww,
+               list_sum(list_transform(ps, lambda z: z.p * (1 - z.p) * z.x)) AS hwb,
+               list_sum(list_transform(ps, lambda z: z.p * (1 - z.p))) AS hbb
+        FROM (SELECT i, w, b, list_transform(rows, lambda z:
+                       {'x': z.x, 'y': z.y, 'p': 1 / (1 + exp(-(w * z.x + b)))}) AS ps
+              FROM fit, d WHERE i < 25))),
+    best AS (SELECT w, b FROM fit WHERE i = 25)
+    SELECT id, y AS label, round(1 / (1 + exp(-(w * x + b))), 4) AS calibrated FROM r, best""",
+)
 def platt_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = i.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
