@@ -204,7 +204,42 @@ def quantize_int8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("project_2d")
+def _sql_main_axis(name: str, matrix: str, squarings: int = 14) -> str:
+    """The main eigenvector of a symmetric matrix (i, j, v) by repeated squaring."""
+    steps, last = [], matrix
+    for n in range(squarings):
+        now = f"{name}_{n}"
+        steps.append(
+            f"""{now} AS MATERIALIZED (
+      SELECT i, j, v / (sum(v) FILTER (i = j) OVER ()) AS v FROM (
+        SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY a.i, b.j))"""
+        )
+        last = now
+    steps.append(
+        f"""{name} AS MATERIALIZED (
+      SELECT i, v * sign(arg_max(v, abs(v)) OVER ()) / sqrt(sum(v * v) OVER ()) AS v
+      FROM {last} WHERE j = (SELECT arg_max(i, v) FROM {last} WHERE i = j))"""
+    )
+    return ",\n    ".join(steps)
+
+
+SQL_PROJECTED = f"""WITH {i.SQL_VECTORS},
+    x AS (SELECT id, i, a[i] AS v FROM e, range(1, 65) t(i)),
+    mu AS (SELECT i, avg(v) AS m FROM x GROUP BY i),
+    z AS (SELECT id, x.i, v - m AS v FROM x JOIN mu ON mu.i = x.i),
+    cov AS MATERIALIZED (
+      SELECT p.i, q.i AS j, sum(p.v * q.v) AS v FROM z p JOIN z q ON p.id = q.id GROUP BY p.i, q.i),
+    {_sql_main_axis('axis_x', 'cov')},
+    top AS (SELECT sum(cov.v * p.v * q.v) AS value FROM cov JOIN axis_x p ON p.i = cov.i JOIN axis_x q ON q.i = cov.j),
+    rest AS MATERIALIZED (
+      SELECT cov.i, cov.j, cov.v - value * p.v * q.v AS v
+      FROM cov JOIN axis_x p ON p.i = cov.i JOIN axis_x q ON q.i = cov.j, top),
+    {_sql_main_axis('axis_y', 'rest')}
+    SELECT id, round(sum(x.v * p.v), 6) AS x, round(sum(x.v * q.v), 6) AS y
+    FROM x JOIN axis_x p ON p.i = x.i JOIN axis_y q ON q.i = x.i GROUP BY id"""
+
+
+@query("project_2d", SQL_PROJECTED)
 def project_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = i.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     return encoders.project_2d(rows).select(

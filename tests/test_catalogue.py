@@ -15,8 +15,7 @@ from noticelens.operators import density, keywords, maxsim, vectors, weaklabel
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {
-    "project_2d", "encode_channels", "platt_scale", "train_binary_cv", "train_multiclass_cv",
-    "distill_train", "weak_label_text",
+    "encode_channels", "train_binary_cv", "train_multiclass_cv", "distill_train", "weak_label_text",
 }
 
 
