@@ -8,6 +8,7 @@ which score 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -266,7 +267,14 @@ def _best_by_shuffle(df, keywords, channels, weights, first_empty, max_cells, id
         "score_a",
         "score_b",
     )
-    return df.drop(*channels).join(best, id_col, "left")
+    has_vectors = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in channels])
+    rows = df.withColumn("_given", has_vectors).drop(*channels).join(best, id_col, "left")
+    if first_empty is not None:
+        # Without any keyword vector there is no score row, yet every label scores 0.
+        zero = {"label_id": first_empty, "final_ensemble_score": 0.0, "score_a": 0.0, "score_b": 0.0}
+        filled = {c: F.when(F.col("_given"), F.coalesce(c, F.lit(v))) for c, v in zero.items()}
+        rows = rows.withColumns(filled)
+    return rows.drop("_given")
 
 
 def top_labels(

@@ -80,6 +80,13 @@ def test_label_without_keywords_beats_negative_scores(spark, labels):
     assert (r.predicted_label, r.final_ensemble_score, r.score_a) == ("l1", 0.0, 0.0)
 
 
+def test_no_keyword_vector_at_all(titles, keywords, labels):
+    got = m.ensemble_label(titles, keywords.limit(0), labels).collect()
+    assert {(r.predicted_label, r.final_ensemble_score, r.score_b) for r in got} == {("l0", 0.0, 0.0)}
+    scores = m.maxsim(titles, keywords.limit(0), labels, "vec_a")
+    assert scores.count() == TITLES * len(LABELS) and scores.filter("score <> 0").count() == 0
+
+
 @pytest.mark.parametrize("max_cells", [v.MAX_BLOCK_CELLS, 60])
 def test_rows_without_vectors_pass_through(titles, keywords, labels, max_cells):
     some = titles.withColumn("vec_a", F.when(F.col("id") % 3 == 0, F.col("vec_a")))
