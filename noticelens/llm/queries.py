@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import quality
+from noticelens.llm import minhash, quality
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
