@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import minhash, quality
+from noticelens.llm import decontaminate, minhash, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_decontamination": sql.DECONTAMINATION}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -35,3 +35,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return decontaminate.judged(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")))
