@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import decontaminate, minhash, quality, sql
+from noticelens.llm import credentials, decontaminate, minhash, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op9_decontamination": sql.DECONTAMINATION}
+ORACLES: dict[str, str] = {
+    "op8_secrets": sql.SECRETS,
+    "op9_decontamination": sql.DECONTAMINATION,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -37,6 +40,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(read(spark, sf_dir, "documents"))
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from noticelens.llm.credentials import BASE, COPIED_BY, KINDS, PLACEHOLDER
+
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 DECONTAMINATION = f"""
@@ -44,3 +46,49 @@ WITH item AS (
 SELECT doc_id, per.r IS NOT NULL AS leaked, coalesce(n_items, 0) AS n_items, item_ids, similarity
 FROM doc LEFT JOIN per USING (r)
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_KINDS = " UNION ALL ".join(
+    f"SELECT r, source, {_quoted(k.name)} AS kind, {n} AS rank, {k.least} AS least, "
+    f"string_split_regex(text, {_quoted(k.pattern)}) AS before, "
+    f"regexp_extract_all(text, {_quoted(k.pattern)}, 0) AS hit, "
+    f"regexp_extract_all(text, {_quoted(k.pattern)}, {k.group}) AS val FROM doc"
+    for n, k in enumerate(KINDS)
+)
+_ENTRY = "kind || ':' || (e - size) || ':' || e"
+_IS_BASE = "kind IN (" + ", ".join(_quoted(k) for k in BASE) + ")"
+
+SECRETS = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+), kind AS ({_KINDS}
+), part AS (
+  SELECT r, source, kind, rank, least, unnest(range(1, len(hit) + 1)) AS i, before, hit, val
+  FROM kind WHERE len(hit) > 0
+), cut AS (
+  SELECT r, source, kind, rank, least, i, length(hit[i]) AS size, val[i] AS v,
+         sum(length(before[i]) + length(hit[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e
+  FROM part
+), span AS (SELECT * FROM cut WHERE length(v) >= least
+), owner AS (
+  SELECT v, count(*) AS owners FROM (SELECT DISTINCT v, source FROM span) GROUP BY v
+), judged AS (
+  SELECT span.*, owners >= {COPIED_BY} OR regexp_matches(span.v, {_quoted(PLACEHOLDER)}) AS example,
+         owners FROM span JOIN owner USING (v)
+), per AS (
+  SELECT r, {", ".join(f"count(*) FILTER (kind = {_quoted(k)}) AS n_{k}" for k in BASE)},
+         string_agg({_ENTRY}, ',' ORDER BY e - size, rank) FILTER ({_IS_BASE}) AS base,
+         string_agg({_ENTRY}, ',' ORDER BY e - size, rank) AS spans,
+         count(*) FILTER (NOT example AND owners = 1) AS n_live,
+         count(*) FILTER (example) AS n_example
+  FROM judged GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM doc LEFT JOIN per USING (r)
+"""
