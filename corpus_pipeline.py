@@ -3,22 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noticelens.llm import quality
+from noticelens.llm import credentials, decontaminate, minhash, pieces, quality
 from noticelens.llm.common import read
+from noticelens.llm.queries import piece_model
 from noticelens.session import shared_path
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier rejects."""
+    """Documents that the quality classifier does not reject."""
     return quality.keep(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class: five-word shingles, similarity 0.8."""
+    return minhash.one_of_each(docs, width=5, percent=80)
+
+
+def unleaked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")))
+
+
+def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked unless many owners have them; lengths follow the texts."""
+    masked = credentials.redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document."""
+    return pieces.encode(docs, piece_model())
+
+
 STAGES = [
     ("quality", good_documents),
+    ("near_duplicates", distinct_documents),
+    ("decontamination", unleaked_documents),
+    ("secrets", masked_documents),
+    ("sentencepiece", encoded_documents),
 ]
 
-# No stage chain of fitted trees, sketches and merges has an SQL form.
+# Fitted trees and byte-pair merges have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 

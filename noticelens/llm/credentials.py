@@ -217,11 +217,11 @@ def redact(
     per = found.groupBy("row").agg(
         F.array_sort(
             F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")))
-        ).alias("_spans")
-    ).withColumnRenamed("row", "_row")
+        ).alias("__spans")
+    ).withColumnRenamed("row", "__row")
     owner, repo = _names(owner_col, repo_col)
-    marked = docs.withColumn("_row", _key(id_col, text_col, owner, repo))
-    marked = lookup(marked, per, ["_row"], "left", spread=[id_col])
+    marked = docs.withColumn("__row", _key(id_col, text_col, owner, repo))
+    marked = lookup(marked, per, ["__row"], "left", spread=[id_col])
     text = F.col(text_col)
 
     def mask(so_far: Column, span: Column) -> Column:
@@ -234,10 +234,10 @@ def redact(
         )
 
     masked = F.aggregate(
-        "_spans",
+        "__spans",
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         mask,
         lambda done: F.concat(done["out"], text.substr(done["at"] + 1, F.length(text))),
     )
-    new = F.when(F.col("_spans").isNotNull(), masked).otherwise(text)
+    new = F.when(F.col("__spans").isNotNull(), masked).otherwise(text)
     return marked.select(*[new.alias(c) if c == text_col else F.col(c) for c in docs.columns])

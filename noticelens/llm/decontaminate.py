@@ -253,6 +253,6 @@ def judged(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
 
 def clean(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that leak no item, with all their columns."""
-    rows = stored(found.select("row").distinct(), "leaking").select(F.col("row").alias("_leaking"))
+    rows = stored(found.select("row").distinct(), "leaking").select(F.col("row").alias("__leaking"))
     rows = F.broadcast(rows) if is_small(rows) else rows
-    return docs.join(rows, row_key(id_col, text_col) == F.col("_leaking"), "left_anti")
+    return docs.join(rows, row_key(id_col, text_col) == F.col("__leaking"), "left_anti")

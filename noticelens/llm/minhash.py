@@ -230,12 +230,12 @@ def _full_sets(docs, nodes, members, width, id_col, text_col) -> DataFrame:
             )
 
     wanted = stored(
-        nodes.join(members, "node").select(F.col("rep").alias("_rep"), "hash", "node"), "wanted"
+        nodes.join(members, "node").select(F.col("rep").alias("__mh_rep"), "hash", "node"), "wanted"
     )
-    reps = wanted.select("_rep").distinct()
+    reps = wanted.select("__mh_rep").distinct()
     if is_small(reps):
         reps = F.broadcast(reps)
-    texts = docs.join(reps, docs[id_col] == reps["_rep"], "left_semi").select(text_col)
+    texts = docs.join(reps, docs[id_col] == reps["__mh_rep"], "left_semi").select(text_col)
     found = texts.mapInArrow(run, "hash binary, full binary")
     return stored(found.join(wanted.select("hash", "node"), "hash").select("node", "full")
                   .dropDuplicates(["node"]), "sets")
@@ -426,3 +426,66 @@ def _remaining(shared: DataFrame, linked: DataFrame, facts: DataFrame, percent:
         & _possible("g", "h", percent),
     )
     return pairs.select(F.col("g.node").alias("a"), F.col("h.node").alias("b")).distinct()
+
+
+def one_of_each(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each class, with all its columns: that of the smallest id.
+
+    Of rows that repeat an id with the same shingles one stays, settled by a hash of the
+    whole row. Rows whose id is null stay.
+    """
+    found = stored(near_duplicates(docs, width, percent, id_col, text_col), "classes")
+    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias("__mh_id")).distinct()
+    repeated = (
+        found.filter(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("__mh_id"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+        .select("__mh_id")
+    )
+    gone, repeated = stored(gone, "gone"), stored(repeated, "repeated")
+    if repeated.isEmpty():
+        return docs.join(_hinted(gone), F.col(id_col) == F.col("__mh_id"), "left_anti")
+    once = docs.join(_hinted(gone.union(repeated).distinct()), F.col(id_col) == F.col("__mh_id"), "left_anti")
+    many = docs.join(_hinted(repeated), F.col(id_col) == F.col("__mh_id"), "left_semi")
+    return once.unionByName(_one_of_repeated(many, found, width, id_col, text_col))
+
+
+def _hinted(ids: DataFrame) -> DataFrame:
+    ids = stored(ids, "ids")
+    return F.broadcast(ids) if is_small(ids) else ids
+
+
+def _one_of_repeated(many, found, width, id_col, text_col) -> DataFrame:
+    """Of rows whose id is repeated, one for each id and set of shingles that stays."""
+    names = many.columns
+    whole = F.struct(*[F.col(c) for c in names])
+    rows = many.select(F.col(id_col).alias("__mh_id"), F.col(text_col).alias("_text"), whole.alias("_row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [np.unique(shingles(t, width, hashes)) for t in strings(batch.column(1))]
+            hashed = pa.array([_set_hash(s) if len(s) else b"" for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, hashed], names=["__mh_id", "_text", "_row", "_set"])
+
+    schema = rows.schema.add("_set", "binary")
+    kept = (
+        found.filter("kept")
+        .select(F.col(id_col).alias("__mh_id"), F.coalesce("set_hash", F.lit(b"")).alias("_set"))
+        .distinct()
+    )
+    return (
+        rows.mapInArrow(run, schema)
+        .join(kept, ["__mh_id", "_set"])
+        .groupBy("__mh_id", "_set")
+        .agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+        .select("_row.*")
+        .select(*names)
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, minhash, quality, sql
+from noticelens.llm import credentials, decontaminate, minhash, pieces, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,20 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def piece_model() -> bytes:
+    """The model file of the encoder; another one is a matter of its path."""
+    import public_tokenizers
+
+    return pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every text, decoded again: their number, checksum and the way back."""
+    docs, model = read(spark, sf_dir, "documents"), piece_model()
+    return pieces.round_trip(docs, model)
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
