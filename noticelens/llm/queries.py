@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, minhash, pieces, quality, sql
+from noticelens.llm import credentials, decontaminate, idfiles, minhash, pieces, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,14 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return decontaminate.judged(docs, decontaminate.leaks(docs, read(spark, sf_dir, "benchmark")))
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    path = idfiles.written_path(spark)
+    idfiles.write_ids(read(spark, sf_dir, "documents"), path, tokenizer)
+    return idfiles.read_ids(spark, path)
