@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, idfiles, minhash, pieces, quality, sql
+from noticelens.llm import credentials, decontaminate, idfiles, licences, minhash, pieces, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = idfiles.written_path(spark)
     idfiles.write_ids(read(spark, sf_dir, "documents"), path, tokenizer)
     return idfiles.read_ids(spark, path)
+
+
+@query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
