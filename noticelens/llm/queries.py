@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, idfiles, licences, minhash, pieces, quality, sql
+from noticelens.llm import credentials, decontaminate, extract, idfiles, licences, minhash, pieces, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read(spark, sf_dir, "pages"))
