@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, extract, idfiles, licences, minhash, pieces, quality, sql
+from noticelens.llm import credentials, decontaminate, extract, idfiles, licences, minhash, mtree, pieces, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op5_top_k": sql.TOP_K,
     "op8_secrets": sql.SECRETS,
     "op9_decontamination": sql.DECONTAMINATION,
 }
@@ -84,3 +85,8 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)

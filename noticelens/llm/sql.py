@@ -92,3 +92,22 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
        coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM doc LEFT JOIN per USING (r)
 """
+
+TOP_K = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 50 = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.e, v.vec_id, v.r,
+         CAST(list_sum(list_transform(list_zip(q.e, v.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id, r) AS rank
+  FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
