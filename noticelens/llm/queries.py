@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, extract, idfiles, licences, minhash, mtree, pieces, quality, sql
+from noticelens.llm import credentials, decontaminate, extract, hmm, idfiles, licences, minhash, mtree, pieces, quality, sql
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id") == 1
+    return hmm.score(read(spark, sf_dir, "documents"), held_out=held_out)
