@@ -62,7 +62,7 @@ BASE = ("assign", "access", "hex")
 # Owners from which on a value counts as a copied example.
 COPIED_BY = 3
 # Parts of values that stand for "put yours here".
-PLACEHOLDER = "(?i)example|sample|changeme|your|dummy|placeholder|xxxx|0000|1234567"
+PLACEHOLDER = "(?i)example|sample|changeme|your|dummy|placeholder|xxxx"
 
 MASK = "[REDACTED]"
 
