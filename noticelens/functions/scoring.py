@@ -69,7 +69,7 @@ def bid_possibility(probs: Column, empty_score: float = 50.0) -> Column:
         .otherwise(F.lit(0.5))
     )
     clipped = F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))
-    return F.when(F.size(probs) == 0, F.lit(float(empty_score))).otherwise(F.bround(clipped, 2))
+    return F.when(F.size(probs) == 0, F.lit(float(empty_score))).otherwise(F.rint(clipped * 100) / 100)
 
 
 def bid_category(text: Column, probs: Column) -> Column:

@@ -153,8 +153,8 @@ def strategy_report(runs: DataFrame) -> DataFrame:
     return wide.withColumn("f1_per_ms", F.round(ratio, 6)).withColumn("rank", F.row_number().over(order))
 
 
-def markdown(df: DataFrame, max_rows: int = 1000) -> str:
-    """A report frame as a markdown table; only meant for summary frames."""
+def markdown(df: DataFrame, max_rows: int) -> str:
+    """A report frame of up to ``max_rows`` rows as a markdown table."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} rows: write the frame instead")

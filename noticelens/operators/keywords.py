@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +11,7 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import NO_KEYWORDS, SEED, STOP_WORDS
 from noticelens.functions.text import word_tokens
 from noticelens.operators.ranking import seeded_order, top_n
-from noticelens.session import cut_lineage, is_small, lookup, small_side
+from noticelens.session import lookup, small_side, written
 
 
 def cluster_keywords(
@@ -23,103 +20,53 @@ def cluster_keywords(
     key: str,
     text_col: str,
     n: int = 20,
-    max_features: int = 2000,
+    max_features: int | None = None,
     stop_words: Sequence[str] = tuple(STOP_WORDS),
-    in_row_terms: int = 300_000,
 ) -> DataFrame:
     """Top terms per cluster by summed, length-normalised TF-IDF: (cluster, rank, term, score).
 
-    Every cluster is a corpus of its own. Two counting passes shuffle only partial
-    sums per (cluster, term) and give the vocabulary with its weights. While that
-    has at most ``in_row_terms`` entries, texts are weighed where they lie; a larger
-    one is joined. A cluster of any size spreads over all tasks. Ranking uses the
-    score rounded to 6 digits, ties alphabetical.
+    Every cluster is a corpus of its own. One pass over the texts writes the term counts
+    of every row; the vocabulary with its weights is summed from them and joined back,
+    a frequent term's rows spread over salts. Rows are told apart by a number of their
+    own, so ``key`` may repeat or be null. ``max_features`` keeps the most used terms of
+    each cluster only. Ranking uses the score rounded to 6 digits, ties alphabetical.
     """
-    docs = df.filter(F.col(text_col).isNotNull()).select(
-        F.col(cluster).alias("c"), F.col(key).alias("d"), F.col(text_col).alias("t")
+    counts = _term_counts(df, cluster, text_col, stop_words)
+    sizes = (
+        df.filter(F.col(text_col).isNotNull())
+        .groupBy(F.col(cluster).alias("c"))
+        .agg(F.count(F.lit(1)).alias("n_docs"))
     )
-    vocabulary = cut_lineage(_vocabulary(docs, max_features, stop_words))
-    if vocabulary.isEmpty() or not is_small(vocabulary, in_row_terms):
-        scores = _scores_by_join(docs, vocabulary)
-    else:
-        scores = _scores_in_rows(docs, vocabulary)
-    top = W.partitionBy("c").orderBy(F.desc("score"), F.asc("term"))
-    ranked = scores.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= n)
+    used = counts.groupBy("c", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    if max_features is not None:
+        order = [F.desc("total"), F.asc("term")]
+        used = top_n(used, ["c"], order, max_features, F.col("term")).drop("rank")
+    idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
+    vocabulary = written(used.join(small_side(sizes), "c").select("c", "term", idf.alias("idf")), "terms")
+    weighted = lookup(counts, vocabulary, ["c", "term"], spread=["row"], materialised=True)
+    weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("row")))
+    shares = weighted.withColumn("share", F.col("w") / norm)
+    scores = shares.groupBy("c", "term").agg(F.round(F.sum("share"), 6).alias("score"))
+    ranked = top_n(scores, ["c"], [F.desc("score"), F.asc("term")], n, F.col("term"))
     return ranked.select(F.col("c").alias(cluster), "rank", "term", "score")
 
 
-def _vocabulary(docs: DataFrame, max_features: int, stop_words: Sequence[str]) -> DataFrame:
-    """(c, term, idf) of the most used terms per cluster, at most ``max_features`` each."""
+def _term_counts(df: DataFrame, cluster: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(row, c, term, tf), written once."""
     words = word_tokens(F.col("t"))
-
-    def counted(terms: Column, name: str) -> DataFrame:
-        rows = docs.select("c", F.explode(terms).alias("term"))
-        kept = rows.filter(~F.col("term").isin(list(stop_words)))
-        return kept.groupBy("c", "term").agg(F.count(F.lit(1)).alias(name))
-
-    order = [F.desc("total"), F.asc("term")]
-    most_used = top_n(counted(words, "total"), ["c"], order, max_features, F.col("term"))
-    found_in = counted(F.array_distinct(words), "df")
-    sizes = docs.groupBy("c").agg(F.count(F.lit(1)).alias("n_docs"))
-    idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    return most_used.join(found_in, ["c", "term"]).join(sizes, "c").select("c", "term", idf.alias("idf"))
-
-
-def _scores_in_rows(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Weigh and normalise each text as one sparse vector, then add up per term.
-
-    Terms are named by cluster and word, so one count vectorizer serves all
-    clusters and a term's place in the vector tells its cluster.
-    """
-
-    def name(word: Column) -> Column:
-        return F.concat(F.col("c").cast("string"), F.lit(":"), word)
-
-    listed = vocabulary.withColumn("words", F.array(name(F.col("term"))))
-    counter = CountVectorizer(
-        inputCol="words", outputCol="tf", vocabSize=vocabulary.count(), minDF=1.0
-    ).fit(listed)
-    # Counting a term by itself tells its place in the vectors.
-    placed = cut_lineage(
-        counter.transform(listed).select(
-            "c", "term", "idf", F.get(F.unwrap_udt("tf")["indices"], F.lit(0)).alias("at")
-        )
+    kept = F.filter(words, lambda w: ~w.isin(list(stop_words))) if stop_words else words
+    rows = (
+        df.filter(F.col(text_col).isNotNull())
+        .select(F.col(cluster).alias("c"), F.col(text_col).alias("t"))
+        .withColumn("row", F.monotonically_increasing_id())
     )
-    weights = placed.select("at", "idf").toPandas().sort_values("at")["idf"]
-    stages = PipelineModel(
-        [
-            counter,
-            ElementwiseProduct(scalingVec=Vectors.dense(weights.to_numpy()), inputCol="tf", outputCol="w"),
-            Normalizer(inputCol="w", outputCol="unit"),
-        ]
-    )
-    named = docs.select(F.transform(word_tokens(F.col("t")), name).alias("words"))
-    cells = F.unwrap_udt("unit")
-    parts = stages.transform(named).select(
-        F.explode(F.arrays_zip(cells["indices"].alias("at"), cells["values"].alias("share"))).alias("p")
-    )
-    sums = parts.groupBy("p.at").agg(F.round(F.sum("p.share"), 6).alias("score"))
-    return sums.join(placed, "at").select("c", "term", "score")
-
-
-def _scores_by_join(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """The same scores by joining term counts with a vocabulary of any size.
-
-    Texts are placed once by document, which serves the counts and the norms; a
-    frequent term's rows are spread over salts in the join.
-    """
-    counts = (
-        docs.repartition("d")
-        .select("c", "d", F.explode(word_tokens(F.col("t"))).alias("term"))
-        .groupBy("c", "d", "term")
+    counted = (
+        rows.select("row", "c", F.explode(kept).alias("term"))
+        .groupBy("row", "c", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    weighted = lookup(counts, vocabulary, ["c", "term"], spread=["d"], materialised=True).withColumn(
-        "w", F.col("tf") * F.col("idf")
-    )
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("c", "d")))
-    shares = weighted.withColumn("share", F.col("w") / norm)
-    return shares.groupBy("c", "term").agg(F.round(F.sum("share"), 6).alias("score"))
+    return written(counted, "counts")
 
 
 def _first_rows(
@@ -127,15 +74,10 @@ def _first_rows(
 ) -> DataFrame:
     """First ``n`` rows per cluster as (cluster, rank, key, text).
 
-    Ranks are found on keys alone, each task keeping its first n per cluster
-    before the shuffle; the chosen texts are fetched by a join on the key.
+    Ranks are found on keys alone, in two steps that no cluster puts into one task;
+    the chosen texts are fetched by a join on the key.
     """
-    window = W.partitionBy(cluster).orderBy(order, F.col(key))
-    chosen = (
-        df.select(cluster, key)
-        .withColumn("rank", F.row_number().over(window))
-        .filter(F.col("rank") <= n)
-    )
+    chosen = top_n(df.select(cluster, key), [cluster], [order, F.col(key)], n, F.col(key))
     texts = df.select(key, text_col)
     return texts.join(small_side(chosen), key).select(cluster, "rank", key, text_col)
 

@@ -7,7 +7,7 @@ which score 0.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -36,7 +36,7 @@ from noticelens.operators.vectors import (
     to_matrix,
     unit_rows,
 )
-from noticelens.session import cut_lineage, lookup
+from noticelens.session import cut_lineage, lookup, written
 
 
 def explode_keywords(kb: DataFrame, null_as_nan: bool = False) -> DataFrame:
@@ -83,17 +83,21 @@ def _block(rows: list[Row], channels: Sequence[str]) -> KeywordBlock:
 def best_per_label(
     batch: pa.RecordBatch, channel: str, keywords: np.ndarray, starts: np.ndarray
 ) -> np.ndarray:
-    """rows x labels: the largest cosine to any keyword of the label."""
+    """rows x labels: the largest cosine to any keyword of the label.
+
+    Rounded, so that equal vectors tie whatever the shape of the product.
+    """
     titles = unit_rows(to_matrix(column_of(batch, channel), keywords.shape[1]))
-    return np.maximum.reduceat(titles @ keywords.T, starts, axis=1)
+    return np.round(np.maximum.reduceat(titles @ keywords.T, starts, axis=1), 12)
 
 
 def _keyword_blocks(
     keywords: DataFrame, channels: Sequence[str], max_cells: int
-) -> list[KeywordBlock]:
+) -> tuple[int, Iterator[KeywordBlock]]:
+    """Blocks in the order of the labels; a label may go on in the next block."""
     table = keywords.select("label_id", "keyword_id", *channels)
-    pieces = blocks(table, ["label_id", "keyword_id"], channels, max_cells)
-    return [_block(rows, channels) for rows in pieces if rows]
+    count, pieces = blocks(table, ["label_id", "keyword_id"], channels, max_cells)
+    return count, (_block(rows, channels) for rows in pieces)
 
 
 def _label_table(labels: DataFrame) -> DataFrame:
@@ -107,6 +111,71 @@ def _without_keywords(
     return names.join(given, "label_id", "left_anti")
 
 
+class _Turn(NamedTuple):
+    """One block on its way over the titles.
+
+    ``open_id`` is the last label of the block before, whose score is carried along in
+    the column ``_open``, since its keywords may go on in this block.
+    """
+
+    block: tuple
+    open_id: int | None
+    last: bool
+
+    def scores(self, batch: pa.RecordBatch, channels: Sequence[str]):
+        """(label ids, a matrix per channel, open scores): labels that are complete now,
+        and the scores of the last label unless this is the last block."""
+        ids, starts, vectors = self.block
+        found = [best_per_label(batch, c, vectors[c], starts) for c in channels]
+        if self.open_id is not None:
+            carried = to_matrix(column_of(batch, "_open"), len(channels))
+            if ids[0] == self.open_id:
+                for n, scores in enumerate(found):
+                    scores[:, 0] = np.maximum(scores[:, 0], carried[:, n])
+            else:
+                ids = np.insert(ids, 0, self.open_id)
+                found = [np.insert(s, 0, carried[:, n], axis=1) for n, s in enumerate(found)]
+        if self.last:
+            return ids, found, None
+        return ids[:-1], [s[:, :-1] for s in found], np.stack([s[:, -1] for s in found], axis=1)
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)[: len(rows) + 1])
+    return pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()))
+
+
+_OPEN = T.StructField("_open", T.ArrayType(T.DoubleType()))
+
+
+def _over_blocks(df, keywords, channels, max_cells, state, work) -> DataFrame | None:
+    """Send the keyword blocks over the titles, one after the other; none gives None.
+
+    ``state`` are the columns that ``work(turn, batch)`` computes from the turn and from
+    their values so far (absent in the first turn). The titles keep their rows, whatever
+    their ids, and drop the channels at the end.
+    """
+    count, pieces = _keyword_blocks(keywords, channels, max_cells)
+    sc = df.sparkSession.sparkContext
+    open_id, rows = None, None
+    for n, piece in enumerate(pieces):
+        last = n == count - 1
+        shared = sc.broadcast(tuple(_Turn(tuple(piece), open_id, last)))
+        before = [] if rows is None else [f.name for f in state] + ["_open"]
+        added = list(state) + ([] if last else [_OPEN])
+
+        def run(batch, shared=shared):
+            return work(_Turn(*shared.value), batch)
+
+        replaced = [*before, *(channels if last else [])]
+        rows = map_batches(df if rows is None else rows, replaced, added, run, piece.width)
+        if not last:
+            rows = written(rows, "turn")
+            shared.unpersist()
+        open_id = int(piece.label_ids[-1])
+    return rows
+
+
 def score_labels(
     df: DataFrame,
     keywords: DataFrame,
@@ -116,43 +185,37 @@ def score_labels(
 ) -> DataFrame:
     """Long score table (id, label_id, one score per channel) of labels with keywords.
 
-    With one block this is a map over the titles. With several, a label's
-    keywords may lie in many blocks, so a max per (id, label) merges them.
+    Every title has one row per label, also when its id is null or repeated.
     """
-    sc = df.sparkSession.sparkContext
     df = df.select(id_col, *channels)
-    scored = None
-    pieces = _keyword_blocks(keywords, channels, max_cells)
-    for piece in pieces:
-        shared = sc.broadcast(tuple(piece))
-        fields = [T.StructField("_labels", T.ArrayType(T.LongType()))]
-        fields += [T.StructField(f"_{c}", T.ArrayType(T.DoubleType())) for c in channels]
-
-        def work(batch, shared=shared):
-            label_ids, starts, matrices = shared.value
-            n, m = batch.num_rows, len(label_ids)
-            offsets = pa.array(np.arange(0, n * m + 1, m, dtype=np.int32))
-            columns = [np.tile(label_ids, n)]
-            columns += [best_per_label(batch, c, matrices[c], starts).ravel() for c in channels]
-            return [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in columns]
-
-        part = map_batches(df, channels, fields, work, piece.width)
-        zipped = F.arrays_zip("_labels", *[f"_{c}" for c in channels])
-        part = part.select(id_col, F.explode(zipped).alias("_s")).select(
-            id_col,
-            F.col("_s._labels").alias("label_id"),
-            *[F.col(f"_s._{c}").alias(c) for c in channels],
-        )
-        scored = part if scored is None else scored.unionByName(part)
-    if scored is None:
+    names = ["_labels", *(f"_{c}" for c in channels)]
+    state = [T.StructField("_labels", T.ArrayType(T.LongType()))]
+    state += [T.StructField(f"_{c}", T.ArrayType(T.DoubleType())) for c in channels]
+
+    def work(turn, batch):
+        ids, found, carried = turn.scores(batch, channels)
+        columns = [np.tile(ids, (batch.num_rows, 1)), *found]
+        if turn.open_id is not None:
+            width = len(column_of(batch, "_labels")[0]) if batch.num_rows else 0
+            sofar = [column_of(batch, c).flatten().to_numpy().reshape(batch.num_rows, width) for c in names]
+            columns = [np.hstack(pair) for pair in zip(sofar, columns)]
+        out = [_lists(c) if c.size else pa.array([[]] * batch.num_rows, t) for c, t in zip(columns, _types(channels))]
+        return out + ([] if carried is None else [_lists(carried)])
+
+    rows = _over_blocks(df, keywords, channels, max_cells, state, work)
+    if rows is None:
         schema = T.StructType(
             [df.schema[id_col], T.StructField("label_id", T.LongType())]
             + [T.StructField(c, T.DoubleType()) for c in channels]
         )
         return df.sparkSession.createDataFrame([], schema)
-    if len(pieces) > 1:
-        scored = scored.groupBy(id_col, "label_id").agg(*[F.max(c).alias(c) for c in channels])
-    return scored
+    return rows.select(id_col, F.explode(F.arrays_zip(*names)).alias("_s")).select(
+        id_col, F.col("_s._labels").alias("label_id"), *[F.col(f"_s._{c}").alias(c) for c in channels]
+    )
+
+
+def _types(channels: Sequence[str]) -> list[pa.DataType]:
+    return [pa.list_(pa.int64()), *[pa.list_(pa.float64())] * len(channels)]
 
 
 def maxsim(
@@ -195,13 +258,44 @@ def ensemble_label(
     without vectors gets no label and no scores.
     """
     names = _label_table(labels)
-    pieces = _keyword_blocks(keywords, channels, max_cells)
     # Labels without keywords all score 0 and only the first of them can win.
     first_empty = _without_keywords(names, keywords, channels).agg(F.min("label_id")).first()[0]
-    if len(pieces) == 1:
-        best = _best_in_batch(df, pieces[0], channels, weights, first_empty)
-    else:
-        best = _best_by_shuffle(df, keywords, channels, weights, first_empty, max_cells, id_col)
+
+    def work(turn, batch):
+        given = np.ones(batch.num_rows, dtype=bool)
+        for c in channels:
+            given &= column_of(batch, c).is_valid().to_numpy(zero_copy_only=False)
+        part = batch.filter(pa.array(given))
+        ids, (a, b), carried = turn.scores(part, channels) if part.num_rows else _nothing(channels)
+        if turn.open_id is None:
+            # Before any label: nothing, or the first label without keywords.
+            number = -1 if first_empty is None else first_empty
+            score = -np.inf if first_empty is None else 0.0
+            best = [np.full(part.num_rows, x) for x in (number, score, score, score)]
+        else:
+            best = [column_of(part, f.name).to_numpy(zero_copy_only=False).copy() for f in _BEST]
+        if len(ids):
+            both = np.round(weights[0] * a + weights[1] * b, 12)
+            at = both.argmax(axis=1)
+            score, number = both[np.arange(len(both)), at], ids[at]
+            wins = (score > best[1]) | ((score == best[1]) & (number < best[0]))
+            best[0], best[1] = np.where(wins, number, best[0]), np.where(wins, score, best[1])
+            best[2], best[3] = np.maximum(best[2], a.max(axis=1)), np.maximum(best[3], b.max(axis=1))
+        # Put the results back among the rows without vectors.
+        slot = pa.array(np.cumsum(given) - 1, mask=~given)
+        columns = [pa.array(best[0].astype(np.int64)), *map(pa.array, best[1:])]
+        if not turn.last:
+            columns.append(_lists(carried) if len(carried) else pa.array([], pa.list_(pa.float64())))
+        return [x.take(slot) for x in columns]
+
+    best = _over_blocks(df, keywords, channels, max_cells, _BEST, work)
+    if best is None:
+        # No keyword vector at all: with vectors, the first label scores 0.
+        has_vectors = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in channels])
+        values = [F.lit(first_empty), *[F.lit(0.0)] * 3]
+        best = df.withColumns(
+            {f.name: F.when(has_vectors, v).cast(f.dataType) for f, v in zip(_BEST, values)}
+        ).drop(*channels)
     found = lookup(best, names, ["label_id"], "left")
     status = F.when(F.col("final_ensemble_score") >= threshold, CONFIRMED_ENSEMBLE).otherwise(
         REVIEW_ENSEMBLE
@@ -219,62 +313,10 @@ _BEST = [
 ]
 
 
-def _best_in_batch(df, block, channels, weights, first_empty) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast((tuple(block), first_empty))
-
-    def work(batch):
-        (ids, starts, matrices), first_empty = shared.value
-        given = np.ones(batch.num_rows, dtype=bool)
-        for c in channels:
-            given &= column_of(batch, c).is_valid().to_numpy(zero_copy_only=False)
-        if not given.any():
-            return [pa.nulls(batch.num_rows, t) for t in (pa.int64(), *[pa.float64()] * 3)]
-        part = batch.filter(pa.array(given))
-        a, b = (best_per_label(part, c, matrices[c], starts) for c in channels)
-        if first_empty is not None:
-            at = int(np.searchsorted(ids, first_empty))
-            ids = np.insert(ids, at, first_empty)
-            a, b = np.insert(a, at, 0.0, axis=1), np.insert(b, at, 0.0, axis=1)
-        both = weights[0] * a + weights[1] * b
-        found = [ids[both.argmax(axis=1)], both.max(axis=1), a.max(axis=1), b.max(axis=1)]
-        # Put the results back among the rows without vectors.
-        slot = pa.array(np.cumsum(given) - 1, mask=~given)
-        return [pa.array(x).take(slot) for x in found]
-
-    return map_batches(df, channels, _BEST, work, block.width)
-
-
-def _best_by_shuffle(df, keywords, channels, weights, first_empty, max_cells, id_col) -> DataFrame:
-    given = df.dropna(subset=list(channels))
-    scores = score_labels(given, keywords, channels, max_cells, id_col)
-    a, b = F.col(channels[0]), F.col(channels[1])
-    ranked = F.struct((a * weights[0] + b * weights[1]).alias("s"), (-F.col("label_id")).alias("l"))
-    best = scores.groupBy(id_col).agg(
-        F.max(ranked).alias("_best"), F.max(a).alias("score_a"), F.max(b).alias("score_b")
-    )
-    if first_empty is not None:
-        zero = F.struct(F.lit(0.0).alias("s"), F.lit(-first_empty).cast("bigint").alias("l"))
-        best = best.select(
-            id_col,
-            F.greatest("_best", zero).alias("_best"),
-            F.greatest("score_a", F.lit(0.0)).alias("score_a"),
-            F.greatest("score_b", F.lit(0.0)).alias("score_b"),
-        )
-    best = best.select(
-        id_col,
-        (-F.col("_best.l")).alias("label_id"),
-        F.col("_best.s").alias("final_ensemble_score"),
-        "score_a",
-        "score_b",
-    )
-    has_vectors = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in channels])
-    rows = df.withColumn("_given", has_vectors).drop(*channels).join(best, id_col, "left")
-    if first_empty is not None:
-        # Without any keyword vector there is no score row, yet every label scores 0.
-        zero = {"label_id": first_empty, "final_ensemble_score": 0.0, "score_a": 0.0, "score_b": 0.0}
-        filled = {c: F.when(F.col("_given"), F.coalesce(c, F.lit(v))) for c, v in zero.items()}
-        rows = rows.withColumns(filled)
-    return rows.drop("_given")
+def _nothing(channels: Sequence[str]):
+    """Scores of a batch without any vectors."""
+    none = np.zeros((0, 0))
+    return np.zeros(0, dtype=np.int64), [none] * len(channels), np.zeros((0, len(channels)))
 
 
 def top_labels(
@@ -304,48 +346,42 @@ def top_labels(
         ]
     )
     sign = -1 if later_first else 1
-    parts = []
-    for piece in blocks(rows, ["label_id"], ["vec"], max_cells):
-        if not piece:
-            continue
+    names = ("score", "label_id", "label", "line")
+    arrow = pa.list_(
+        pa.struct([("score", pa.float64()), ("label_id", pa.int64()), ("label", pa.string()), ("line", pa.string())])
+    )
+    state = [T.StructField("top", T.ArrayType(entry))]
+    count, pieces = blocks(rows, ["label_id"], ["vec"], max_cells)
+    out = None
+    for turn, piece in enumerate(pieces):
+        last = turn == count - 1
         piece = sorted(piece, key=lambda r: sign * r["label_id"])
         texts = [(r["label_id"], r["label"], r["line"]) for r in piece]
         shared = sc.broadcast((texts, unit_rows(stack(piece, "vec"))))
 
-        def work(batch, shared=shared):
+        def work(batch, shared=shared, first=out is None):
             texts, vectors = shared.value
             scores = unit_rows(to_matrix(column_of(batch, vec_col), vectors.shape[1])) @ vectors.T
             # Rounded, so that equal vectors tie whatever the batch shape.
             scores = np.round(scores, 12)
             order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-            top = [
-                [dict(zip(("score", "label_id", "label", "line"), (s[j], *texts[j]))) for j in at]
-                for s, at in zip(scores, order)
-            ]
-            arrow = pa.struct(
-                [("score", pa.float64()), ("label_id", pa.int64()), ("label", pa.string()), ("line", pa.string())]
-            )
-            return [pa.array(top, type=pa.list_(arrow))]
-
-        parts.append(
-            map_batches(df, [vec_col], [T.StructField("top", T.ArrayType(entry))], work, len(piece))
-        )
-    if len(parts) == 1:
-        return parts[0]
-    if not parts:
+            top = [[dict(zip(names, (s[j], *texts[j]))) for j in at] for s, at in zip(scores, order)]
+            if not first:
+                sofar = column_of(batch, "top").to_pylist()
+                top = [
+                    sorted(a + b, key=lambda e: (-e["score"], sign * e["label_id"]))[:n]
+                    for a, b in zip(sofar, top)
+                ]
+            return [pa.array(top, type=arrow)]
+
+        replaced = ([] if out is None else ["top"]) + ([vec_col] if last else [])
+        out = map_batches(df if out is None else out, replaced, state, work, len(piece))
+        if not last:
+            out = written(out, "turn")
+            shared.unpersist()
+    if out is None:
         return df.drop(vec_col).withColumn("top", F.array().cast(T.ArrayType(entry)))
-    merged = parts[0].select(id_col, "top")
-    for part in parts[1:]:
-        merged = merged.unionByName(part.select(id_col, "top"))
-    # One entry per block and title, each of at most n labels.
-    key = F.transform(
-        F.flatten(F.collect_list("top")),
-        lambda e: F.struct((-e["score"]).alias("k"), (sign * e["label_id"]).alias("i"), e.alias("e")),
-    )
-    merged = merged.groupBy(id_col).agg(
-        F.transform(F.slice(F.array_sort(key), 1, n), lambda e: e["e"]).alias("top")
-    )
-    return df.drop(vec_col).join(merged, id_col, "left")
+    return out
 
 
 def nearest_label(

@@ -60,33 +60,40 @@ def seeded_rank(
     )
 
 
-SMALL_SAMPLE = 10_000
+# Rows of one md5 prefix that are ranked in one task.
+SLICE_ROWS = 100_000
 
 
 def seeded_sample(
-    df: DataFrame, n: int, key: Column, seed: int = SEED, small: int = SMALL_SAMPLE
+    df: DataFrame, n: int, key: Column, seed: int = SEED, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Exactly the first ``n`` rows in md5 order (all rows when there are fewer).
 
-    The place of the n-th row is found on keys alone: by a top-n for a small ``n``,
-    else from slice counts and a ranking of the one slice that holds it. A filter
-    then picks the rows where they lie, without a shuffle. ``key`` is unique.
+    The place of the n-th row is found on keys alone: rows are counted by a prefix of
+    their md5, and the one prefix that holds the n-th row is refined until it has few
+    rows, which are ranked. A filter then picks the rows where they lie, without a
+    shuffle. ``key`` is unique.
     """
-    keys = df.select(key.alias("_key"))
-    if n <= small:
-        ordered = keys.select(seeded_order(F.col("_key"), seed).alias("_order"), "_key")
-        nth = ordered.orderBy("_order", "_key").limit(n)
-    else:
-        narrow = _slices(keys, F.lit(0), F.col("_key"), seed)
-        # No grouping column here, so this table has at most 4096 rows.
-        holds = (F.col("_before") < n) & (F.col("_before") + F.col("_rows") >= n)
-        total = F.sum("_rows").over(W.partitionBy())
-        last_slice = (total < n) & (F.col("_before") + F.col("_rows") == total)
-        at = _slice_offsets(narrow).withColumn("_hit", holds | last_slice)
-        at = F.broadcast(at.filter("_hit").select("_slice", "_before"))
-        within = W.partitionBy("_slice").orderBy("_order", "_key")
-        rank = F.col("_before") + F.row_number().over(within)
-        nth = narrow.join(at, "_slice").withColumn("_rank", rank).filter(F.col("_rank") <= n)
+    keys = df.select(key.alias("_key")).withColumn("_order", seeded_order(F.col("_key"), seed))
+    prefix, wanted = "", n
+    while wanted > 0:
+        inside = keys.filter(F.col("_order").startswith(prefix))
+        slices = inside.groupBy(F.substring("_order", 1, len(prefix) + SLICE_DIGITS).alias("p"))
+        found, rows = None, 0
+        # At most 16**SLICE_DIGITS counts.
+        for p, rows in sorted(slices.agg(F.count(F.lit(1)).alias("rows")).collect()):
+            if rows >= wanted:
+                found = p
+                break
+            wanted -= rows
+        if found is None:
+            return df
+        prefix = found
+        if rows <= slice_rows or len(prefix) >= 30:
+            break
+    if wanted <= 0:
+        return df.limit(0)
+    nth = keys.filter(F.col("_order").startswith(prefix)).orderBy("_order", "_key").limit(wanted)
     last = nth.agg(F.max(F.struct("_order", "_key"))).scalar()
     place = F.struct(seeded_order(F.col("_key"), seed).alias("_order"), F.col("_key"))
     return df.withColumn("_key", key).filter(place <= last).drop("_key")

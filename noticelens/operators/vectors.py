@@ -1,8 +1,8 @@
 """Vector columns: cosine channels against a bounded table, pooling, int8 storage.
 
 Similarity work runs as Arrow batches against a matrix shipped to the executors.
-The matrix is only shipped after its size was measured; a larger one is cut into
-blocks by key hash and the block results are merged, which is exact.
+The matrix is only shipped after its size was measured; a larger one goes out in
+blocks, one after the other, and the block results are merged, which is exact.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticelens.fixed_values import SEED
-from noticelens.operators.ranking import seeded_sample
-from noticelens.session import cut_lineage
+from noticelens.operators.ranking import seeded_sample, top_n
+from noticelens.session import written
 
 # At most this many vector cells (64 MB of doubles) travel to the executors at once.
 MAX_BLOCK_CELLS = 8_000_000
@@ -31,21 +30,28 @@ MAX_SCORE_CELLS = 4_000_000
 
 def blocks(
     df: DataFrame, key_cols: Sequence[str], vec_cols: Sequence[str], max_cells: int
-) -> list[list[Row]]:
-    """The rows of a vector table in pieces of bounded size, usually one piece.
+) -> tuple[int, Iterator[list[Row]]]:
+    """The rows of a vector table in pieces of bounded size, in the order of the keys.
 
-    The table is materialised once; its cells are counted before anything is
-    fetched, and every piece is fetched by its own filter. Rows without a vector
-    are left out.
+    Gives the number of pieces, usually one, and an iterator that fetches them one by
+    one; only the piece in use is on the driver. The table is written once, in ranges of
+    the keys if there are several. Rows without a vector are left out.
     """
-    df = cut_lineage(df.dropna(subset=list(vec_cols)))
+    df = written(df.dropna(subset=list(vec_cols)), "vectors")
     cells = df.agg(*[F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(c) for c in vec_cols]).first()
     n = sum(cells)
+    if n == 0:
+        return 0, iter(())
     if n <= max_cells:
-        return [df.collect()]
+        return 1, iter([df.orderBy(*key_cols).collect()])
     parts = math.ceil(2 * n / max_cells)
-    block = F.pmod(F.xxhash64(*key_cols), F.lit(parts))
-    return [df.filter(block == i).collect() for i in range(parts)]
+    ranges = df.repartitionByRange(parts, *key_cols).withColumn("_piece", F.spark_partition_id())
+    ranges = written(ranges, "pieces", partition_by="_piece")
+    names = sorted(r[0] for r in ranges.select("_piece").distinct().collect())
+    pieces = (
+        ranges.filter(F.col("_piece") == i).drop("_piece").orderBy(*key_cols).collect() for i in names
+    )
+    return len(names), pieces
 
 
 def to_matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -133,13 +139,15 @@ def group_means(df: DataFrame, keys: Sequence[str], vec_cols: Sequence[str]) ->
 
 
 def calibrate_minmax(
-    df: DataFrame, key: str, vec_col: str, n: int = 200, seed: int = SEED
+    df: DataFrame, key: str, vec_col: str, n: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """One row: range, scale and zero point from a seeded sample of ``n`` vectors.
+    """One row: range, scale and zero point of all vectors, or of a seeded sample of ``n``.
 
     A constant range would give scale 0, so the scale falls back to 1.
     """
-    sample = seeded_sample(df.filter(F.col(vec_col).isNotNull()).select(key, vec_col), n, F.col(key), seed)
+    sample = df.filter(F.col(vec_col).isNotNull()).select(key, vec_col)
+    if n is not None:
+        sample = seeded_sample(sample, n, F.col(key), seed)
     ranges = sample.agg(
         F.min(F.array_min(vec_col)).cast("double").alias("low"),
         F.max(F.array_max(vec_col)).cast("double").alias("high"),
@@ -157,8 +165,10 @@ def quantize_int8(
 
     Values outside the calibrated range saturate.
     """
-    scale, zero = (calibration.select(c).scalar() for c in ("scale", "zero_point"))
-    with_params = df.withColumns({"_scale": scale, "_zero": zero})
+    params = calibration.select(F.struct("scale", "zero_point")).scalar()
+    with_params = df.withColumn("_params", params).withColumns(
+        {"_scale": F.col("_params.scale"), "_zero": F.col("_params.zero_point")}
+    )
     cells = F.col(vec_col).cast("array<double>")
 
     def encode(x: Column) -> Column:
@@ -173,7 +183,7 @@ def quantize_int8(
     errors = F.zip_with(cells, out, lambda x, q: F.abs(x - decode(q)))
     return coded.withColumns(
         {"decoded": F.transform(out, decode), "max_error": F.array_max(errors)}
-    ).drop("_scale", "_zero")
+    ).drop("_params", "_scale", "_zero")
 
 
 def knn(
@@ -196,16 +206,17 @@ def knn(
         [queries.schema[query_id], T.StructField("id", T.LongType()), T.StructField("distance", T.DoubleType())]
     )
     found = None
-    for rows in blocks(queries.select(query_id, vec_col), [query_id], [vec_col], max_cells):
-        if not rows:
-            continue
+    count, pieces = blocks(queries.select(query_id, vec_col), [query_id], [vec_col], max_cells)
+    for rows in pieces:
         shared = sc.broadcast(([r[query_id] for r in rows], stack(rows, vec_col)))
         part = corpus.mapInArrow(_nearest_in_task(shared, k, query_id), schema)
+        if count > 1:
+            part = written(part, "nearest")
+            shared.unpersist()
         found = part if found is None else found.unionByName(part)
     if found is None:
         return corpus.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))
-    order = W.partitionBy(query_id).orderBy("distance", "id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return top_n(found, [query_id], [F.asc("distance"), F.asc("id")], k, F.col("id"))
 
 
 def _nearest_in_task(shared, k: int, query_id: str):

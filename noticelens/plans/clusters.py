@@ -20,12 +20,9 @@ SQL_TFIDF = rf"""{i.SQL_CLUSTERED},
       FROM clustered WHERE text IS NOT NULL),
     tf AS (SELECT c, d, term, count(*) AS tf FROM tok WHERE term NOT IN {SQL_STOP} GROUP BY c, d, term),
     sizes AS (SELECT cluster_id AS c, count(*) AS n FROM clustered WHERE text IS NOT NULL GROUP BY cluster_id),
-    voc AS (
-      SELECT c, term, count(*) AS df, row_number() OVER (PARTITION BY c ORDER BY sum(tf) DESC, term) AS r
-      FROM tf GROUP BY c, term),
+    voc AS (SELECT c, term, count(*) AS df FROM tf GROUP BY c, term),
     idf AS (
-      SELECT voc.c, term, ln((1 + n) / (1 + df)) + 1 AS idf FROM voc JOIN sizes ON sizes.c = voc.c
-      WHERE r <= 2000),
+      SELECT voc.c, term, ln((1 + n) / (1 + df)) + 1 AS idf FROM voc JOIN sizes ON sizes.c = voc.c),
     w AS (
       SELECT tf.c, tf.d, tf.term, tf * idf AS w,
              sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY tf.c, tf.d)) AS norm
@@ -183,8 +180,7 @@ def mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "quantize_int8",
     f"""WITH {i.SQL_VECTORS},
-    s AS (SELECT a FROM e QUALIFY row_number() OVER (ORDER BY md5('42:' || id), id) <= 200),
-    r AS (SELECT min(list_min(a)) AS low, max(list_max(a)) AS high FROM s),
+    r AS (SELECT min(list_min(a)) AS low, max(list_max(a)) AS high FROM e),
     k AS (SELECT (high - low) / 255 AS scale, CAST(round_even(-low / ((high - low) / 255), 0) AS INTEGER) AS zero FROM r),
     q AS (
       SELECT id, a, scale, zero, list_transform(a, lambda x: greatest(0, least(255,

@@ -74,8 +74,8 @@ SQL_SCORE = f"""WITH r AS (
     t AS (SELECT *, greatest(list_max(b), 0.5) - 0.5 AS o FROM s)
     SELECT CAST(id AS VARCHAR) AS original_id,
            CASE WHEN b IS NULL THEN 50.0::DOUBLE
-                WHEN b[2] > b[1] THEN round_even(least(0.6 + 0.8 * o, 1.0), 2)
-                ELSE round_even(greatest(0.6 - 1.2 * o, 0.0), 2) END AS possibility,
+                WHEN b[2] > b[1] THEN round_even(least(0.6 + 0.8 * o, 1.0) * 100, 0) / 100
+                ELSE round_even(greatest(0.6 - 1.2 * o, 0.0) * 100, 0) / 100 END AS possibility,
            {_sql_category()} AS category FROM t"""
 
 
@@ -168,7 +168,7 @@ def two_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "eval_losses",
     f"""WITH {SQL_LOGITS},
-    w AS (SELECT list(weight ORDER BY label) AS ws FROM cw),
+    w AS (SELECT list(coalesce(weight, 0) ORDER BY k) AS ws FROM range(10) t(k) LEFT JOIN cw ON label = k),
     p AS (SELECT label, weight, ws, {_sql_log_softmax('first')} AS a, {_sql_log_softmax('second')} AS b
           FROM l JOIN cw USING (label), w),
     t AS (
@@ -182,9 +182,13 @@ def two_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def eval_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = two_passes(spark, sf_dir)
-    # One array of class weights in label order, as a scalar subquery.
-    ordered = F.array_sort(F.collect_list(F.struct("label", "weight")))
-    weights = classes.class_weights(rows).agg(F.transform(ordered, lambda c: c["weight"])).scalar()
+    # One map of class weights as a scalar subquery; a class without rows weighs 0.
+    by_label = F.map_from_entries(F.collect_list(F.struct("label", "weight")))
+    weights = F.transform(
+        F.sequence(F.lit(0), F.lit(9)),
+        lambda k: F.coalesce(F.try_element_at("by_label", k.cast("int")), F.lit(0.0)),
+    )
+    rows = rows.withColumn("by_label", classes.class_weights(rows).agg(by_label).scalar())
     rows = rows.withColumn("weights", weights)
     label = F.col("label")
     own = F.get("weights", label)
@@ -286,7 +290,7 @@ def platt_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("train_binary_cv")
 def train_binary_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = i.texts(spark, sf_dir, "documents", "doc_id").join(i.table(spark, sf_dir, "labels"), "doc_id")
+    texts = i.table(spark, sf_dir, "documents").join(i.table(spark, sf_dir, "labels"), "doc_id")
     docs = texts.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"), "text")
     docs = cut_lineage(encoders.with_words(docs, "text").drop("text"))
     stages = encoders.Pipeline(

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import CODE_ROLLUP, TAXONOMY
 from noticelens.operators.maxsim import attach_vectors
 from noticelens.operators.vectors import group_means
-from noticelens.session import spread_scan
 from noticelens.sources.tables import mapping_rows
 
 # Title phrases, picked by id; some fire a rule, some do not.
@@ -60,9 +59,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table whose texts are about to be parsed or cleaned."""
-    return spread_scan(table(spark, sf_dir, name), key)
 
 
 def sql_text(value: str | None) -> str:
@@ -91,10 +87,10 @@ PAGE_TITLE = "<title>(.*?)</title>"
 
 def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.regexp_extract("html", PAGE_TITLE, 1)
-    pages = texts(spark, sf_dir, "pages", "page_id").select(
+    pages = table(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), title.alias("raw")
     )
-    docs = texts(spark, sf_dir, "documents", "doc_id").select(
+    docs = table(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("raw")
     )
     return pages.unionByName(docs)
@@ -219,14 +215,14 @@ SQL_CENTROIDS = """c AS (
 
 SQL_SCORES = """scores AS (
   SELECT e.id, kb.label_id, kb.final_label AS label,
-         coalesce(max(list_cosine_similarity(e.a, kw.a)), 0.0) AS sa,
-         coalesce(max(list_cosine_similarity(e.b, kw.b)), 0.0) AS sb
+         round(coalesce(max(list_cosine_similarity(e.a, kw.a)), 0.0), 12) AS sa,
+         round(coalesce(max(list_cosine_similarity(e.b, kw.b)), 0.0), 12) AS sb
   FROM e CROSS JOIN kb LEFT JOIN kw ON kw.label_id = kb.label_id
   GROUP BY e.id, kb.label_id, kb.final_label)"""
 
 SQL_ENSEMBLE = """best AS (
-  SELECT id, arg_max(label, {'s': 0.9 * sa + 0.1 * sb, 'l': -label_id}) AS predicted_label,
-         max(0.9 * sa + 0.1 * sb) AS score, max(sa) AS score_a, max(sb) AS score_b
+  SELECT id, arg_max(label, {'s': round(0.9 * sa + 0.1 * sb, 12), 'l': -label_id}) AS predicted_label,
+         max(round(0.9 * sa + 0.1 * sb, 12)) AS score, max(sa) AS score_a, max(sb) AS score_b
   FROM scores GROUP BY id)"""
 
 
@@ -264,7 +260,7 @@ def sql_pairs(name: str, pairs: list[tuple[str, str]]) -> str:
 # Clusters: the number in documents.source, shifted so that src0 plays the noise.
 def clustered(spark: SparkSession, sf_dir: str, parse: bool = False) -> DataFrame:
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int") - 1
-    docs = texts(spark, sf_dir, "documents", "doc_id") if parse else table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents") if parse else table(spark, sf_dir, "documents")
     return docs.select("doc_id", number.alias("cluster_id"), "text")
 
 

@@ -117,12 +117,12 @@ SQL_DEPT_STATUS = """CASE
       WHEN predicted_label IS NULL OR predicted_label LIKE '%error%' OR actual IS NULL OR actual = 'nan'
         THEN 'undetermined' ELSE 'mismatch' END"""
 
-# Notices: a vector, a title and an actual department under one id. Every 9th has
-# no department; its title is a phrase and the part's name.
+# Notices: a title, and the vector and actual department of its id if there are any.
+# Every 9th has no department; the title is a phrase and the part's name.
 SQL_NOTICES = f"""notices AS (
-  SELECT e.id, e.a, e.b, r.title || '&amp;  ' AS service_title,
-         CASE WHEN e.id % 9 <> 0 THEN c_mktsegment END AS participating_dept
-  FROM e JOIN rule_titles r ON r.id = e.id JOIN customer ON c_custkey = e.id)"""
+  SELECT r.id, e.a, e.b, r.title || '&amp;  ' AS service_title,
+         CASE WHEN r.id % 9 <> 0 THEN c_mktsegment END AS participating_dept
+  FROM rule_titles r LEFT JOIN e ON e.id = r.id LEFT JOIN customer ON c_custkey = r.id)"""
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +133,8 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = i.rule_titles(spark, sf_dir).select(
         "id", F.concat("title", F.lit("&amp;  ")).alias("service_title")
     )
-    return i.vectors(spark, sf_dir).drop("label").join(titles, "id").join(depts, "id")
+    vecs = i.vectors(spark, sf_dir).drop("label")
+    return titles.join(vecs, "id", "left").join(depts, "id", "left")
 
 
 SQL_WEAK = f"""WITH {i.SQL_VECTORS}, {i.SQL_KEYWORDS}, {i.SQL_KB}, {i.SQL_SCORES}, {i.SQL_ENSEMBLE},
@@ -151,7 +152,7 @@ SQL_WEAK = f"""WITH {i.SQL_VECTORS}, {i.SQL_KEYWORDS}, {i.SQL_KB}, {i.SQL_SCORES
              CASE WHEN rule_label IS NULL THEN round(score, 6) END AS final_ensemble_score,
              CASE WHEN rule_label IS NULL THEN round(score_a, 6) END AS score_a,
              CASE WHEN rule_label IS NULL THEN round(score_b, 6) END AS score_b
-      FROM decided d JOIN best b ON b.id = d.id),
+      FROM decided d LEFT JOIN best b ON b.id = d.id),
     weak AS (
       SELECT l.*, coalesce(div, 'N/A') AS predicted_div, coalesce(dep, 'N/A') AS predicted_dept,
              coalesce(m.value, participating_dept) AS actual
@@ -196,7 +197,8 @@ def weak_label_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "weak_label_summary",
     f"""{SQL_WEAK}
-    SELECT 'label' AS kind, predicted_label AS value, count(*) AS n FROM weak GROUP BY predicted_label
+    SELECT 'label' AS kind, predicted_label AS value, count(*) AS n FROM weak
+    WHERE predicted_label IS NOT NULL GROUP BY predicted_label
     UNION ALL
     SELECT 'dept', s, count(*) FROM (SELECT {SQL_DEPT_STATUS} AS s FROM weak) GROUP BY s""",
 )
@@ -278,22 +280,23 @@ def label_info_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     x AS (
       SELECT id, predicted_label, coalesce(dep, 'N/A') AS predicted_dept,
              CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 THEN 'N/A' ELSE c_mktsegment END AS raw
-      FROM predicted JOIN customer ON c_custkey = id
+      FROM predicted LEFT JOIN customer ON c_custkey = id
       LEFT JOIN kb ON kb.final_label = predicted_label),
     y AS (SELECT x.*, coalesce(value, raw) AS actual FROM x LEFT JOIN dept_map ON key = raw)
     SELECT id, predicted_label, predicted_dept, actual AS standard_dept_actual,
            {SQL_DEPT_STATUS} AS dept_match_status FROM y""",
 )
 def dept_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    depts = i.table(spark, sf_dir, "customer").select(
-        key.alias("id"),
-        F.when(key % 5 == 0, F.lit(None))
-        .when(key % 5 == 1, "N/A")
+    depts = i.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
+    raw = (
+        F.when(F.col("id") % 5 == 0, F.lit(None))
+        .when(F.col("id") % 5 == 1, "N/A")
         .otherwise(F.col("c_mktsegment"))
-        .alias("participating_dept"),
     )
-    rows = mapping.label_info(predicted(spark, sf_dir).join(depts, "id"), i.knowledge_base(spark))
+    rows = mapping.label_info(
+        predicted(spark, sf_dir).join(depts, "id", "left").withColumn("participating_dept", raw),
+        i.knowledge_base(spark),
+    )
     return mapping.dept_match(rows, i.dept_mapping(spark)).select(
         "id", "predicted_label", "predicted_dept", "standard_dept_actual", "dept_match_status"
     )
@@ -331,7 +334,7 @@ def taxonomy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS}, {i.SQL_KB},
     t AS (SELECT e.id, e.a, CASE WHEN e.id % 50 = 0 THEN '' WHEN e.id % 50 = 1 THEN NULL
                                  ELSE p_name END AS title
-          FROM e JOIN part ON p_partkey = e.id),
+          FROM e LEFT JOIN part ON p_partkey = e.id),
     ranked AS (
       SELECT id, c.label_id, final_label, concat_ws(', ', keyword_1, keyword_2) AS k,
              row_number() OVER (PARTITION BY id
@@ -356,7 +359,7 @@ def judge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("id"),
         F.when(key % 50 == 0, "").when(key % 50 != 1, F.col("p_name")).alias("service_title"),
     )
-    rows = vecs.select("id", F.col("vec_a").alias("embedding")).join(titles, "id")
+    rows = vecs.select("id", F.col("vec_a").alias("embedding")).join(titles, "id", "left")
     words = i.knowledge_base(spark)
     kb = i.label_vectors(vecs).join(words, "label_id").select(
         "label_id",

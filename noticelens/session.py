@@ -54,24 +54,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write a table under the shared folder and read it back.
+
+    Like a checkpoint, but filters and column selection reach the files.
+    """
+    path = shared_path(df.sparkSession, name)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors and stops recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def spread_scan(scan: DataFrame, key: str) -> DataFrame:
-    """A plain table scan, spread over all cores if its files give fewer pieces than that.
-
-    Meant for costly text work on a small table in one file. A large table has more
-    pieces than there are cores and is left alone, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, key)
-
-
 SMALL_ROWS = 200_000
 SMALL_BYTES = 64 * 1024 * 1024
 

@@ -10,8 +10,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 from compare import compare, connect  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from noticelens.plans.catalogue import QUERIES  # noqa: E402
 from noticelens import session  # noqa: E402
-from noticelens.operators import density, keywords, maxsim, vectors, weaklabel  # noqa: E402
+from noticelens.operators import density, maxsim, vectors, weaklabel  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {
@@ -27,7 +28,7 @@ def con():
 @pytest.fixture()
 def nothing_is_small(monkeypatch):
     """Every table counts as large and every vector block as full."""
-    for module in (session, keywords, density):
+    for module in (session, density):
         monkeypatch.setattr(module, "is_small", lambda *_: False)
     limited = [maxsim.maxsim, maxsim.ensemble_label, maxsim.top_labels, maxsim.nearest_label]
     limited += [weaklabel.weak_label, weaklabel.candidates, vectors.knn]
@@ -53,7 +54,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     verdict = compare(spark, con, name, SF)
     assert verdict.startswith("rows-only" if name in ROWS_ONLY else "ok"), verdict
@@ -65,7 +66,7 @@ def test_entry(spark):
     assert df.columns[:3] == ["id", "predicted_label", "status"] and df.count() == 500
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_product(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
@@ -80,7 +81,7 @@ PYTHON_IN = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - PYTHON_IN - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_IN - ROWS_ONLY))
 def test_stays_in_the_jvm(spark, name):
     assert not PYTHON.search(plan(entry.queries()[name](spark, SF)))
 

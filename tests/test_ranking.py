@@ -40,9 +40,9 @@ def test_folds_are_even_per_class(spark, skewed):
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 500, 2000, 2001, 5000])
-@pytest.mark.parametrize("small", [10_000, -1])
-def test_seeded_sample_is_exact(spark, skewed, n, small):
-    got = {r.id for r in seeded_sample(skewed, n, F.col("id"), small=small).collect()}
+@pytest.mark.parametrize("few", [100_000, 1])
+def test_seeded_sample_is_exact(spark, skewed, n, few):
+    got = {r.id for r in seeded_sample(skewed, n, F.col("id"), slice_rows=few).collect()}
     assert got == set(sorted(range(2001), key=order)[:n])
 
 

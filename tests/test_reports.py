@@ -49,13 +49,22 @@ def brute(cap):
     return out
 
 
-@pytest.mark.parametrize("cap,in_row", [(2000, 300_000), (2000, 0), (3, 300_000), (3, 0)])
-def test_cluster_keywords(docs, cap, in_row):
-    got = keywords.cluster_keywords(docs, "cluster_id", "id", "text", max_features=cap, in_row_terms=in_row)
+@pytest.mark.parametrize("cap", [None, 2000, 3])
+def test_cluster_keywords(docs, cap):
+    got = keywords.cluster_keywords(docs, "cluster_id", "id", "text", max_features=cap)
     rows = {(r.cluster_id, r["rank"]): (r.term, pytest.approx(r.score, abs=1e-6)) for r in got.collect()}
     assert rows == brute(cap)
 
 
+def test_rows_of_one_key_are_weighed_apart(spark, docs):
+    """The key names no row: repeated and null keys change nothing."""
+    same = docs.withColumn("id", F.when(F.col("id") % 2 == 0, F.lit(1)).cast("bigint"))
+    got, want = (
+        sorted(map(tuple, keywords.cluster_keywords(d, "cluster_id", "id", "text").collect())) for d in (same, docs)
+    )
+    assert got == want and got
+
+
 def test_no_usable_word_at_all(docs):
     got = keywords.cluster_keywords(docs.filter("cluster_id = 1"), "cluster_id", "id", "text")
     assert got.count() == 0 and got.columns == ["cluster_id", "rank", "term", "score"]
@@ -157,7 +166,7 @@ def test_strategy_report_and_markdown(spark):
     runs = [("s1", "f1", 0.9), ("s1", "speed_ms", 10.0), ("s1", "size_mb", 3.0), ("s2", "f1", 0.8), ("s2", "speed_ms", 4.0), ("s2", "size_mb", 1.0), ("s2", "speed_ms", 6.0)]
     report = evaluate.strategy_report(spark.createDataFrame(runs, "strategy string, metric string, value double"))
     assert [(r.strategy, r.f1_per_ms) for r in report.orderBy("rank").collect()] == [("s2", 0.16), ("s1", 0.09)]
-    text = evaluate.markdown(report.orderBy("rank").select("strategy", "f1"))
+    text = evaluate.markdown(report.orderBy("rank").select("strategy", "f1"), 10)
     assert text.splitlines() == ["| strategy | f1 |", "| --- | --- |", "| s2 | 0.8 |", "| s1 | 0.9 |"]
     with pytest.raises(ValueError):
         evaluate.markdown(report, max_rows=1)

@@ -229,3 +229,49 @@ def test_candidates_and_judge(spark):
     }
     unset = {r.id: r.predicted_label for r in judge(prompts, None).collect()}
     assert unset == {1: "LLM not set", 2: "input error", 3: "input error", 4: "LLM not set"}
+
+
+@pytest.mark.parametrize("max_cells", [v.MAX_BLOCK_CELLS, 60, 12])
+def test_repeated_and_null_ids_keep_their_rows(spark, titles, keywords, labels, max_cells):
+    """Rows are judged one by one, whatever their ids and however many blocks there are."""
+    odd = titles.withColumn("id", F.when(F.col("id") % 3 != 0, F.lit(1)).cast("bigint"))
+    marked = odd.withColumn("title", F.hash("vec_a", "vec_b").cast("string"))
+    one = titles.withColumn("title", F.hash("vec_a", "vec_b").cast("string"))
+    columns = ("title", "predicted_label", "final_ensemble_score", "score_a", "score_b", "status")
+    got = m.ensemble_label(marked, keywords, labels, max_cells=max_cells).select(*columns).collect()
+    want = m.ensemble_label(one, keywords, labels).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    scores = m.maxsim(odd, keywords, labels, "vec_a", max_cells)
+    assert scores.count() == TITLES * len(LABELS)
+    kb = spark.createDataFrame([(n, f"l{n}", [float(n), 1.0, -n / 2]) for n in range(9)], "label_id bigint, label string, embedding array<double>")
+    vecs = [[float(n % 4), 1.0, n / 7] for n in range(20)]
+    df = spark.createDataFrame([(None if n % 3 else 5, str(n), x) for n, x in enumerate(vecs)], "id bigint, title string, embedding array<double>")
+    few = {r.title: r.top for r in m.top_labels(df, kb, 3, max_cells=6).collect()}
+    assert len(few) == 20 and few == {r.title: r.top for r in m.top_labels(df, kb, 3).collect()}
+
+
+@pytest.mark.parametrize("max_cells", [v.MAX_BLOCK_CELLS, 8])
+def test_labels_that_share_a_keyword_tie(spark, max_cells):
+    """The first of several labels with the same keyword wins, in any block."""
+    vec = rng.normal(size=(40, 7))
+    rows = [(n, n, vec[0].tolist(), vec[1].tolist()) for n in range(12)]
+    kw = spark.createDataFrame(rows, "label_id bigint, keyword_id int, vec_a array<double>, vec_b array<double>")
+    names = spark.createDataFrame([(n, f"l{n}") for n in range(12)], "label_id bigint, label string")
+    df = spark.createDataFrame([(n, x.tolist(), x.tolist()) for n, x in enumerate(vec)], "id bigint, vec_a array<double>, vec_b array<double>")
+    got = m.ensemble_label(df, kw, names, max_cells=max_cells * 7).collect()
+    assert {r.predicted_label for r in got} == {"l0"}
+
+
+def test_calibration_sees_all_rows(spark):
+    df = spark.createDataFrame([(n, [float(n)]) for n in range(1000)], "id bigint, v array<double>")
+    r = v.calibrate_minmax(df, "id", "v").first()
+    assert (r.low, r.high) == (0.0, 999.0)
+    assert v.calibrate_minmax(df, "id", "v", n=10).first().high < 999.0 + 1
+
+
+def test_knn_merges_blocks_of_queries(spark):
+    points = rng.normal(size=(60, 3))
+    corpus = spark.createDataFrame([(n, p.tolist()) for n, p in enumerate(points)], "id bigint, embedding array<double>")
+    q = spark.createDataFrame([(n, p.tolist()) for n, p in enumerate(points[:30])], "query_id bigint, embedding array<double>")
+    one, many = (sorted(map(tuple, v.knn(q, corpus, 4, max_cells=c).collect())) for c in (v.MAX_BLOCK_CELLS, 6))
+    assert one == many and len(one) == 120
