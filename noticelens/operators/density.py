@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from noticelens.fixed_values import SEED
 from noticelens.operators.ranking import dense_index, seeded_sample
 from noticelens.operators.vectors import knn
-from noticelens.session import cut_lineage, is_small, lookup, small_side
+from noticelens.session import is_small, lookup, small_side, written
 
 _FINEST = 10
 _REACH = range(-2, 3)
@@ -103,7 +103,7 @@ def _core_sparse(sparse: DataFrame, points: DataFrame, eps: float, side: float,
         *[F.col(f"b.{c}").alias(c) for c in ("cx", "cy", "sx", "sy", "n")],
         (far <= limit).alias("inside"),
     )
-    seen = cut_lineage(seen)
+    seen = written(seen, "density")
     bounds = seen.groupBy("key").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("sure"),
         F.sum("n").alias("most"),
@@ -152,7 +152,7 @@ def _links(core: DataFrame, eps: float, side: float) -> DataFrame:
         if level > 1:
             # Few pairs are still open; only their cells are cut finer.
             open_cells = pairs.select("cx", "cy").union(pairs.select("nx", "ny")).distinct()
-            core = cut_lineage(lookup(core, open_cells, ["cx", "cy"], "left_semi", ["key"]))
+            core = written(lookup(core, open_cells, ["cx", "cy"], "left_semi", ["key"]), "density")
         boxes = _sub_cells(core, side, level)
         ours = pairs.join(boxes, ["cx", "cy"]).alias("a")
         theirs = boxes.alias("b")
@@ -161,8 +161,8 @@ def _links(core: DataFrame, eps: float, side: float) -> DataFrame:
             theirs,
             (F.col("a.nx") == F.col("b.cx")) & (F.col("a.ny") == F.col("b.cy")) & (near <= limit),
         ).select("a.cx", "a.cy", "a.nx", "a.ny", (far <= limit).alias("sure"))
-        verdict = cut_lineage(
-            tested.groupBy("cx", "cy", "nx", "ny").agg(F.bool_or("sure").alias("sure"))
+        verdict = written(
+            tested.groupBy("cx", "cy", "nx", "ny").agg(F.bool_or("sure").alias("sure")), "density"
         )
         decided = verdict.filter("sure").drop("sure")
         linked = decided if linked is None else linked.unionByName(decided)
@@ -179,8 +179,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     onto the smallest grandparent of any neighbour and shortcut every round, so
     the number of rounds grows with the logarithm of the path length.
     """
-    edges = cut_lineage(edges)
-    state = cut_lineage(nodes.select("id", F.col("id").alias("f"), F.col("id").alias("gf")))
+    edges = written(edges, "density")
+    state = written(nodes.select("id", F.col("id").alias("f"), F.col("id").alias("gf")), "density")
     small, total = is_small(state), None
     while True:
         lowest = (
@@ -196,7 +196,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         parents = hooked.select(F.col("id").alias("f"), F.col("f").alias("gf"))
         jumped = lookup(hooked, parents, ["f"], spread=["id"], small=small)
-        state = cut_lineage(jumped.select("id", "f", "gf"))
+        state = written(jumped.select("id", "f", "gf"), "density")
         # Parents only ever fall, so equal sums mean that nothing moved.
         sums = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("f", "gf")]
         now = tuple(state.agg(*sums).first())
@@ -229,13 +229,13 @@ def density_cluster(
     )
     located = rows.filter(F.col("cx").isNotNull() & F.col("cy").isNotNull())
     cells = located.groupBy("cx", "cy").agg((F.count(F.lit(1)) >= needed).alias("dense"))
-    points = cut_lineage(lookup(located, cells, ["cx", "cy"], spread=["key"]))
+    points = written(lookup(located, cells, ["cx", "cy"], spread=["key"]), "density")
     sparse = points.filter(~F.col("dense"))
     core_keys = _core_sparse(sparse, points, eps, side, needed)
     core = points.filter("dense").unionByName(sparse.join(core_keys, "key", "left_semi"))
-    core = cut_lineage(core)
-    nodes = cut_lineage(
-        core.groupBy("cx", "cy").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("n"))
+    core = written(core, "density")
+    nodes = written(
+        core.groupBy("cx", "cy").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("n")), "density"
     )
     ends = _links(core, eps, side)
     left = nodes.select("cx", "cy", F.col("id").alias("u"))

@@ -36,7 +36,7 @@ from noticelens.operators.vectors import (
     to_matrix,
     unit_rows,
 )
-from noticelens.session import cut_lineage, lookup, written
+from noticelens.session import lookup, written
 
 
 def explode_keywords(kb: DataFrame, null_as_nan: bool = False) -> DataFrame:
@@ -101,7 +101,7 @@ def _keyword_blocks(
 
 
 def _label_table(labels: DataFrame) -> DataFrame:
-    return cut_lineage(labels.select(F.col("label_id").cast("bigint").alias("label_id"), "label"))
+    return written(labels.select(F.col("label_id").cast("bigint").alias("label_id"), "label"), "maxsim")
 
 
 def _without_keywords(

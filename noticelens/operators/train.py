@@ -14,7 +14,7 @@ from noticelens.fixed_values import SEED
 from noticelens.functions.scoring import array_cells, total
 from noticelens.operators.classes import class_weights, stratified_folds
 from noticelens.operators.evaluate import classification_metrics, fold_summary
-from noticelens.session import cut_lineage, lookup
+from noticelens.session import lookup, written
 
 
 @dataclass
@@ -44,7 +44,7 @@ def train_cv(
     """
     folded = stratified_folds(df.select(key, label, features), key, label, k, seed)
     per_class = class_weights(folded, label, weights).select(label, "weight")
-    table = cut_lineage(lookup(folded, per_class, [label]))
+    table = written(lookup(folded, per_class, [label]), "train")
     family = LogisticRegression(
         featuresCol=features, labelCol=label, weightCol="weight", maxIter=max_iter, regParam=reg
     )
@@ -56,7 +56,7 @@ def train_cv(
         for i, model in enumerate(models)
     ]
     every = reduce(DataFrame.unionByName, scored)
-    metrics = cut_lineage(classification_metrics(every, "truth", "pred", ["fold"]))
+    metrics = written(classification_metrics(every, "truth", "pred", ["fold"]), "train")
     summary = fold_summary(metrics)
     best = summary.first()["best_fold"]
     return CrossValidation(metrics, summary, models[best])

@@ -28,7 +28,7 @@ from noticelens.operators.maxsim import (
 )
 from noticelens.operators.rules import apply_rules
 from noticelens.operators.vectors import MAX_BLOCK_CELLS
-from noticelens.session import cut_lineage
+from noticelens.session import written
 
 
 def weak_label(
@@ -171,7 +171,7 @@ def judge(
             for batch in batches:
                 yield batch.assign(response=[one(p) for p in batch["prompt"]])
 
-        replies = cut_lineage(prompts.mapInPandas(ask, schema))
+        replies = written(prompts.mapInPandas(ask, schema), "weaklabel")
     parsed = parse_judgement(F.coalesce("response", F.lit("")))
     error = F.col("error_label")
     not_set = F.lit(JUDGE_NOT_SET if client_factory is None else None)

@@ -14,7 +14,7 @@ from noticelens.plans import inputs as i
 from noticelens.plans.labelling import SQL_NEAREST, nearest
 from noticelens.plans.preparation import SQL_FOLDS
 from noticelens.plans.registry import query
-from noticelens.session import cut_lineage, shared_path
+from noticelens.session import shared_path, written
 from noticelens.streaming.scoring import score_stream
 
 MULTI = range(2, 2 + len(i.SCORED_LABELS))
@@ -140,7 +140,7 @@ def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Ranking reads its input twice; the predictions are made once.
-    folded = classes.stratified_folds(cut_lineage(_predictions(spark, sf_dir)), "id", "truth")
+    folded = classes.stratified_folds(written(_predictions(spark, sf_dir), "predictions"), "id", "truth")
     per_fold = evaluate.classification_metrics(folded, "truth", "pred", ["fold"])
     summary = evaluate.fold_summary(per_fold)
     rounded = [F.round(c, 6).alias(c) for c in ("mean_accuracy", "mean_f1", "std_f1")]
@@ -292,7 +292,7 @@ def platt_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_binary_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = i.table(spark, sf_dir, "documents").join(i.table(spark, sf_dir, "labels"), "doc_id")
     docs = texts.select(F.col("doc_id").alias("id"), F.col("quality").alias("label"), "text")
-    docs = cut_lineage(encoders.with_words(docs, "text").drop("text"))
+    docs = written(encoders.with_words(docs, "text").drop("text"), "words")
     stages = encoders.Pipeline(
         stages=[
             encoders.HashingTF(numFeatures=512, inputCol="_words", outputCol="_tf"),
@@ -327,13 +327,14 @@ def distill_train(spark: SparkSession, sf_dir: str) -> DataFrame:
         vecs.select("id", "vec_a", F.col("vec_a").alias("embedding")), centroids, 10, later_first=False
     )
     by_label = F.array_sort(F.transform("top", lambda t: F.struct(t["label_id"], t["score"])))
-    rows = cut_lineage(
+    rows = written(
         scored.select(
             "id",
             array_to_vector("vec_a").alias("features"),
             F.transform(by_label, lambda t: t["score"] * 10.0).alias("teacher"),
             F.get("top", F.lit(0))["label_id"].cast("int").alias("truth"),
-        )
+        ),
+        "teacher",
     )
     model = train.distill_train(rows, "teacher", 10)
     scores = train.student_logits(rows, model).withColumn("pred", F.col("prediction").cast("int"))

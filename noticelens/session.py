@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import AtomicType, NullType
 
 
 def local_session(cpus: str | int = "*", app: str = "noticelens", **conf: str) -> SparkSession:
@@ -57,8 +57,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a table under the shared folder and read it back.
 
-    Like a checkpoint, but filters and column selection reach the files.
+    Unlike a checkpoint it is computed once, and filters and column selection reach the
+    files. A table with a column of no type, which no file can hold, is checkpointed.
     """
+    if any(isinstance(f.dataType, NullType) for f in df.schema):
+        return cut_lineage(df)
     path = shared_path(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
@@ -66,7 +69,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors and stops recomputation."""
+    """Reliable checkpoint, for tables whose partitions and their order matter later."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -89,7 +92,7 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     Otherwise the frame comes back without a hint, so the join shuffles and
     adaptive execution may still split its skewed partitions.
     """
-    df = cut_lineage(df)
+    df = written(df, "side")
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
@@ -114,7 +117,7 @@ def lookup(
     """
     if small is None:
         if not materialised:
-            table = cut_lineage(table)
+            table = written(table, "lookup")
         small = is_small(table, max_rows)
     if small:
         return df.join(F.broadcast(table), on, how)
