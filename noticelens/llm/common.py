@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.session import shared_path
+from noticelens.session import SMALL_ROWS, lookup, shared_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +48,47 @@ def utf8(text: str) -> bytes:
 def digest64(data: bytes) -> int:
     """A signed 64-bit hash that is the same in every process."""
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def attached(
+    df: DataFrame, table: DataFrame, on: list[str], how: str = "inner", spread: list[str] | None = None
+) -> DataFrame:
+    """Join a table of few narrow columns, unique in ``on``, to rows with uneven keys.
+
+    The table is written and counted; it is broadcast up to a bound of rows and joined by
+    salted keys beyond.
+    """
+    table = stored(table, "attached")
+    return lookup(df, table, on, how, spread=spread, small=table.count() <= SMALL_ROWS)
+
+
+def kept(sent: dict, make):
+    """``make(sent["source"])``, made once per Python worker.
+
+    A worker keeps the values of broadcasts between its tasks, and so what is put there.
+    """
+    if "made" not in sent:
+        sent["made"] = make(sent["source"])
+    return sent["made"]
+
+
+class Recent(dict):
+    """A dictionary of bounded size that keeps what was asked for lately.
+
+    What was not used since the last turn but one is forgotten.
+    """
+
+    def __init__(self):
+        self.old = {}
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = value = self.old[key]
+        return value
+
+    def unknown(self, keys: Iterable[str]) -> set[str]:
+        return set(filterfalse(self.__contains__, keys)).difference(self.old)
+
+    def turn(self, bound: int) -> None:
+        if len(self) >= bound:
+            self.old = dict(self)
+            self.clear()

@@ -7,10 +7,13 @@
    first every node meets the leader of a salted part of its bucket and that leader the
    leader of the bucket; then nodes outside a bucket's largest class meet varying
    members of that class, and only the best estimate is tried.
-3. Last, every remaining candidate pair of different classes is settled. Here a pair is
-   ruled out without being built if sizes, or shingles that no other candidate has, bound
-   the similarity below the threshold, or if the similarity estimated from the packed
-   bits, corrected for chance collisions, is far below it.
+3. Last, every remaining candidate pair of different classes is settled. In a bucket of up
+   to ``FEW`` nodes all of them are built. In a larger one shingles fall into core ones,
+   which more than ``FEW`` nodes of such buckets have, and rare ones. Either two nodes have
+   enough core shingles to be linked by these alone, or they share a rare one, which is
+   found by an index of rare shingles; any other pair cannot be linked and is not built.
+   A pair is dropped unconfirmed only if the sizes rule it out, or if the similarity
+   estimated from the packed bits, corrected for chance collisions, is far too low.
 4. Each link is confirmed on the two full sets; classes are the connected components.
 
 A pair at similarity 0.8 shares no band with probability (1 - 0.8**5)**36 = 6e-7, and its
@@ -30,10 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from noticelens.llm.common import stored, strings
+from noticelens.llm.common import attached, stored, strings
 from noticelens.llm.shingles import WordHashes, shingles
-from noticelens.session import is_small, lookup
+from noticelens.session import SMALL_ROWS, is_small, lookup
 
 BANDS, ROWS = 36, 5
 KEPT, BITS = 128, 4
@@ -43,6 +48,8 @@ ERRORS = 5.5
 BLOCK = 400_000
 # Nodes of a bucket that share one leader: a bucket of n nodes has about n / PART leaders.
 PART = 2_000
+# Size of a bucket, and number of owners of a shingle, up to which pairs are built.
+FEW = 64
 
 _LANES = KEPT * BITS // 64
 
@@ -147,10 +154,9 @@ def _floor(percent: int) -> float:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Bounds that a linked pair always meets: sizes, and shingles that others have."""
+    """What sizes and packed bits leave possible."""
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
-    common = F.least(F.col(f"{a}.met"), F.col(f"{b}.met"))
-    return (100 * common >= percent * (n_a + n_b - common)) & (
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (
         estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits")) >= _floor(percent)
     )
 
@@ -179,41 +185,37 @@ def components(links: DataFrame) -> DataFrame:
     Alternates the two star operations on edges: every node hands its larger, then its
     smaller neighbours over to its smallest one, until the edges are stars.
     """
-    edges = stored(links.select("a", "b").filter("a != b"), "edges")
-    before = None
-    while True:
+    edges = stored(_edges(links.select("a", "b")), "edges")
+    now, before = _fingerprint(edges), None
+    # Edges never grow in number, so neither does the table of smallest neighbours.
+    small = now[0] <= SMALL_ROWS // 2
+    while now != before:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        larger = lookup(both.filter("b > a"), least, ["a"], spread=["b"])
-        edges = larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+        larger = lookup(both.filter("b > a"), least, ["a"], spread=["b"], materialised=True, small=small)
+        down = stored(_edges(larger.select("b", "m")), "edges")
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        smaller = lookup(down, least, ["a"], spread=["b"])
-        edges = stored(
-            smaller.select(
-                F.explode(
-                    F.array(
-                        F.struct(F.col("a"), F.col("m").alias("b")),
-                        F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-                    )
-                ).alias("e")
-            )
-            .select("e.a", "e.b")
-            .filter("a != b")
-            .distinct(),
-            "edges",
-        )
-        total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        now = tuple(edges.agg(F.count(F.lit(1)), total).first())
-        if now == before:
-            break
-        before = now
+        smaller = lookup(down, least, ["a"], spread=["b"], materialised=True, small=small)
+        ends = F.explode(F.array("a", "b")).alias("x")
+        edges = stored(_edges(smaller.select(ends, "m")), "edges")
+        now, before = _fingerprint(edges), now
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.withColumn("component", F.col("node"))
     )
 
 
+def _edges(pairs: DataFrame) -> DataFrame:
+    """Distinct edges a > b of two columns of nodes."""
+    x, y = (F.col(c) for c in pairs.columns)
+    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).filter("a != b").distinct()
+
+
+def _fingerprint(edges: DataFrame) -> tuple:
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    return tuple(edges.agg(F.count(F.lit(1)), total).first())
+
+
 def _full_sets(docs, nodes, members, width, id_col, text_col) -> DataFrame:
     """(node, full) of the given nodes: their distinct shingles, from the whole texts."""
 
@@ -274,9 +276,9 @@ def near_duplicates(
         .agg(F.min("rep").alias("component_id"), F.sum("copies").alias("size"))
         .filter("size > 1")
     )
-    known = lookup(classes.select("hash", "component"), first, ["component"], spread=["hash"])
+    known = attached(classes.select("hash", "component"), first, ["component"], spread=["hash"])
     known = known.select("hash", "component_id")
-    out = lookup(rows.select("id", "n", "hash"), known, ["hash"], "left", spread=["id"])
+    out = attached(rows.select("id", "n", "hash"), known, ["hash"], "left", spread=["id"])
     component = F.coalesce("component_id", "id")
     return out.select(
         F.col("id").alias(id_col),
@@ -306,7 +308,7 @@ def _linked(docs, nodes, width, percent, id_col, text_col) -> DataFrame:
     )
     members = shared.select("node").distinct()
     sets = _full_sets(docs, nodes, members, width, id_col, text_col)
-    facts = stored(_with_met(nodes.select("node", "n", "bits"), sets), "facts")
+    facts = stored(nodes.join(members, "node", "left_semi").select("node", "n", "bits"), "facts")
 
     leaders = shared.select(
         F.explode(
@@ -320,51 +322,26 @@ def _linked(docs, nodes, width, percent, id_col, text_col) -> DataFrame:
     links = stored(_confirmed(_estimated(pairs, facts, percent).select("a", "b"), sets, percent), "links")
     linked = stored(components(links), "linked")
 
-    for turn in range(2):
-        at = stored(_classed(shared, linked), "at")
-        pairs = _visits(at, turn)
-        best = (
-            _estimated(pairs, facts, percent)
-            .groupBy("a", "to")
-            .agg(F.max_by("b", "estimate").alias("b"))
-        )
-        more = stored(_confirmed(best.select("a", "b"), sets, percent), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            linked = stored(components(links), "linked")
-
-    rest = stored(_confirmed(_remaining(shared, linked, facts, percent), sets, percent), "links")
+    at = _at_mains(shared, linked)
+    best = (
+        _estimated(_visits(at), facts, percent)
+        .groupBy("a", "to")
+        .agg(F.max_by("b", "estimate").alias("b"))
+    )
+    more = stored(_confirmed(best.select("a", "b"), sets, percent), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        linked = stored(components(links), "linked")
+        at = _at_mains(shared, linked)
+
+    marked = stored(at.join(facts, "node"), "marked")
+    pairs = _of_small(marked, percent).unionByName(_of_large(marked, sets, percent)).distinct()
+    rest = stored(_confirmed(pairs, sets, percent), "links")
     if not rest.isEmpty():
         linked = stored(components(links.unionByName(rest)), "linked")
     return linked
 
 
-def _with_met(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds ``met``: the number of a node's shingles that another candidate has too."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, full in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = np.frombuffer(full.as_buffer(), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values), pa.array(np.full(len(values), node))], names=["s", "node"]
-                )
-
-    single = (
-        sets.select("node", "full")
-        .mapInArrow(run, "s long, node long")
-        .groupBy("s")
-        .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
-        .filter("df = 1")
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("own"))
-    )
-    candidates = nodes.join(sets.select("node"), "node", "left_semi")
-    return candidates.join(single, "node", "left").select(
-        "node", "n", "bits", (F.col("n") - F.coalesce("own", F.lit(0))).alias("met")
-    )
-
-
 def _estimated(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """Pairs that the bounds and the estimate leave possible, with their estimate."""
     a, b = facts.alias("fa"), facts.alias("fb")
@@ -376,56 +353,128 @@ def _estimated(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     return found.select(*pairs.columns, estimate(F.col("fa.bits"), F.col("fb.bits")).alias("estimate"))
 
 
-def _classed(shared: DataFrame, linked: DataFrame) -> DataFrame:
-    return shared.join(linked, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
-    )
-
-
-def _mains(at: DataFrame) -> DataFrame:
-    """The largest class of each bucket that holds several, with a member that varies by key."""
-    per = at.groupBy("key", "component").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.xxhash64("node", "key")).alias("h")
+def _at_mains(shared: DataFrame, linked: DataFrame) -> DataFrame:
+    """(key, main, large, node, component) of the buckets that hold several classes; ``main``
+    is the largest class of the bucket, ``large`` tells more than ``FEW`` nodes."""
+    at = stored(
+        shared.join(linked, "node", "left").select(
+            "key", "node", F.coalesce("component", "node").alias("component")
+        ),
+        "at",
     )
-    return (
-        per.groupBy("key")
-        .agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("classes"))
+    mains = (
+        at.groupBy("key", "component")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("key")
+        .agg(
+            F.max(F.struct("size", "component")).alias("main"),
+            F.count(F.lit(1)).alias("classes"),
+            F.sum("size").alias("size"),
+        )
         .filter("classes > 1")
-        .select("key", F.col("main.component").alias("main"))
+        .select("key", F.col("main.component").alias("main"), (F.col("size") > FEW).alias("large"))
     )
+    return stored(attached(at, mains, ["key"], spread=["node"]), "mains")
 
 
-def _visits(at: DataFrame, turn: int) -> DataFrame:
-    """(a, b, to): nodes outside a bucket's largest class ``to`` and a member b of that class."""
-    mains = stored(_mains(at), "mains")
-    marked = lookup(at, mains, ["key"], spread=["node"])
-    order = F.xxhash64("node", "key", F.lit(turn))
+def _visits(at: DataFrame) -> DataFrame:
+    """(a, b, to): nodes outside a bucket's largest class ``to`` and a member b of that class,
+    another one in every bucket."""
     hosts = (
-        marked.filter("component = main")
+        at.filter("component = main")
         .groupBy("key", F.col("main").alias("to"))
-        .agg(F.min_by("node", order).alias("b"))
+        .agg(F.min(F.struct(F.xxhash64("node", "key").alias("order"), "node")).alias("host"))
+        .select("key", "to", F.col("host.node").alias("b"))
     )
-    guests = marked.filter("component != main").select("key", F.col("node").alias("a"))
-    return lookup(guests, hosts, ["key"], spread=["a"]).select("a", "b", "to").distinct()
+    guests = at.filter("component != main").select("key", F.col("node").alias("a"))
+    return attached(guests, hosts, ["key"], spread=["a"]).select("a", "b", "to").distinct()
 
 
-def _remaining(shared: DataFrame, linked: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs of different classes that the bounds leave possible."""
-    at = stored(_classed(shared, linked), "at")
-    mains = stored(_mains(at), "mains")
-    marked = stored(
-        lookup(at, mains, ["key"], spread=["node"]).join(facts, "node"), "marked"
-    )
-    guests = marked.filter("component != main").alias("g")
-    pairs = guests.join(
-        marked.alias("h"),
+def _apart(percent: int) -> Column:
+    """Pairs g, h of one bucket and of different classes, each of them asked for once."""
+    return (
         (F.col("g.key") == F.col("h.key"))
         & (F.col("g.component") != F.col("h.component"))
         # Of two nodes outside the largest class, only the smaller one asks.
         & ((F.col("h.component") == F.col("h.main")) | (F.col("g.node") < F.col("h.node")))
-        & _possible("g", "h", percent),
+        & _possible("g", "h", percent)
+    )
+
+
+def _of_small(marked: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different classes in buckets of few nodes."""
+    rows = marked.filter(~F.col("large"))
+    pairs = rows.filter("component != main").alias("g").join(rows.alias("h"), _apart(percent))
+    return pairs.select(F.least("g.node", "h.node").alias("a"), F.greatest("g.node", "h.node").alias("b"))
+
+
+def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different classes in large buckets that bounds leave possible."""
+    large = marked.filter("large")
+    nodes = large.select("node", "component", "n", "bits").dropDuplicates(["node"])
+    outside = large.filter("component != main").select("node").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, full in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = np.frombuffer(full.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values), pa.array(np.full(len(values), node))], names=["s", "node"]
+                )
+
+    places = sets.join(nodes.select("node"), "node", "left_semi").select("node", "full")
+    places = stored(places.mapInArrow(run, "s long, node long"), "places")
+    owners = places.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
+    owners = stored(owners.filter(F.col("df") <= FEW), "owners")
+    rare = stored(
+        attached(places, owners.filter("df > 1").select("s", "df"), ["s"], spread=["node"]), "rare"
+    )
+    own = owners.filter("df = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    shared = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"))
+    zero = F.lit(0).cast("long")
+    nodes = stored(
+        nodes.join(own, "node", "left")
+        .join(shared, "node", "left")
+        .withColumn("rare", F.coalesce("rare", zero))
+        .withColumn("core", F.col("n") - F.coalesce("own", zero) - F.col("rare")),
+        "judged",
+    )
+    core = nodes.select("node", "core")
+    rows = large.join(core, "node")
+    both = F.least("g.core", "h.core")
+    by_core = (
+        rows.filter("component != main")
+        .alias("g")
+        .join(
+            rows.alias("h"),
+            _apart(percent)
+            & (100 * both >= percent * (F.col("g.n") + F.col("h.n") - both)),
+        )
+        .select(F.col("g.node").alias("a"), F.col("h.node").alias("b"))
+    )
+    # So many rare shingles a partner shares at least; all but so many need no lookup.
+    needed = F.greatest(F.ceil(percent * F.col("n") / 100) - F.col("core"), F.lit(1))
+    asked = nodes.join(outside, "node", "left_semi").withColumn("looked", F.col("rare") - needed + 1)
+    order = Window.partitionBy("node").orderBy("df", "s")
+    asking = (
+        rare.withColumn("place", F.row_number().over(order))
+        .join(asked.select("node", "looked"), "node")
+        .filter("place <= looked")
+        .select("s", F.col("node").alias("a"))
+    )
+    met = (
+        asking.join(rare.select("s", F.col("node").alias("b")), "s")
+        .filter("a != b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+    by_rare = (
+        met.join(nodes.alias("g"), F.col("a") == F.col("g.node"))
+        .join(nodes.alias("h"), F.col("b") == F.col("h.node"))
+        .filter((F.col("g.component") != F.col("h.component")) & _possible("g", "h", percent))
+        .select("a", "b")
     )
-    return pairs.select(F.col("g.node").alias("a"), F.col("h.node").alias("b")).distinct()
+    return by_core.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(by_rare)
 
 
 def one_of_each(
@@ -475,7 +524,7 @@ def _one_of_repeated(many, found, width, id_col, text_col) -> DataFrame:
             hashed = pa.array([_set_hash(s) if len(s) else b"" for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, hashed], names=["__mh_id", "_text", "_row", "_set"])
 
-    schema = rows.schema.add("_set", "binary")
+    schema = T.StructType([*rows.schema.fields, T.StructField("_set", T.BinaryType())])
     kept = (
         found.filter("kept")
         .select(F.col(id_col).alias("__mh_id"), F.coalesce("set_hash", F.lit(b"")).alias("_set"))
