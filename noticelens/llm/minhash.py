@@ -12,9 +12,13 @@
    which more than ``FEW`` nodes of such buckets have, and rare ones. Either two nodes have
    enough core shingles to be linked by these alone, or they share a rare one, which is
    found by an index of rare shingles; any other pair cannot be linked and is not built.
-   A pair is dropped unconfirmed only if the sizes rule it out, or if the similarity
-   estimated from the packed bits, corrected for chance collisions, is far too low.
-4. Each link is confirmed on the two full sets; classes are the connected components.
+
+A candidate pair is dropped unconfirmed only if bounds rule it out, of the sizes and of a
+bitmap of the shingles (common shingles are common bits, but for those that share a bit
+with another one), or if the similarity estimated from the packed bits, corrected for
+chance collisions, is far too low.
+
+Each link is confirmed on the two full sets; classes are the connected components.
 
 A pair at similarity 0.8 shares no band with probability (1 - 0.8**5)**36 = 6e-7, and its
 estimate falls below the floor with 2e-8.
@@ -50,6 +54,8 @@ BLOCK = 400_000
 PART = 2_000
 # Size of a bucket, and number of owners of a shingle, up to which pairs are built.
 FEW = 64
+# Longs of the bitmap of a node's shingles.
+MARKS = 32
 
 _LANES = KEPT * BITS // 64
 
@@ -154,10 +160,21 @@ def _floor(percent: int) -> float:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """What sizes and packed bits leave possible."""
+    """What sizes, shared marks and packed bits leave possible.
+
+    Common shingles have common marks. A node with n shingles and m marks has n - m
+    shingles whose mark another one has too, so no more than that are missed by counting.
+    """
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (
-        estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits")) >= _floor(percent)
+    shared = F.least(F.col(f"{a}.spare"), F.col(f"{b}.spare"))
+    for lane in range(MARKS):
+        both = F.col(f"{a}.marks")[lane].bitwiseAND(F.col(f"{b}.marks")[lane])
+        shared = shared + F.bit_count(both)
+    common = F.least(shared, n_a, n_b)
+    return (
+        (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
+        & (estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits")) >= _floor(percent))
+        & (100 * common >= percent * (n_a + n_b - common))
     )
 
 
@@ -185,7 +202,7 @@ def components(links: DataFrame) -> DataFrame:
     Alternates the two star operations on edges: every node hands its larger, then its
     smaller neighbours over to its smallest one, until the edges are stars.
     """
-    edges = stored(_edges(links.select("a", "b")), "edges")
+    edges = stored(_edges(links.select("a", "b")).distinct(), "edges")
     now, before = _fingerprint(edges), None
     # Edges never grow in number, so neither does the table of smallest neighbours.
     small = now[0] <= SMALL_ROWS // 2
@@ -197,7 +214,7 @@ def components(links: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         smaller = lookup(down, least, ["a"], spread=["b"], materialised=True, small=small)
         ends = F.explode(F.array("a", "b")).alias("x")
-        edges = stored(_edges(smaller.select(ends, "m")), "edges")
+        edges = stored(_edges(smaller.select(ends, "m")).distinct(), "edges")
         now, before = _fingerprint(edges), now
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
@@ -206,9 +223,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
-    """Distinct edges a > b of two columns of nodes."""
+    """Edges a > b of two columns of nodes."""
     x, y = (F.col(c) for c in pairs.columns)
-    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).filter("a != b").distinct()
+    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).filter("a != b")
+
+
+def _side(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows; broadcast up to a bound of rows, else shuffled."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS // 2 else df
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -217,30 +239,43 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 
 def _full_sets(docs, nodes, members, width, id_col, text_col) -> DataFrame:
-    """(node, full) of the given nodes: their distinct shingles, from the whole texts."""
+    """(node, full, marks, spare) of the given nodes: their distinct shingles, from the whole
+    texts, the bitmap of these, and how many share a mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = [np.unique(shingles(t, width, hashes)) for t in strings(batch.column(0))]
+            marks = [_marked(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_set_hash(s) for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([m.tolist() for m, _ in marks], pa.list_(pa.int64())),
+                    pa.array([spare for _, spare in marks], pa.int64()),
                 ],
-                names=["hash", "full"],
+                names=["hash", "full", "marks", "spare"],
             )
 
     wanted = stored(
         nodes.join(members, "node").select(F.col("rep").alias("__mh_rep"), "hash", "node"), "wanted"
     )
-    reps = wanted.select("__mh_rep").distinct()
-    if is_small(reps):
-        reps = F.broadcast(reps)
+    few = wanted.count() <= SMALL_ROWS // 2
+    reps, hashes_of = wanted.select("__mh_rep"), wanted.select("hash", "node")
+    if few:
+        reps, hashes_of = F.broadcast(reps), F.broadcast(hashes_of)
     texts = docs.join(reps, docs[id_col] == reps["__mh_rep"], "left_semi").select(text_col)
-    found = texts.mapInArrow(run, "hash binary, full binary")
-    return stored(found.join(wanted.select("hash", "node"), "hash").select("node", "full")
-                  .dropDuplicates(["node"]), "sets")
+    schema = "hash binary, full binary, marks array<long>, spare long"
+    found = texts.mapInArrow(run, schema).join(hashes_of, "hash")
+    # A repeated id may bring a text twice.
+    return stored(found.select("node", "full", "marks", "spare").dropDuplicates(["node"]), "sets")
+
+
+def _marked(distinct: np.ndarray) -> tuple[np.ndarray, int]:
+    """The bitmap of a set of shingles, and the number of shingles beyond its marks."""
+    flags = np.zeros(64 * MARKS, dtype=np.uint8)
+    flags[(distinct >> np.uint64(20)) % np.uint64(64 * MARKS)] = 1
+    return np.packbits(flags).view(np.int64), len(distinct) - int(flags.sum())
 
 
 def near_duplicates(
@@ -306,10 +341,13 @@ def _linked(docs, nodes, width, percent, id_col, text_col) -> DataFrame:
         ),
         "shared",
     )
-    members = shared.select("node").distinct()
+    members = _side(stored(shared.select("node").distinct(), "members"))
     sets = _full_sets(docs, nodes, members, width, id_col, text_col)
-    facts = stored(nodes.join(members, "node", "left_semi").select("node", "n", "bits"), "facts")
+    facts = nodes.join(members, "node", "left_semi").select("node", "n", "bits")
+    facts = stored(facts.join(sets.select("node", "marks", "spare"), "node"), "facts")
+    facts = _side(facts)
 
+    # Of the leaders that a node meets, the one that looks most similar is tried.
     leaders = shared.select(
         F.explode(
             F.array(
@@ -319,8 +357,9 @@ def _linked(docs, nodes, width, percent, id_col, text_col) -> DataFrame:
         ).alias("p")
     ).select("p.a", "p.b")
     pairs = leaders.filter("a != b").distinct()
-    links = stored(_confirmed(_estimated(pairs, facts, percent).select("a", "b"), sets, percent), "links")
-    linked = stored(components(links), "linked")
+    best = _estimated(pairs, facts, percent).groupBy("a").agg(F.max_by("b", "estimate").alias("b"))
+    links = stored(_confirmed(best, sets, percent), "links")
+    linked = _side(stored(components(links), "linked"))
 
     at = _at_mains(shared, linked)
     best = (
@@ -331,7 +370,7 @@ def _linked(docs, nodes, width, percent, id_col, text_col) -> DataFrame:
     more = stored(_confirmed(best.select("a", "b"), sets, percent), "links")
     if not more.isEmpty():
         links = links.unionByName(more)
-        linked = stored(components(links), "linked")
+        linked = _side(stored(components(links), "linked"))
         at = _at_mains(shared, linked)
 
     marked = stored(at.join(facts, "node"), "marked")
@@ -411,8 +450,21 @@ def _of_small(marked: DataFrame, percent: int) -> DataFrame:
 def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different classes in large buckets that bounds leave possible."""
     large = marked.filter("large")
-    nodes = large.select("node", "component", "n", "bits").dropDuplicates(["node"])
-    outside = large.filter("component != main").select("node").distinct()
+    if large.isEmpty():
+        return marked.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+    nodes = (
+        large.groupBy("node")
+        .agg(
+            F.first("component").alias("component"),
+            F.first("n").alias("n"),
+            F.first("bits").alias("bits"),
+            F.first("marks").alias("marks"),
+            F.first("spare").alias("spare"),
+            F.bool_or(F.col("component") != F.col("main")).alias("outside"),
+        )
+    )
+    nodes = stored(nodes, "large")
+    told = _side(nodes.select("node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -422,7 +474,7 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     [pa.array(values), pa.array(np.full(len(values), node))], names=["s", "node"]
                 )
 
-    places = sets.join(nodes.select("node"), "node", "left_semi").select("node", "full")
+    places = sets.join(told, "node", "left_semi").select("node", "full")
     places = stored(places.mapInArrow(run, "s long, node long"), "places")
     owners = places.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
     owners = stored(owners.filter(F.col("df") <= FEW), "owners")
@@ -439,8 +491,8 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("core", F.col("n") - F.coalesce("own", zero) - F.col("rare")),
         "judged",
     )
-    core = nodes.select("node", "core")
-    rows = large.join(core, "node")
+    judged = _side(nodes)
+    rows = large.join(judged.select("node", "core"), "node")
     both = F.least("g.core", "h.core")
     by_core = (
         rows.filter("component != main")
@@ -454,7 +506,7 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     # So many rare shingles a partner shares at least; all but so many need no lookup.
     needed = F.greatest(F.ceil(percent * F.col("n") / 100) - F.col("core"), F.lit(1))
-    asked = nodes.join(outside, "node", "left_semi").withColumn("looked", F.col("rare") - needed + 1)
+    asked = judged.filter("outside").withColumn("looked", F.col("rare") - needed + 1)
     order = Window.partitionBy("node").orderBy("df", "s")
     asking = (
         rare.withColumn("place", F.row_number().over(order))
@@ -469,8 +521,8 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .distinct()
     )
     by_rare = (
-        met.join(nodes.alias("g"), F.col("a") == F.col("g.node"))
-        .join(nodes.alias("h"), F.col("b") == F.col("h.node"))
+        met.join(judged.alias("g"), F.col("a") == F.col("g.node"))
+        .join(judged.alias("h"), F.col("b") == F.col("h.node"))
         .filter((F.col("g.component") != F.col("h.component")) & _possible("g", "h", percent))
         .select("a", "b")
     )
