@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from noticelens.llm.common import stored, strings
+from noticelens.llm.common import Recent, kept, stored, strings
 from noticelens.session import lookup, shared_path
 
 SHARD_BYTES = 16 << 20
 BLOCK_IDS = 500_000
-# Bound of the segments whose ids a task remembers, and of what is encoded in one call.
-SEGMENTS, CALL = 400_000, 100_000
+# Bound of the parts whose ids a worker remembers, and of what is encoded in one call.
+SEGMENTS, CALL = 150_000, 10_000
 
 _MAGIC = b"FRQ1"
 _HEAD = "<4sQIIII"
@@ -87,69 +87,70 @@ class TextEncoder:
     """Ids of texts by a byte-level tokenizer, equal parts encoded once.
 
     Its pattern always cuts before a single space between two characters that are no white
-    space, so the parts between such spaces are encoded on their own and remembered.
+    space, so the parts between such spaces are encoded on their own and remembered. Parts
+    of printable ASCII and Latin letters are cut further by the same pattern here, and only
+    new words reach the tokenizer; other parts go through its own pattern.
     """
 
     _cut = re.compile(r"(?<=\S) (?=\S)")
     _wide = re.compile(r"\s\s")
+    _plain = re.compile(r"[\n!-~\u00c0-\u024f]+")
+    # Fixed value: the pattern of the tokenizer, for those characters.
+    _words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.spaced: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.bare = Tokenizer.from_str(tokenizer_json)
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spaced, self.words, self.first = Recent(), Recent(), Recent()
 
     def _parts(self, text: str) -> list[str]:
         if text[:1].isspace() or text[-1:].isspace() or self._wide.search(text):
             return self._cut.split(text)
         return text.split(" ")
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, parts: list[str]) -> None:
-        """Ids of parts that follow a space, from one text of them all."""
-        text = " " + " ".join(parts)
-        lengths = np.array([len(p) + 1 for p in parts])
-        starts = np.cumsum(lengths) - lengths
-        found = self.tokenizer.encode(text, add_special_tokens=False)
-        ids = np.array(found.ids, dtype=np.uint32)
-        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-        edges = np.searchsorted(np.searchsorted(starts, at, side="right") - 1, np.arange(len(parts) + 1))
-        data = ids.tobytes()
-        for part, a, b in zip(parts, (4 * edges[:-1]).tolist(), (4 * edges[1:]).tolist()):
-            self.spaced[part] = data[a:b]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> Iterator[bytes]:
+        for n in range(0, len(texts), CALL):
+            for found in tokenizer.encode_batch_fast(texts[n : n + CALL], add_special_tokens=False):
+                yield array("I", found.ids).tobytes()
+
+    def _learn(self, known: Recent, new: set[str], before: str) -> None:
+        """Remember the ids of new parts, each with ``before`` in front of it."""
+        plain, odd = [], []
+        for part in new:
+            special = "<|" in part or not self._plain.fullmatch(part)
+            (odd if special else plain).append(part)
+        cut = [self._words.findall(before + part) for part in plain]
+        words = list(self.words.unknown(word for part in cut for word in part))
+        self.words.update(zip(words, self._ids(self.bare, words)))
+        for part, found in zip(plain, cut):
+            known[part] = b"".join(map(self.words.__getitem__, found))
+        known.update(zip(odd, self._ids(self.tokenizer, [before + part for part in odd])))
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text as 32-bit integers."""
-        waiting, new, size = [], {}, 0
+        waiting, heads, new = [], set(), set()
         for text in texts:
             parts = self._parts(text)
             waiting.append(parts)
-            if parts[0] not in self.plain:
-                self.plain[parts[0]] = array("I", self._ids(parts[0])).tobytes()
-            for part in parts[1:]:
-                if part not in self.spaced and part not in new:
-                    if part[-1].isspace():
-                        self.spaced[part] = array("I", self._ids(" " + part)).tobytes()
-                    else:
-                        new[part] = None
-                        size += len(part)
-            if size >= CALL or len(waiting) >= 1_000:
-                yield from self._answers(waiting, new)
-                waiting, new, size = [], {}, 0
-        yield from self._answers(waiting, new)
-
-    def _answers(self, waiting: list[list[str]], new: dict[str, None]) -> Iterator[bytes]:
-        if new:
-            self._learn(list(new))
+            heads.update(self.first.unknown(parts[:1]))
+            new.update(self.spaced.unknown(parts[1:]))
+            if len(new) >= CALL or len(waiting) >= 1_000:
+                yield from self._answers(waiting, heads, new)
+                waiting, heads, new = [], set(), set()
+        yield from self._answers(waiting, heads, new)
+
+    def _answers(self, waiting: list[list[str]], heads: set[str], new: set[str]) -> Iterator[bytes]:
+        self._learn(self.first, heads, "")
+        self._learn(self.spaced, new, " ")
         for parts in waiting:
-            yield self.plain[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))
-        if len(self.spaced) + len(self.plain) >= SEGMENTS:
-            self.spaced.clear()
-            self.plain.clear()
+            yield self.first[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))
+        for known in (self.first, self.spaced, self.words):
+            known.turn(SEGMENTS)
 
 
 def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -164,14 +165,14 @@ def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, t
         .repartitionByRange(shards, "id")
         .sortWithinPartitions("id", F.xxhash64("text"))
     )
-    sent = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    sent = docs.sparkSession.sparkContext.broadcast({"source": tokenizer_json})
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        encoder, shard = TextEncoder(sent.value), TaskContext.get().partitionId()
+        encoder, shard = kept(sent.value, TextEncoder), TaskContext.get().partitionId()
         block, first, size = 0, 0, 0
         keys, counts, data = [], [], []
 
