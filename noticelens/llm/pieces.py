@@ -11,7 +11,7 @@ any order of scores: merges inside a segment never depend on what lies beyond a
 that no merge crosses.
 
 Characters without a piece become byte pieces. The ids of a segment are remembered by
-the task up to a bound. Tokenizers are read, never trained.
+the worker up to a bound. Tokenizers are read, never trained.
 
 Defined cases: a null text is encoded as an empty one, which has no pieces; repeated
 rows are encoded alike; other columns are not read; empty tables give empty results.
@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm.common import strings
+from noticelens.llm.common import Recent, kept, strings
 
 SPACE = "▁"
-# Bounds of a task: remembered segments, characters indexed at once, remembered pairs.
-SEGMENTS, INDEXED, PAIRS = 400_000, 400_000, 1_000_000
+# Bounds of a worker: remembered segments, characters indexed at once, remembered pairs.
+SEGMENTS, INDEXED, PAIRS = 200_000, 400_000, 1_000_000
 # More than any piece id or code point offset; makes one key of two of them.
 _CODES = 1 << 24
 
@@ -164,12 +164,12 @@ def _searched(values, low, high, wanted, after: bool) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts; made once per task."""
+    """Encodes texts; made once per Python worker."""
 
     def __init__(self, model: bytes):
         self.words = Vocabulary(model)
         self.index = PieceIndex(self.words)
-        self.known: dict[str, bytes] = {}
+        self.known = Recent()
         self.pairs: dict[int, bool] = {}
 
     def _stands(self, left: int, right: int) -> bool:
@@ -242,18 +242,17 @@ class Encoder:
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text. New segments are gathered over many texts before indexing."""
-        waiting, new, size = [], {}, 0
+        waiting, new, size = [], set(), 0
         for text in texts:
             # The separator cannot be indexed, so a NUL is a segment of its own.
             parts = self._segments(text)
             waiting.append(parts)
-            for part in parts:
-                if part not in self.known and part not in new:
-                    new[part] = None
-                    size += len(part)
+            for part in self.known.unknown(parts).difference(new):
+                new.add(part)
+                size += len(part)
             if size >= INDEXED or len(waiting) >= 2_000:
                 yield from self._answers(waiting, new)
-                waiting, new, size = [], {}, 0
+                waiting, new, size = [], set(), 0
         yield from self._answers(waiting, new)
 
     def _segments(self, text: str) -> list[str]:
@@ -264,15 +263,14 @@ class Encoder:
             parts.extend(self.words.segment.findall(piece))
         return parts
 
-    def _answers(self, waiting: list[list[str]], new: dict[str, None]) -> Iterator[np.ndarray]:
+    def _answers(self, waiting: list[list[str]], new: set[str]) -> Iterator[np.ndarray]:
         if "\0" in new:
-            del new["\0"]
+            new.remove("\0")
             self.known["\0"] = np.array([self.words.byte_ids[0]], dtype=np.int32).tobytes()
         self._learn(new)
         for parts in waiting:
             yield np.frombuffer(b"".join(map(self.known.__getitem__, parts)), dtype=np.int32)
-        if len(self.known) >= SEGMENTS:
-            self.known.clear()
+        self.known.turn(SEGMENTS)
 
 
 def read_model(path: str) -> bytes:
@@ -287,10 +285,10 @@ def encode(
 
     ``model`` is a model file, a fixed size whatever the corpus; it is broadcast.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast({"source": model})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = kept(sent.value, Encoder)
         for batch in batches:
             ids, done = [], 0
             size = 0
@@ -354,10 +352,10 @@ def round_trip(
 
     The checksums are of the ids as little-endian 32-bit integers and of UTF-8.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast({"source": model})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = kept(sent.value, Encoder)
         for batch in batches:
             rows = []
             for ids in encoder.encode(strings(batch.column(1))):
