@@ -6,7 +6,8 @@ copied from an example, one that a single owner has and that does not read like
 placeholder looks live. Only DataFrame functions run on the rows.
 
 Offsets count code points; the spans of a kind are the leftmost non-overlapping matches,
-and a match whose value is too short is dropped but still used up its characters.
+and a match whose value is too short is dropped but still used up its characters. The span
+of a private key is the whole block, its value the body; a BEGIN line without one is no span.
 
 Defined cases: null texts have no spans; without spans the digest is that of an empty
 text and the list is empty; repeated rows are reported alike and count as one owner;
@@ -44,6 +45,21 @@ def _any_case(word: str) -> str:
 _NAMES = "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token"))
 _NAMES += "|" + _any_case("api") + "_?" + _any_case("key")
 
+# A private key reaches from its BEGIN line to its END line; what is between holds no two
+# dashes in a row. Without an END line it reaches as far as base64 lines go. Loops over
+# groups are bounded, as Java recurses on them; those over characters are not.
+_BASE64 = r"[A-Za-z0-9+/=\\]"
+# Written out, as RE2 refuses counts inside of counts beyond 1,000.
+_RUN = _BASE64 * 16 + _BASE64 + "*"
+_BLANK = r"[\x20\t\r\n]*"
+_TO_END = r"(?:[^-\x20\t\r\n][^-]*)?(?:-[^-]+){0,300}-?-----END"
+_TO_LAST_LINE = (
+    r"(?:[A-Za-z-]+:\x20[^\r\n]*[\r\n]+){0,8}"
+    rf"(?:{_RUN}(?:[\x20\t\r]*\n[\x20\t]*|[\x20\t]+)){{0,300}}(?:{_BASE64}{_BASE64[:-1]}\r\n]*\n)?"
+    rf"(?:{_RUN}|{_BASE64}+[\x20\t\r]*(?:\n|$))"
+)
+_PEM = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----{_BLANK}({_TO_END}|{_TO_LAST_LINE})(?: [A-Z ]*PRIVATE KEY-----)?"
+
 # The first three kinds are given, in this order; the others follow the
 # published formats of the tokens that they name.
 KINDS = (
@@ -53,7 +69,8 @@ KINDS = (
     Kind("github", r"gh[oprsu]_[A-Za-z0-9]{36,}", 0, 40, "gh"),
     Kind("google", r"AIza[A-Za-z0-9_-]{35}", 0, 39, "AIza"),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 35, "eyJ"),
-    Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27, "-----BEGIN"),
+    # The value is the key's body, which the word of the END line closes if there is one.
+    Kind("pem", _PEM, 1, 20, "-----BEGIN"),
     Kind("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, "xox"),
     Kind("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}", 0, 24, "k_live_"),
 )

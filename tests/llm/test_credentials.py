@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from helpers import ODD, docs_frame
@@ -81,3 +82,56 @@ def test_null_owner_and_empty_table(spark):
     assert credentials.report(df).first().n_live == 1
     assert credentials.report(df.limit(0)).count() == 0
     assert credentials.report(df, owner_col=None).first().n_assign == 1
+
+
+def pem(seed, end=True, indent="", kind="RSA "):
+    body = "".join(random.Random(seed).choices("ABCDEFghijkl0123456789+/", k=134)) + "ab=="
+    lines = [body[n : n + 64] for n in range(0, len(body), 64)]
+    close = [f"-----END {kind}PRIVATE KEY-----"] if end else []
+    return "\n".join(indent + line for line in [f"-----BEGIN {kind}PRIVATE KEY-----", *lines, *close])
+
+
+KEYS = [
+    *((n, f"copied {pem(0)} by all") for n in range(3)),
+    *((n, f"own {pem(n)} key") for n in range(3, 7)),
+    (7, f"cut\n{pem(7, end=False)}\nNothing after it is masked."),
+    (8, f"indented\n{pem(8, end=False, indent='    ')}\n  nor here"),
+    (9, pem(9).replace("\n", "\\n")),
+    (10, pem(10).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A\n\n", 1)),
+    (11, f"{pem(11, end=False)[:150]}\n\n{pem(12)}"),
+    (13, pem(13).replace("\n", "\r\n")),
+    (14, "the line -----BEGIN RSA PRIVATE KEY----- opens a key"),
+    (15, "-----BEGIN PRIVATE KEY-----\n" + "QUJD" * 200_000),
+    (16, "-----BEGIN PRIVATE KEY-----" + " " * 100_000 + "-a" * 100_000),
+    (17, "-----BEGIN PRIVATE KEY-----\n" + "QUJDabcd+/\n" * 50_000),
+    (18, "-----BEGIN PRIVATE KEY-----\n" + f"  {'QUJD' * 16}\n" * 20_000 + "-----END PRIVATE KEY-----"),
+]
+
+
+def test_private_keys_are_masked_whole(spark):
+    df = docs_frame(spark, KEYS)
+    got = {r.doc_id: r for r in credentials.report(df).collect()}
+    assert [got[n].n_example for n in range(3)] == [1, 1, 1]
+    assert [got[n].n_live for n in (*range(3, 11), 13, 15, 17, 18)] == [1] * 12 and got[11].n_live == 2
+    texts = {r.doc_id: r.text for r in credentials.redact(df).collect()}
+    assert [texts[n] for n in range(3)] == [KEYS[0][1]] * 3
+    assert [texts[n] for n in range(3, 7)] == ["own [REDACTED] key"] * 4
+    assert texts[7] == "cut\n[REDACTED]Nothing after it is masked."
+    assert texts[8] == "indented\n    [REDACTED]  nor here"
+    assert [texts[n] for n in (9, 10, 13, 15, 17, 18)] == ["[REDACTED]"] * 6
+    assert texts[11] == "[REDACTED]\n\n[REDACTED]" and texts[14] == KEYS[13][1]
+
+
+def test_private_keys_in_sql(spark, tmp_path):
+    import duckdb
+
+    from noticelens.llm import sql
+
+    df = docs_frame(spark, [row for row in KEYS if row[0] < 15] + SECRETS)
+    df.select("doc_id", "text", "source").write.parquet(str(tmp_path / "docs"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/docs/*.parquet'")
+    result = con.execute(sql.SECRETS)
+    names = [d[0] for d in result.description]
+    want = sorted(map(str, result.fetchall()))
+    assert sorted(map(str, map(tuple, credentials.report(df).select(*names).collect()))) == want
