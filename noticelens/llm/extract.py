@@ -3,8 +3,9 @@
 A block is the text between two block-level tags. The first pass decides what it can from
 the block and where it stands: inside a menu, footer, form, advert and the like it is
 bad, inside the article good; without an article, stop-word density, length and link
-density decide. What stays ambiguous, mostly short blocks, takes the label of its nearest
-decided neighbour in the second pass; a heading looks ahead only.
+density decide. A long run of ambiguous blocks is good beside a good block, or if the page
+has none. What stays ambiguous takes the label of its nearest decided neighbour in the second
+pass; a heading looks ahead only.
 
 Character references are decoded, white space inside a block becomes one space, blocks
 are trimmed and joined in page order by an empty line; nothing else is dropped or cut.
@@ -235,6 +236,30 @@ def first_pass(block: Block, region: int) -> bool | None:
     return None
 
 
+def settle_runs(blocks: list[Block], labels: list[bool | None]) -> list[bool | None]:
+    """Labels with long runs of undecided blocks made good.
+
+    Menus and links say nothing of the text beside them, and stop words only know some
+    languages. So a run that is long enough together is good where it borders on a good
+    block or the page has none; headings at its end stay with what follows them.
+    """
+    out, count, any_good = list(labels), len(blocks), True in labels
+    start = 0
+    while start < count:
+        end = start
+        while end < count and labels[end] is None:
+            end += 1
+        long_run = sum(len(b.text) for b in blocks[start:end]) >= SHORT
+        beside = (start > 0 and labels[start - 1]) or (end < count and labels[end])
+        if long_run and (beside or not any_good):
+            last = end
+            while end < count and not labels[end] and last > start and blocks[last - 1].heading:
+                last -= 1
+            out[start:last] = [True] * (last - start)
+        start = end + 1
+    return out
+
+
 def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
     """Undecided blocks take the label of the nearest decided one."""
     count = len(blocks)
@@ -271,7 +296,8 @@ def main_text(page: str) -> str:
     """The text of the good blocks, joined by empty lines."""
     blocks = blocks_of(page)
     region = max((b.region for b in blocks if not b.bad), default=0)
-    labels = second_pass(blocks, [first_pass(b, region) for b in blocks])
+    labels = settle_runs(blocks, [first_pass(b, region) for b in blocks])
+    labels = second_pass(blocks, labels)
     return "\n\n".join(b.text for b, good in zip(blocks, labels) if good)
 
 

@@ -77,3 +77,22 @@ def test_frame(spark):
     found = sorted((str((r.page_id, r.url, r.text)) for r in got.collect()))
     assert found == sorted(str((i, u, extract.main_text(p or ""))) for i, u, p, *_ in rows)
     assert extract.extract(df.limit(0)).count() == 0
+
+
+MENU = "<nav><a href=/>Home</a></nav><div><a href=/a>One</a> <a href=/b>two</a></div>"
+RUSSIAN = "Это рассказ о человеке, который долгое время жил в городе и которого давно не видел никто из друзей."
+VERSE = [f"Short line number {n}, said she," for n in range(12)]
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [["Заголовок", RUSSIAN, "Да.", RUSSIAN], ["这是一个故事。" * 12], VERSE, ["0x1f 17 42 " * 12] * 5, [STORY, *["17 42 99 " * 12] * 9]],
+)
+def test_text_beside_menus_only(lines):
+    page = MENU + "".join(f"<p>{x}</p>" for x in lines) + "<footer>foot</footer>"
+    assert extract.main_text(page) == "\n\n".join(x.strip() for x in lines)
+
+
+def test_heading_before_links_stays_with_them():
+    page = MENU + "".join(f"<p>{x}</p>" for x in VERSE) + "<h3>Related</h3><div><a>Else</a></div>"
+    assert extract.main_text(page) == "\n\n".join(VERSE)
