@@ -70,6 +70,8 @@ BAD_NAMES = frozenset(
     "sharing sidebar signup social sponsor sponsored subscribe teaser toolbar widget".split()
 )
 HEAD_NAMES = frozenset("header masthead".split())
+# With one of these, a class tells of a state or layout of what is around.
+MODIFIERS = frozenset("fixed has hide layout no not show sticky with without".split())
 GOOD_NAMES = frozenset("article content entry main post story".split())
 
 _TAG = re.compile(
@@ -90,15 +92,23 @@ class Block:
     region: int
     heading: bool
     listed: bool
+    wrapper: int = 0
+    inner: int = 0
 
 
 @dataclass
 class _Place:
-    """An open container: its tag, and what holds for all inside it."""
+    """An open container: its tag, and what holds for all inside it.
+
+    ``wrapper`` numbers the container whose name alone makes this bad, 0 if there is none
+    or something else does too; ``inner`` is the region gained inside that container.
+    """
 
     tag: str
     bad: bool = False
     region: int = 0
+    wrapper: int = 0
+    inner: int = 0
 
 
 @dataclass
@@ -111,6 +121,7 @@ class _Reader:
     linked: int = 0
     in_link: bool = False
     tag: str = ""
+    opened: int = 0
 
     def text(self, raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
@@ -132,6 +143,8 @@ class _Reader:
                         place.region,
                         self.tag in HEADINGS,
                         self.tag == "li",
+                        place.wrapper,
+                        place.inner,
                     )
                 )
         self.parts, self.linked = [], 0
@@ -161,24 +174,33 @@ class _Reader:
 
     def _place(self, tag: str, attributes: str) -> _Place:
         above = self.places[-1]
-        names, hidden = _names(attributes)
-        region = {"article": 3, "main": 2}.get(tag, 0)
-        if not region and names & GOOD_NAMES and not names & BAD_NAMES:
-            region = 2 if "main" in names or "article" in names else 1
-        region = max(region, above.region)
-        bad = above.bad or hidden or tag in BAD or (tag != "body" and bool(names & BAD_NAMES))
-        if region < 2 and (tag == "header" or (names & HEAD_NAMES and tag != "body")):
-            bad = True
-        return _Place(tag, bad, region)
-
-
-def _names(attributes: str) -> tuple[set[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
-    names, hidden = set(), False
+        tokens, hidden = _names(attributes)
+        names = set().union(*tokens)
+        said = set().union(*(words for words in tokens if not words & MODIFIERS))
+        named = tag != "body" and bool(said & BAD_NAMES)
+        own = {"article": 3, "main": 2}.get(tag, 0)
+        if not own and names & GOOD_NAMES and not said & BAD_NAMES:
+            own = 2 if "main" in names or "article" in names else 1
+        region = max(own, above.region)
+        head = region < 2 and (tag == "header" or (bool(names & HEAD_NAMES) and tag != "body"))
+        other = hidden or tag in BAD or head
+        self.opened += 1
+        wrapper, inner = above.wrapper, max(own, above.inner) if above.wrapper else 0
+        if other or (above.bad and not above.wrapper):
+            wrapper = inner = 0
+        elif named:
+            # A second bad name inside counts as a wrapper only if nothing good came between.
+            wrapper, inner = (self.opened, own if own >= 2 else 0) if not above.inner else (0, 0)
+        return _Place(tag, above.bad or other or named, region, wrapper, inner)
+
+
+def _names(attributes: str) -> tuple[list[set[str]], bool]:
+    """Words of each token of class, id and role; whether the element is hidden."""
+    names, hidden = [], False
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role"):
-            names.update(word.lower() for word in _NAME.findall(value))
+            names.extend({word.lower() for word in _NAME.findall(token)} for token in value.split())
         elif name == "style":
             hidden |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
         elif name == "hidden" or value.lower() == "true":
@@ -220,20 +242,51 @@ def stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
+def unwrap(blocks: list[Block]) -> None:
+    """Clears blocks whose container has a bad name but holds what the page is about.
+
+    An article, main or content container inside it tells so on a page that has none outside
+    of bad containers; else only more than half of the page's text outside of links.
+    """
+    size = [len(b.text) if b.links <= LINKS else 0 for b in blocks]
+    inside: dict[int, int] = {}
+    for b, n in zip(blocks, size):
+        if b.wrapper:
+            inside[b.wrapper] = inside.get(b.wrapper, 0) + n
+    if not inside:
+        return
+    elsewhere = max((b.region for b in blocks if not b.bad), default=0)
+    for b in blocks:
+        if b.wrapper and (b.inner > elsewhere or (elsewhere < 2 and 2 * inside[b.wrapper] > sum(size))):
+            b.bad = False
+
+
 def first_pass(block: Block, region: int) -> bool | None:
-    """Good, bad or undecided. ``region`` is the surest region that the page has."""
-    if block.bad or (region and block.region < region):
+    """Good, bad or undecided. ``region`` is the least one that the page's text stands in."""
+    if block.bad:
         return False
-    if region >= 2:
+    if block.region >= 2:
         return not (block.listed and block.links > 0.8)
     if block.links > LINKS:
         return False
-    if len(block.text) < SHORT:
-        return None
-    density = stop_density(block.text)
+    density = stop_density(block.text) if len(block.text) >= SHORT else 0.0
     if density >= STOP_HIGH or (density >= STOP_LOW and len(block.text) >= LONG):
         return True
-    return None
+    return False if block.region < region else None
+
+
+def home_region(blocks: list[Block]) -> int:
+    """The region from which on blocks hold at least half of the text, 0 if none does.
+
+    Outside of it only stop words make a block good; a teaser or a date decides nothing.
+    """
+    free = [b for b in blocks if not b.bad and (b.region >= 2 or b.links <= LINKS)]
+    whole = sum(len(b.text) for b in free)
+    for region in (2, 1):
+        held = sum(len(b.text) for b in free if b.region >= region)
+        if held and 2 * held >= whole:
+            return region
+    return 0
 
 
 def settle_runs(blocks: list[Block], labels: list[bool | None]) -> list[bool | None]:
@@ -295,7 +348,8 @@ def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
 def main_text(page: str) -> str:
     """The text of the good blocks, joined by empty lines."""
     blocks = blocks_of(page)
-    region = max((b.region for b in blocks if not b.bad), default=0)
+    unwrap(blocks)
+    region = home_region(blocks)
     labels = settle_runs(blocks, [first_pass(b, region) for b in blocks])
     labels = second_pass(blocks, labels)
     return "\n\n".join(b.text for b, good in zip(blocks, labels) if good)

@@ -96,3 +96,25 @@ def test_text_beside_menus_only(lines):
 def test_heading_before_links_stays_with_them():
     page = MENU + "".join(f"<p>{x}</p>" for x in VERSE) + "<h3>Related</h3><div><a>Else</a></div>"
     assert extract.main_text(page) == "\n\n".join(VERSE)
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "content-with-sidebar", "navbar-fixed", "no-ads", "sidebar", "page comments"])
+@pytest.mark.parametrize("body", ["<article>{}</article>", "<div>{}</div>", "<main>{}</main>", "<div id=content>{}</div>"])
+def test_page_wrappers_with_bad_words(name, body):
+    text = body.format(f"<h1>Title</h1><p>{STORY}</p><p>{RUSSIAN}</p>")
+    page = f"<body><div class='{name}'>{MENU}{text}<div class=widget><p>Side</p></div></div><footer>f</footer></body>"
+    assert extract.main_text(page) == f"Title\n\n{STORY}\n\n{RUSSIAN}"
+
+
+def test_small_regions_decide_nothing_outside():
+    card = "<article class='card'><p>Read this too</p></article>"
+    assert extract.main_text(f"<main><p>{STORY}</p>{card}<p>{RUSSIAN}</p></main>") == f"{STORY}\n\nRead this too\n\n{RUSSIAN}"
+    for text in (STORY, RUSSIAN):
+        page = f"{MENU}<div class='post-date'>May 1</div><div><p>{text}</p><p>{text}</p></div><footer>f</footer>"
+        assert f"{text}\n\n{text}" in extract.main_text(page)
+        assert f"{text}\n\n{text}" in extract.main_text(f"{MENU}{card}<div><p>{text}</p><p>{text}</p></div>")
+
+
+def test_bad_parts_stay_bad_beside_an_article():
+    page = f"<article><p>{STORY}</p></article><div class='related'><article>{RUSSIAN}</article></div>"
+    assert extract.main_text(page + f"<div class=comments><p>{STORY * 9}</p></div>") == STORY
