@@ -5,7 +5,8 @@ once: at each token it knows the longest run that ends there and occurs in a tem
 (the matching statistics). Runs of at least ``LEAST`` tokens that cannot be prolonged
 become matches; for each template the matches are chained in the order of both texts,
 with at most ``GAP`` tokens between them, and the chain that covers most of the template
-wins. A template covered to at least ``COVERED`` gives its label.
+wins. A template covered to at least ``COVERED`` gives its label. Then what lies beside that
+chain is chained again, so that every copy of a template in a text has its own span.
 
 Apart from that, places where the words of a phrase stand consecutively are counted.
 A-Z are lower-cased; words are runs of digits, a-z and characters beyond ASCII.
@@ -17,6 +18,7 @@ chains that cover equally much the first one is taken.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -197,13 +199,12 @@ class Automaton:
             yield at - length, length, state
 
 
-def chain(matches: list[tuple[int, int, int]], gap: int) -> tuple[int, int, int]:
-    """(tokens, first, last) of the chain of (start, place, length) that covers most.
+def chains_to(matches: list[tuple[int, int, int]], gap: int) -> Iterator[tuple[int, int, int]]:
+    """(tokens, first, last) of the best chain up to each (start, place, length), in their order.
 
     Matches follow each other in the text and the template, ``gap`` tokens apart at most;
     one that overlaps the one before counts with what lies beyond it.
     """
-    best = (0, 0, 0)
     done: list[tuple[int, int, int, int, int]] = []
     first = 0
     for start, place, length in sorted(matches):
@@ -220,9 +221,54 @@ def chain(matches: list[tuple[int, int, int]], gap: int) -> tuple[int, int, int]
                 covered, begin = score + length - over, origin
         reach = max(end, done[-1][4]) if done else end
         done.append((covered, begin, end, stop, reach))
-        if covered > best[0]:
-            best = (covered, begin, end)
-    return best
+        yield covered, begin, end
+
+
+def chain(matches: list[tuple[int, int, int]], gap: int) -> tuple[int, int, int]:
+    """(tokens, first, last) of the chain that covers most, the first of equals."""
+    return max(chains_to(matches, gap), key=lambda c: c[0], default=(0, 0, 0))
+
+
+def chains(matches: list[tuple[int, int, int]], gap: int, least: int, enough: int) -> list[tuple[int, int, int]]:
+    """Chains of at least ``enough`` tokens that do not overlap in the text, by their place.
+
+    The best one is taken first; what it leaves of the matches, on either side, is chained
+    anew. Chains that the ones taken do not touch stay the best of what is left, so they
+    are taken in the same round, and many copies need few rounds.
+    """
+    taken, parts = [], [sorted(matches)]
+    while parts:
+        part = parts.pop()
+        found = list(chains_to(part, gap))
+        begins: list[int] = []
+        ends: list[int] = []
+        for n in sorted(range(len(found)), key=lambda n: -found[n][0]):
+            tokens, begin, end = found[n]
+            if tokens < enough:
+                break
+            at = bisect_left(begins, end)
+            if not at or ends[at - 1] <= begin:
+                begins.insert(at, begin)
+                ends.insert(at, end)
+                taken.append(found[n])
+            else:
+                start, _, length = part[n]
+                around = bisect_right(begins, start) - 1
+                if around < 0 or ends[around] < start + length:
+                    break
+        if begins:
+            # Free places lie before, between and behind the chains.
+            lows, highs = [0, *ends], [*begins, max(s + k for s, _, k in part)]
+            free: list[list[tuple[int, int, int]]] = [[] for _ in lows]
+            for start, place, length in part:
+                at = bisect_right(highs, start)
+                while at < len(lows) and lows[at] < start + length:
+                    low, high = max(start, lows[at]), min(start + length, highs[at])
+                    if high - low >= least:
+                        free[at].append((low, place + low - start, high - low))
+                    at += 1
+            parts.extend(sorted(left) for left in free if left)
+    return sorted(taken, key=lambda c: c[1])
 
 
 class Scanner:
@@ -235,6 +281,7 @@ class Scanner:
         self.tokens = Tokens()
         sequences = [self._numbers(text) for _, text in templates]
         self.sizes = [len(s) for s in sequences]
+        self.enough = [next((n for n in range(1, s + 1) if n / s >= covered), s + 1) for s in self.sizes]
         self.phrases = [(self._numbers(p), label) for p, label in phrases.items()]
         self.automaton = Automaton(sequences)
 
@@ -269,7 +316,8 @@ class Scanner:
         )
 
     def _spans(self, tokens: np.ndarray) -> list[tuple[str, int, int, float]]:
-        """(label, start, end, covered share) of the best chain of each template that has one."""
+        """(label, start, end, covered share) of the best chain of each template that has one, and
+        of all others that cover enough of it beside the better ones."""
         inside = np.concatenate([[False], tokens >= 0, [False]])
         edges = np.nonzero(inside[1:] != inside[:-1])[0].reshape(-1, 2)
         by_template: dict[int, list[tuple[int, int, int]]] = {}
@@ -280,8 +328,10 @@ class Scanner:
                     by_template.setdefault(which, []).append((start, end - length + 1, length))
         spans = []
         for which in sorted(by_template):
-            size, start, end = chain(by_template[which], self.gap)
-            spans.append((self.labels[which], start, end, min(1.0, size / self.sizes[which])))
+            found, total = [chain(by_template[which], self.gap)], self.sizes[which]
+            if found[0][0] >= self.enough[which]:
+                found = chains(by_template[which], self.gap, self.least, self.enough[which])
+            spans += [(self.labels[which], start, end, min(1.0, size / total)) for size, start, end in found]
         return spans
 
 

@@ -104,3 +104,32 @@ def test_frame(spark):
     assert found == sorted(((i, *places(t)) for i, t in rows), key=str)
     assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in got.collect())
     assert licences.scan(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("between", ["", "and then quite other words " * 9])
+@pytest.mark.parametrize("label,text", [t for t in licences.TEMPLATES if len(t[1].split()) > 30])
+def test_every_copy_has_its_span(label, text, between):
+    scanner = licences.Scanner()
+    words = text.split()
+    worn = " ".join([*words[: len(words) // 2], "changed", *words[len(words) // 2 + 1 :]])
+    one = f"{text} {between} "
+    found = [s.split(":") for s in scanner.scan(f"start {one}{worn} {between} {text} end")[7].split(",")]
+    mine = [(int(a), int(b)) for name, a, b in found if name == label]
+    size, gap = len(licences.words_of(text, scanner.table)), len(between.split())
+    for copy in range(3):
+        begin = 1 + copy * (size + gap)
+        assert any(abs(a - begin) <= 2 and abs(b - begin - size) <= 2 for a, b in mine), (copy, mine)
+    assert scanner.scan(one)[4:7] == scanner.scan(one * 3)[4:7]
+
+
+def test_copies_do_not_overlap_and_end_soon():
+    rng = random.Random(3)
+    for _ in range(300):
+        matches = [(rng.randrange(60), rng.randrange(12), rng.randrange(2, 9)) for _ in range(15)]
+        got = licences.chains(matches, 3, 2, 5)
+        assert all(a[2] <= b[1] for a, b in zip(got, got[1:]))
+        best = licences.chain(matches, 3)
+        assert not got and best[0] < 5 or max(got, key=lambda c: c[0])[0] == best[0]
+    label, text = licences.TEMPLATES[0]
+    spans = licences.Scanner().scan(f"{text} " * 3000)[7].split(",")
+    assert sum(s.startswith(f"{label}:") for s in spans) >= 3000
