@@ -116,32 +116,6 @@ def report_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.join(detail, "cluster_id")
 
 
-@query(
-    "density_cluster",
-    """WITH RECURSIVE p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
-    near AS (
-      SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.id <> b.id
-        AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.02::DOUBLE * 0.02::DOUBLE),
-    core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
-    link AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
-    walk(id, root) AS (
-      SELECT id, id FROM core
-      UNION SELECT link.b, walk.root FROM walk JOIN link ON link.a = walk.id WHERE walk.root < link.b),
-    roots AS (SELECT id, min(root) AS root FROM walk GROUP BY id),
-    kept AS (SELECT root, CAST(row_number() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster_id
-             FROM (SELECT root FROM roots GROUP BY root HAVING count(*) >= 8))
-    SELECT p.id, coalesce(cluster_id, -1) AS cluster_id
-    FROM p LEFT JOIN roots ON roots.id = p.id LEFT JOIN kept ON kept.root = roots.root""",
-)
-def density_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = i.table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"),
-        F.get("embedding", F.lit(0)).alias("x"),
-        F.get("embedding", F.lit(1)).alias("y"),
-    )
-    return density.density_cluster(points, eps=0.02, min_samples=5, min_cluster_size=8)
-
-
 @query(
     "knn_l2",
     f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS},
@@ -243,6 +217,40 @@ def project_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "density_cluster",
+    f"""WITH RECURSIVE p AS MATERIALIZED ({SQL_PROJECTED}),
+    sample AS (SELECT * FROM p ORDER BY md5('42:' || id), id LIMIT 1000),
+    kth AS (
+      SELECT s.id, (s.x - p.x) * (s.x - p.x) + (s.y - p.y) * (s.y - p.y) AS d FROM sample s CROSS JOIN p
+      QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY d, p.id) = 6),
+    ranked AS (SELECT d, row_number() OVER (ORDER BY d) AS r, count(*) OVER () AS n FROM kth),
+    radius AS MATERIALIZED (SELECT greatest(round(sqrt(d), 6), 1e-6::DOUBLE) AS eps FROM ranked WHERE r = ceil(0.9::DOUBLE * n)),
+    near AS (
+      SELECT a.id AS a, b.id AS b FROM p a CROSS JOIN radius JOIN p b ON a.id <> b.id
+        AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= eps * eps),
+    core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
+    link AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+    walk(id, root) AS (
+      SELECT id, id FROM core
+      UNION SELECT link.b, walk.root FROM walk JOIN link ON link.a = walk.id WHERE walk.root < link.b),
+    roots AS (SELECT id, min(root) AS root FROM walk GROUP BY id),
+    kept AS (SELECT root, CAST(row_number() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster_id
+             FROM (SELECT root FROM roots GROUP BY root HAVING count(*) >= 8))
+    SELECT p.id, coalesce(cluster_id, -1) AS cluster_id
+    FROM p LEFT JOIN roots ON roots.id = p.id LEFT JOIN kept ON kept.root = roots.root""",
+)
+def density_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the projection of whole vectors, at a radius that the table suggests."""
+    path = shared_path(spark, "projected")
+    project_2d(spark, sf_dir).write.parquet(path)
+    points = spark.read.parquet(path)
+    eps = density.suggest_eps(points.filter("x is not null"), min_samples=5)
+    # Without six points there is no neighbour to measure, and no cluster at any radius.
+    eps = 1.0 if eps is None else max(round(eps, 6), 1e-6)
+    return density.density_cluster(points, eps=eps, min_samples=5, min_cluster_size=8)
+
+
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), F.regexp_extract("html", i.PAGE_TITLE, 1).alias("title")

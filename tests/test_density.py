@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +127,22 @@ def test_row_order_does_not_matter(spark):
     a = density.density_cluster(df, 0.1, 4, 8).collect()
     b = density.density_cluster(df.orderBy(F.desc("id")).coalesce(1), 0.1, 4, 8).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_query_reads_whole_vectors(spark, tmp_path):
+    """Three groups that differ in the last two cells only."""
+    from noticelens.plans.clusters import density_cluster as query
+
+    rng = random.Random(5)
+    centres = ((0.0, 0.0), (9.0, 0.0), (0.0, 5.0))
+    rows = [
+        (n, [rng.random() * 1e-3 for _ in range(62)] + [c + rng.random() for c in centres[n % 3]], n % 3)
+        for n in range(150)
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = {}
+    for r in query(spark, str(tmp_path)).collect():
+        if r.cluster_id >= 0:
+            found.setdefault(r.id % 3, set()).add(r.cluster_id)
+    assert len(found) == 3 and not found[0] & found[1] and not found[0] & found[2] and not found[1] & found[2]
