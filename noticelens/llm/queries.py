@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticelens.llm import credentials, decontaminate, extract, hmm, idfiles, licences, minhash, mtree, pieces, quality, sql
+from noticelens.llm import (
+    credentials,
+    decontaminate,
+    extract,
+    hmm,
+    idfiles,
+    licences,
+    minhash,
+    mtree,
+    pieces,
+    prefix_trie,
+    quality,
+    sql,
+)
 from noticelens.llm.common import id_remainder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op5_top_k": sql.TOP_K,
     "op8_secrets": sql.SECRETS,
     "op9_decontamination": sql.DECONTAMINATION,
+    "op12_prefix_trie": sql.PREFIX_TRIE,
 }
 
 
@@ -96,3 +110,8 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id") == 1
     return hmm.score(read(spark, sf_dir, "documents"), held_out=held_out)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.branched(read(spark, sf_dir, "conversations")))

@@ -111,3 +111,50 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text of ASCII characters or a list of bytes, bit by bit."""
+    bits = "[-1, -1, -1, -1, -1, -1, -1, -1]"
+    steps = f"flatten(list_transform({text}, lambda b: list_concat([b], {bits})))"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, x: {step}), 4294967295)"
+
+
+def _ascii(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+
+
+PREFIX_TRIE = f"""
+WITH turn_of AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+  SELECT c, turn, substr(sha256(length(role) || ':' || role || text), 1, 32) AS g, strlen(text) AS b FROM turn_of
+), own AS (
+  SELECT c, CAST({_crc32(_ascii("CAST(c AS VARCHAR)"))} % 9 AS INTEGER) AS h,
+         list({{'g': g, 'b': b}} ORDER BY turn NULLS FIRST, g) AS s
+  FROM t GROUP BY c
+), rebuilt AS (
+  SELECT own.c, list_concat(coalesce(base.s[1:own.h], []), own.s[own.h + 1:]) AS s
+  FROM own LEFT JOIN own AS base ON base.c = own.c - own.c % 5
+), flat AS (
+  SELECT c, s, array_to_string(list_transform(s, lambda x: x.g), '') AS path, unnest(range(0, len(s) + 1)) AS d
+  FROM rebuilt
+), node AS (
+  SELECT left(path, 32 * d) AS p, d, min(c) AS conv_id, count(*) AS n,
+         CASE WHEN d = 0 THEN 0 ELSE any_value(s[d].b) END AS b,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends
+  FROM flat GROUP BY 1, 2
+), child AS (
+  SELECT left(p, 32 * (d - 1)) AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+), whole AS (
+  SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child USING (p)
+), subtree AS (
+  SELECT left(p, 32 * e) AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n - 1) * b) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM whole) GROUP BY 1
+)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children,
+       n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
+FROM whole AS v JOIN subtree USING (p) LEFT JOIN node AS up ON v.d > 0 AND up.p = left(v.p, 32 * (v.d - 1))
+"""
