@@ -19,6 +19,8 @@ from noticelens.llm import (
     pieces,
     prefix_trie,
     quality,
+    spelling,
+    spotsigs,
     sql,
 )
 from noticelens.llm.common import id_remainder, read
@@ -28,7 +30,9 @@ ORACLES: dict[str, str] = {
     "op5_top_k": sql.TOP_K,
     "op8_secrets": sql.SECRETS,
     "op9_decontamination": sql.DECONTAMINATION,
+    "op11_spelling": sql.SPELLING,
     "op12_prefix_trie": sql.PREFIX_TRIE,
+    "op13_spotsigs": sql.FINGERPRINTS,
 }
 
 
@@ -112,6 +116,16 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(read(spark, sf_dir, "documents"), held_out=held_out)
 
 
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read(spark, sf_dir, "documents")))
+
+
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.branched(read(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.report(read(spark, sf_dir, "documents"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from noticelens.llm.credentials import BASE, COPIED_BY, KINDS, PLACEHOLDER
+from noticelens.llm.spelling import LEAST_COUNT, LEAST_LENGTH, MISSPELT, RATIO
+from noticelens.llm.spotsigs import ANCHORS, CHAIN, LEAST
 
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -158,3 +160,90 @@ SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, v.
        n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
 FROM whole AS v JOIN subtree USING (p) LEFT JOIN node AS up ON v.d > 0 AND up.p = left(v.p, 32 * (v.d - 1))
 """
+
+_ANCHORS = "[" + ", ".join(_quoted(w) for w in ANCHORS) + "]"
+
+
+def _signatures(text: str) -> str:
+    """Sorted distinct signatures of a text, word by word."""
+    words = rf"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    content = f"list_filter(range(1, len(w) + 1), lambda i: NOT list_contains({_ANCHORS}, w[i]))"
+    ends = f"range(1, len(c) - {CHAIN - 2})"
+    spots = f"list_filter({ends}, lambda k: c[k] > 1 AND list_contains({_ANCHORS}, w[c[k] - 1]))"
+    chain = f"array_to_string(list_transform(c[k:k + {CHAIN - 1}], lambda i: w[i]), ' ')"
+    return f"""(
+    SELECT coalesce(list_sort(list_distinct(list_transform(chains, lambda x: substr(md5(x), 1, 8)))), [])
+    FROM (SELECT CASE WHEN len(k) > 0 THEN list_transform(k, lambda k: {chain})
+                      WHEN {text} <> '' THEN [{text}] ELSE [] END AS chains
+          FROM (SELECT w, c, CASE WHEN len({spots}) > 0 THEN {spots} ELSE {ends} END AS k
+                FROM (SELECT w, {content} AS c FROM (SELECT {words} AS w)))))"""
+
+
+def _likeness(a: str, b: str) -> str:
+    common = f"len(list_intersect({a}, {b}))"
+    return f"""CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE
+       WHEN least(len({a}), len({b})) * {LEAST} < greatest(len({a}), len({b})) THEN 0.0::DOUBLE
+       ELSE CAST({common} AS DOUBLE) / (len({a}) + len({b}) - {common}) END"""
+
+
+FINGERPRINTS = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), pair AS (
+  SELECT doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next
+  FROM doc WINDOW w AS (ORDER BY doc_id NULLS FIRST)
+), edit AS (
+  SELECT *, left(text, length(text) - length(text) // 4) || left(next, length(text) // 4) AS edited FROM pair
+), sets AS (
+  SELECT *, {_signatures("text")} AS a, {_signatures("edited")} AS e, {_signatures("next")} AS b FROM edit
+)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(e, '') AS edited_fingerprint, {_likeness("a", "e")} AS near_edited,
+       {_likeness("a", "b")} AS near_next
+FROM sets
+"""
+
+# UTF-8 bytes of texts up to U+00FF.
+_LATIN = (
+    "flatten(list_transform(string_split(id || ':' || run, ''), "
+    "lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT] ELSE [195, unicode(s) - 64] END))"
+)
+
+SPELLING = rf"""
+WITH RECURSIVE found AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents
+), hashed AS (
+  SELECT run, n, {_crc32(_LATIN)} AS h FROM (SELECT id, run, count(*) AS n FROM found GROUP BY ALL)
+), spelt AS (
+  SELECT CASE WHEN h % {MISSPELT} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, n
+  FROM hashed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= {LEAST_LENGTH}
+  GROUP BY word HAVING sum(n) >= {LEAST_COUNT}
+), less AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS d
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM v)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less AS a JOIN less AS b USING (i, d) WHERE a.word <> b.word
+  UNION SELECT less.word, v.word, v.n FROM less JOIN v ON v.word = d
+  UNION SELECT v.word, less.word, less.n FROM less JOIN v ON v.word = d
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, {{'n': -near_n, 'w': near}}) AS near, max(near_n) AS near_n
+  FROM near GROUP BY word
+), judged AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= {RATIO} * v.n THEN near END AS form,
+         CASE WHEN near_n >= {RATIO} * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS root FROM judged
+  UNION ALL SELECT way.word, judged.form FROM way JOIN judged ON judged.word = way.root WHERE judged.form IS NOT NULL
+)
+SELECT judged.word, judged.form, way.root, judged.n, judged.n_near, judged.form_n
+FROM judged JOIN way ON way.word = judged.word JOIN judged AS last ON last.word = way.root AND last.form IS NULL
+"""

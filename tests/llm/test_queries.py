@@ -9,7 +9,7 @@ sys.path.insert(0, str(REPO))
 
 import __spark_entry__ as entry  # noqa: E402
 
-NUMBERS = {f"op{n}" for n in range(1, 11)}
+NUMBERS = {f"op{n}" for n in range(1, 14)}
 
 
 def test_every_operator_is_registered():
@@ -18,7 +18,7 @@ def test_every_operator_is_registered():
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op5_top_k", "op8_secrets", "op9_decontamination"])
+@pytest.mark.parametrize("name", ["op5_top_k", "op8_secrets", "op9_decontamination", "op11_spelling", "op12_prefix_trie", "op13_spotsigs"])
 def test_equals_its_sql(spark, name):
     from tools.compare import compare, connect
 
