@@ -35,9 +35,11 @@ def id_remainder(id_col: str, modulus: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def strings(column: pa.Array) -> Iterator[str]:
-    """The texts of an Arrow column; null is empty."""
-    return (value or "" for value in column.to_pylist())
+def strings(column: pa.Array, some: int = 256) -> Iterator[str]:
+    """The texts of an Arrow column, a few of them at a time; null is empty."""
+    for n in range(0, len(column), some):
+        for value in column.slice(n, some).to_pylist():
+            yield value or ""
 
 
 def utf8(text: str) -> bytes:

@@ -8,7 +8,9 @@ are relaxed from left to right: an edge becomes the last piece of the text up to
 if the pair of it and the last piece up to its start is its own encoding. That holds for
 exactly one edge at each position, and the pieces found are those of the library, for
 any order of scores: merges inside a segment never depend on what lies beyond a border
-that no merge crosses.
+that no merge crosses. All edges that end as far into their segments are relaxed together;
+a pair is judged by the merges that made its two pieces, step by step, and by what could
+have been merged across their border meanwhile.
 
 Characters without a piece become byte pieces. The ids of a segment are remembered by
 the worker up to a bound. Tokenizers are read, never trained.
@@ -35,8 +37,9 @@ from pyspark.sql import functions as F
 from noticelens.llm.common import Recent, kept, strings
 
 SPACE = "▁"
-# Bounds of a worker: remembered segments, characters indexed at once, remembered pairs.
-SEGMENTS, INDEXED, PAIRS = 200_000, 400_000, 1_000_000
+# Bounds of a worker: remembered segments, characters indexed at once, segments of texts that
+# wait for their ids, and slots for remembered pairs.
+SEGMENTS, INDEXED, WAITING, SLOTS = 200_000, 400_000, 300_000, 1 << 20
 # More than any piece id or code point offset; makes one key of two of them.
 _CODES = 1 << 24
 
@@ -75,9 +78,10 @@ class Vocabulary:
             return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         return re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
-    def merged(self, text: str) -> list[str]:
-        """Plain byte-pair merging of a short text: best score first, then leftmost."""
-        parts = list(text)
+    def merges(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """Plain byte-pair merging of a short text, best score first, then leftmost: its parts,
+        and after each merge the score of it, the first and the last part."""
+        parts, steps = list(text), []
         while len(parts) > 1:
             best, at = None, -1
             for n in range(len(parts) - 1):
@@ -87,15 +91,85 @@ class Vocabulary:
             if best is None:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            steps.append((best, parts[0], parts[-1]))
+        return parts, steps
+
+    def code(self, part: str) -> int:
+        """The id of a piece; a character without one has a code beyond all ids."""
+        return self.ids[part] if part in self.ids else len(self.pieces) + ord(part)
 
     @cached_property
     def reachable(self) -> tuple[list[str], np.ndarray]:
         """Pieces that are their own encoding, and their ids."""
-        found = [p for p in self.ids if len(p) == 1 or self.merged(p) == [p]]
+        found = [p for p in self.ids if len(p) == 1 or self.merges(p)[0] == [p]]
         return found, np.array([self.ids[p] for p in found], dtype=np.int64)
 
 
+class Pairs:
+    """Judges whether two neighbouring pieces are the encoding of their text."""
+
+    def __init__(self, words: Vocabulary):
+        found, ids = words.reachable
+        deep = max(map(len, found))
+        self.size = len(words.pieces)
+        # Of each piece before its n-th merge: that merge's score, its first and last part.
+        self.score = np.full((self.size, deep), -np.inf)
+        self.first = np.zeros((self.size, deep), dtype=np.int64)
+        self.last = np.zeros((self.size, deep), dtype=np.int64)
+        for piece, n in zip(found, ids.tolist()):
+            self.first[n], self.last[n] = words.code(piece[0]), words.code(piece[-1])
+            for step, (score, first, last) in enumerate(words.merges(piece)[1]):
+                self.score[n, step] = score
+                self.first[n, step + 1 :], self.last[n, step + 1 :] = words.code(first), words.code(last)
+        ways = {-1: -np.inf}
+        for piece, score in words.scores.items():
+            for cut in range(1, len(piece)):
+                left, right = piece[:cut], piece[cut:]
+                if all(len(part) == 1 or part in words.ids for part in (left, right)):
+                    ways[words.code(left) * _CODES + words.code(right)] = score
+        self.key = np.array(sorted(ways), dtype=np.int64)
+        self.merged = np.array([ways[k] for k in self.key.tolist()])
+        self.slots = np.full(SLOTS, -1, dtype=np.int64)
+        self.known = np.zeros(SLOTS, dtype=bool)
+
+    def stand(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * _CODES + right
+        slot = ((key * 0x9E3779B97F4A7C1 >> 20) ^ key) % SLOTS
+        good = self.known[slot]
+        new = np.flatnonzero(self.slots[slot] != key)
+        if len(new):
+            _, at, back = np.unique(key[new], return_index=True, return_inverse=True)
+            fresh = new[at]
+            judged = self._judged(left[fresh], right[fresh])
+            good[new] = judged[back]
+            # Pairs may take the slot of another one; both arrays are set by the same one.
+            self.slots[slot[fresh]] = key[fresh]
+            mine = self.slots[slot[fresh]] == key[fresh]
+            self.known[slot[fresh][mine]] = judged[mine]
+        return good
+
+    def _judged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Plays the merges of both pieces, best score first, then leftmost; the pair does not
+        stand if a merge across the border comes first at any time."""
+        good = np.ones(len(left), dtype=bool)
+        # No piece has a character that has no piece itself.
+        rest = np.flatnonzero((left < self.size) & (right < self.size))
+        left, right = left[rest], right[rest]
+        i, j = np.zeros(len(rest), dtype=np.int64), np.zeros(len(rest), dtype=np.int64)
+        while len(rest):
+            key = self.last[left, i] * _CODES + self.first[right, j]
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            across = np.where(self.key[at] == key, self.merged[at], -np.inf)
+            here, there = self.score[left, i], self.score[right, j]
+            bad = (across > here) & (across >= there) & (across > -np.inf)
+            good[rest[bad]] = False
+            on = ~bad & ((here > -np.inf) | (there > -np.inf))
+            rest, left, right, i, j, here, there = (x[on] for x in (rest, left, right, i, j, here, there))
+            first = here >= there
+            i, j = i + first, j + ~first
+        return good
+
+
 class PieceIndex:
     """Code points of all reachable pieces, ready to be searched in an index."""
 
@@ -170,20 +244,7 @@ class Encoder:
         self.words = Vocabulary(model)
         self.index = PieceIndex(self.words)
         self.known = Recent()
-        self.pairs: dict[int, bool] = {}
-
-    def _stands(self, left: int, right: int) -> bool:
-        """Whether two neighbouring pieces are the encoding of their text."""
-        if len(self.pairs) >= PAIRS:
-            self.pairs.clear()
-        pair = [self._text(left), self._text(right)]
-        good = self.words.merged(pair[0] + pair[1]) == pair
-        self.pairs[left * _CODES + right] = good
-        return good
-
-    def _text(self, code: int) -> str:
-        size = len(self.words.pieces)
-        return self.words.pieces[code] if code < size else chr(code - size)
+        self.pairs = Pairs(self.words)
 
     def _relax(self, segments: list[str]) -> None:
         """Encode new segments and remember them."""
@@ -198,36 +259,45 @@ class Encoder:
         start = np.concatenate([start, bare])
         code = np.concatenate([code, size + points[bare]])
         end = start + np.concatenate([length, np.ones(len(bare), dtype=np.int64)])
-        # By end, the longest edge first: it is the right one most often.
-        order = np.lexsort((start, end))
-        pairs, settled = self.pairs, -1
-        last = [-1] * (len(points) + 1)
-        back = [0] * (len(points) + 1)
-        for origin, position, right in zip(
-            start[order].tolist(), end[order].tolist(), code[order].tolist()
-        ):
-            if position == settled:
-                continue
+        sizes = np.array([len(segment) for segment in segments])
+        begin = np.cumsum(sizes + 1) - (sizes + 1)
+        into = end - np.repeat(begin, sizes + 1)[start]
+        order = np.argsort(into, kind="stable")
+        start, end, code = start[order], end[order], code[order]
+        cuts = np.searchsorted(into[order], np.arange(1, int(sizes.max(initial=0)) + 2))
+        last = np.full(len(points) + 1, -1, dtype=np.int64)
+        back = np.zeros(len(points) + 1, dtype=np.int64)
+        first = np.zeros(len(points) + 1, dtype=bool)
+        first[begin] = True
+        for low, high in zip(cuts, cuts[1:]):
+            origin, position, right = start[low:high], end[low:high], code[low:high]
             left = last[origin]
-            if left >= 0:
-                good = pairs.get(left * _CODES + right)
-                if not (self._stands(left, right) if good is None else good):
-                    continue
-            last[position], back[position], settled = right, origin, position
-        at = 0
-        for segment in segments:
-            position, found = at + len(segment), []
-            while position > at:
-                number = last[position]
-                if number < size:
-                    found.append(number)
-                else:
-                    data = chr(number - size).encode()
-                    found.extend(self.words.byte_ids[b] for b in reversed(data))
-                position = back[position]
-            found.reverse()
-            self.known[segment] = array("i", found).tobytes()
-            at += len(segment) + 1
+            good = first[origin]
+            inner = np.flatnonzero(~good & (left >= 0))
+            good[inner] = self.pairs.stand(left[inner], right[inner])
+            last[position[good]], back[position[good]] = right[good], origin[good]
+        # From the ends of all segments back to their beginnings, a piece of each at a time.
+        at, active, steps = begin + sizes, np.flatnonzero(sizes), []
+        while len(active):
+            steps.append((active, last[at[active]]))
+            at[active] = back[at[active]]
+            active = active[at[active] > begin[active]]
+        counts = np.zeros(len(segments), dtype=np.int64)
+        for owners, _ in steps:
+            counts[owners] += 1
+        ends = np.cumsum(counts)
+        ids = np.zeros(int(counts.sum()), dtype=np.int32)
+        for n, (owners, codes) in enumerate(steps):
+            ids[ends[owners] - 1 - n] = codes
+        data, offsets = ids.tobytes(), (4 * ends).tolist()
+        for segment, low, high in zip(segments, [0, *offsets], offsets):
+            self.known[segment] = data[low:high]
+        # Characters without a piece become bytes.
+        for n in np.unique(np.searchsorted(ends, np.flatnonzero(ids >= size), side="right")).tolist():
+            found = []
+            for number in np.frombuffer(self.known[segments[n]], dtype=np.int32).tolist():
+                found += [number] if number < size else [self.words.byte_ids[b] for b in chr(number - size).encode()]
+            self.known[segments[n]] = array("i", found).tobytes()
 
     def _learn(self, segments: Iterable[str]) -> None:
         batch, size = [], 0
@@ -242,17 +312,18 @@ class Encoder:
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text. New segments are gathered over many texts before indexing."""
-        waiting, new, size = [], set(), 0
+        waiting, new, size, held = [], set(), 0, 0
         for text in texts:
             # The separator cannot be indexed, so a NUL is a segment of its own.
             parts = self._segments(text)
             waiting.append(parts)
+            held += len(parts) + 1
             for part in self.known.unknown(parts).difference(new):
                 new.add(part)
                 size += len(part)
-            if size >= INDEXED or len(waiting) >= 2_000:
+            if size >= INDEXED or held >= WAITING:
                 yield from self._answers(waiting, new)
-                waiting, new, size = [], set(), 0
+                waiting, new, size, held = [], set(), 0, 0
         yield from self._answers(waiting, new)
 
     def _segments(self, text: str) -> list[str]:

@@ -42,7 +42,8 @@ def test_ids_equal_the_library(model, library):
 def test_bounded_memory_gives_the_same(model, library, monkeypatch):
     monkeypatch.setattr(pieces, "SEGMENTS", 20)
     monkeypatch.setattr(pieces, "INDEXED", 50)
-    monkeypatch.setattr(pieces, "PAIRS", 100)
+    monkeypatch.setattr(pieces, "WAITING", 100)
+    monkeypatch.setattr(pieces, "SLOTS", 64)
     texts = random_texts(200)
     assert [i.tolist() for i in pieces.Encoder(model).encode(texts)] == library.encode(texts)
 
@@ -72,7 +73,7 @@ def test_pair_rule_with_scores_out_of_order():
                 for start in range(end):
                     piece = text[start:end]
                     left = last[start]
-                    if words.merged(piece) == [piece] and (not left or words.merged(left + piece) == [left, piece]):
+                    if words.merges(piece)[0] == [piece] and (not left or words.merges(left + piece)[0] == [left, piece]):
                         fits.append(piece)
                 assert len(fits) == 1
                 last.append(fits[0])
@@ -80,7 +81,26 @@ def test_pair_rule_with_scores_out_of_order():
             while end:
                 out.append(last[end])
                 end -= len(last[end])
-            assert out[::-1] == words.merged(text)
+            assert out[::-1] == words.merges(text)[0]
+
+
+def test_pairs_equal_merging_their_text():
+    """The merges of both pieces, played together, tell what merging the whole text gives."""
+    rng = random.Random(4)
+    for _ in range(60):
+        words = pieces.Vocabulary.__new__(pieces.Vocabulary)
+        made = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))) for _ in range(14)} | {"a", "b"}
+        words.pieces = sorted(made)
+        words.ids = {p: n for n, p in enumerate(words.pieces)}
+        words.scores = {p: rng.choice([rng.random(), 0.5]) for p in words.pieces}
+        found, ids = words.reachable
+        left, right = (x.ravel() for x in np.meshgrid(ids, ids, indexing="ij"))
+        want = [words.merges(words.pieces[x] + words.pieces[y])[0] == [words.pieces[x], words.pieces[y]] for x, y in zip(left, right)]
+        pairs = pieces.Pairs(words)
+        for _ in range(2):
+            assert pairs.stand(left, right).tolist() == want
+        outside = np.full(1, len(words.pieces) + ord("c"))
+        assert pairs.stand(outside, ids[:1]).all()
 
 
 def test_frames(spark, model, library):
