@@ -37,7 +37,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticelens.operators.ranking import dense_index
 from noticelens.session import lookup, small_side, written
 
 TILE = 4_096
@@ -636,9 +635,6 @@ class Tree:
         return label
 
 
-_AT = "spot long, cluster long, w double"
-
-
 def hierarchical_cluster(
     df: DataFrame,
     min_samples: int = 15,
@@ -692,9 +688,10 @@ def hierarchical_cluster(
     label = tree.chosen(own, allow_single)
     table = spark.createDataFrame([(n, c) for n, c in enumerate(label) if c >= 0], "node long, label long")
     labelled = written(settled.join(small_side(table), "node").select("spot", "label"), "labelled")
-    firsts = labelled.groupBy("label").agg(F.min("spot").alias("first"))
-    numbers = firsts.join(small_side(dense_index(firsts, "first", "cluster_id")), "first").select("label", "cluster_id")
-    by_spot = lookup(labelled, numbers, ["label"], spread=["spot"]).select("spot", "cluster_id")
+    # One row a cluster comes here; the smallest key of a spot is its name.
+    firsts = labelled.groupBy("label").agg(F.min("spot").alias("first")).orderBy("first").collect()
+    numbers = spark.createDataFrame([(r["label"], n) for n, r in enumerate(firsts)], "label long, cluster_id int")
+    by_spot = labelled.join(small_side(numbers), "label").select("spot", "cluster_id")
     at = spots.join(by_spot, "spot").select("x", "y", "cluster_id")
     found = lookup(located, at, ["x", "y"], spread=["key"]).select("key", "cluster_id")
     return (

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelens.fixed_values import NO_KEYWORDS, STOP_WORDS
-from noticelens.operators import density, encoders, keywords, vectors
+from noticelens.operators import density, encoders, hierarchy, index, keywords, vectors
 from noticelens.plans import inputs as i
 from noticelens.plans.registry import query
-from noticelens.session import shared_path
+from noticelens.session import shared_path, written
 from noticelens.sources.tables import read_sheet, write_book
 
 SQL_STOP = "(" + ", ".join(i.sql_text(w) for w in STOP_WORDS) + ")"
@@ -116,16 +116,16 @@ def report_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.join(detail, "cluster_id")
 
 
-@query(
-    "knn_l2",
-    f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS},
+SQL_NEAREST_ROWS = f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS},
     d AS (
       SELECT label_id AS query_id, id, list_sum(list_transform(list_zip(v, a), lambda z: (z[1] - z[2]) ** 2)) AS d
       FROM c CROSS JOIN e)
     SELECT CAST(query_id AS BIGINT) AS query_id, id, round(d, 6) AS distance,
            CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) AS INTEGER) AS rank
-    FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) <= 10""",
-)
+    FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), id) <= 10"""
+
+
+@query("knn_l2", SQL_NEAREST_ROWS)
 def knn_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = i.vectors(spark, sf_dir)
     queries = i.label_vectors(vecs).withColumnRenamed("label_id", "query_id")
@@ -133,6 +133,20 @@ def knn_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("distance", F.round("distance", 6))
 
 
+CELLS_OF_INDEX = 32
+
+
+@query("knn_index", SQL_NEAREST_ROWS)
+def knn_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``knn_l2`` from an index that is written and opened again."""
+    vecs = i.vectors(spark, sf_dir).select("id", F.col("vec_a").alias("embedding"))
+    path = shared_path(spark, "index")
+    index.write_index(vecs, path, cells=CELLS_OF_INDEX)
+    queries = i.label_vectors(i.vectors(spark, sf_dir)).withColumnRenamed("label_id", "query_id")
+    found, _ = index.search_index(spark, path, queries, 10)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 @query(
     "mean_pool",
     f"""WITH {i.SQL_VECTORS},
@@ -251,6 +265,98 @@ def density_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.density_cluster(points, eps=eps, min_samples=5, min_cluster_size=8)
 
 
+def _sql_hierarchy(points: str, needed: int, smallest: int) -> str:
+    """CTEs up to ``clustered_points`` (id, cluster_id) of points (id, x, y).
+
+    Prim's order makes the components of a threshold runs without a heavier step. Clusters are
+    followed from threshold to threshold, then folded from the bottom of their tree.
+    """
+    return f"""p AS MATERIALIZED ({points}),
+    n AS (SELECT id, x, y, row_number() OVER (ORDER BY id) AS k FROM p),
+    gap AS MATERIALIZED (
+      SELECT a.k AS a, b.k AS b, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d FROM n a CROSS JOIN n b),
+    core AS MATERIALIZED (SELECT a AS k, d AS core FROM gap WHERE a <> b QUALIFY row_number() OVER (PARTITION BY a ORDER BY d) = {needed}),
+    reach AS MATERIALIZED (
+      SELECT a, list(greatest(f.core, g.core, d) ORDER BY b) AS ws
+      FROM gap JOIN core f ON f.k = a JOIN core g ON g.k = b GROUP BY a),
+    prim(step, k, place, w) AS (
+      SELECT 1, k, CASE WHEN k = 1 THEN 1 END, CASE WHEN k = 1 THEN 'inf'::DOUBLE ELSE ws[k] END
+      FROM n, reach WHERE reach.a = 1
+      UNION ALL
+      SELECT step + 1, k, CASE WHEN k = best THEN step + 1 ELSE place END,
+             CASE WHEN place IS NULL AND k <> best THEN least(w, ws[k]) ELSE w END
+      FROM (SELECT *, first_value(k) OVER (ORDER BY place IS NOT NULL, w, k) AS best
+            FROM prim WHERE step < (SELECT count(*) FROM n)) JOIN reach ON reach.a = best),
+    line AS MATERIALIZED (SELECT k, place, w FROM prim WHERE step = (SELECT count(*) FROM n)),
+    level AS MATERIALIZED (
+      SELECT w AS t, row_number() OVER (ORDER BY w) AS r FROM (SELECT DISTINCT w FROM line WHERE place > 1)),
+    seg AS MATERIALIZED (
+      SELECT r, place, sum(CASE WHEN w > t THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY place) AS seg
+      FROM level CROSS JOIN line),
+    big AS MATERIALIZED (
+      SELECT r, min(place) AS lo, max(place) AS hi FROM seg GROUP BY r, seg HAVING count(*) >= {smallest}),
+    grown(r, lo, hi, node) AS (
+      SELECT r, lo, hi, r * 1000000 + lo FROM big WHERE r = (SELECT min(r) FROM big)
+      UNION ALL
+      SELECT r, lo, hi, CASE WHEN count(node) = 1 THEN min(node) ELSE r * 1000000 + lo END
+      FROM (SELECT big.r, big.lo, big.hi, inside.node
+            FROM (SELECT DISTINCT r + 1 AS r FROM grown) AS nxt JOIN big ON big.r = nxt.r
+            LEFT JOIN grown AS inside ON inside.lo >= big.lo AND inside.hi <= big.hi)
+      GROUP BY r, lo, hi),
+    node AS MATERIALIZED (
+      SELECT node, row_number() OVER (ORDER BY node) AS i, 1 / greatest(sqrt(t), 1e-9::DOUBLE) AS dense
+      FROM (SELECT DISTINCT node, node // 1000000 AS r FROM grown) JOIN level USING (r)),
+    up AS MATERIALIZED (
+      SELECT DISTINCT c.i AS i, f.i AS parent, f.dense AS birth
+      FROM grown a JOIN grown b ON b.r = a.r + 1 AND b.lo <= a.lo AND b.hi >= a.hi AND b.node <> a.node
+      JOIN node c ON c.node = a.node JOIN node f ON f.node = b.node),
+    joined AS MATERIALIZED (
+      SELECT place, node.i, 1 / greatest(sqrt(t), 1e-9::DOUBLE) AS dense
+      FROM (SELECT place, min(grown.r) AS r FROM line JOIN grown ON place BETWEEN lo AND hi GROUP BY place) AS f
+      JOIN grown ON grown.r = f.r AND place BETWEEN lo AND hi JOIN node ON node.node = grown.node
+      JOIN level ON level.r = f.r),
+    info AS MATERIALIZED (
+      SELECT node.i, node.dense, coalesce(birth, 0) AS birth, up.parent IS NULL AS top, coalesce(points, 0) AS points,
+             coalesce(total, 0) AS total, coalesce(kids, []) AS kids
+      FROM node LEFT JOIN up USING (i)
+      LEFT JOIN (SELECT i, count(*) AS points, sum(dense) AS total FROM joined GROUP BY i) USING (i)
+      LEFT JOIN (SELECT parent AS i, list(i ORDER BY i) AS kids FROM up GROUP BY parent) USING (i)),
+    fold(i, sizes, best, taken) AS (
+      SELECT 0::BIGINT, []::BIGINT[], []::DOUBLE[], []::BOOLEAN[]
+      UNION ALL
+      SELECT i, list_append(sizes, points + inner_points), list_append(best, CASE WHEN take THEN gain ELSE rest END),
+             list_append(taken, take)
+      FROM (
+        SELECT *, NOT top AND (len(kids) = 0 OR gain >= rest - 1e-9::DOUBLE * abs(rest)) AS take FROM (
+          SELECT *, total - points * birth + inner_points * (dense - birth) AS gain FROM (
+            SELECT info.*, sizes, best, taken,
+                   CAST(coalesce(list_sum(list_transform(kids, lambda c: sizes[c])), 0) AS BIGINT) AS inner_points,
+                   coalesce(list_sum(list_transform(kids, lambda c: best[c])), 0)::DOUBLE AS rest
+            FROM fold JOIN info ON info.i = fold.i + 1)))),
+    chosen AS (SELECT taken FROM fold ORDER BY i DESC LIMIT 1),
+    above(i, j) AS (SELECT i, i FROM node UNION ALL SELECT above.i, up.parent FROM above JOIN up ON up.i = above.j),
+    label AS (SELECT i, max(j) AS label FROM above, chosen WHERE taken[j] GROUP BY i),
+    kept AS (SELECT n.id, label FROM joined JOIN line USING (place) JOIN n ON n.k = line.k JOIN label USING (i)),
+    number AS (SELECT label, CAST(row_number() OVER (ORDER BY min(id)) - 1 AS INTEGER) AS cluster_id FROM kept GROUP BY label),
+    clustered_points AS (
+      SELECT p.id, coalesce(cluster_id, -1) AS cluster_id
+      FROM p LEFT JOIN kept ON kept.id = p.id LEFT JOIN number ON number.label = kept.label)"""
+
+
+NEEDED, SMALLEST = 5, 8
+
+
+@query(
+    "hierarchy_cluster",
+    f"""WITH RECURSIVE {_sql_hierarchy(SQL_PROJECTED, NEEDED, SMALLEST)}
+    SELECT id, cluster_id FROM clustered_points""",
+)
+def hierarchy_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the projection of whole vectors by stability, without a radius."""
+    points = written(project_2d(spark, sf_dir), "projected")
+    return hierarchy.hierarchical_cluster(points, NEEDED, SMALLEST)
+
+
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), F.regexp_extract("html", i.PAGE_TITLE, 1).alias("title")

@@ -42,9 +42,7 @@ def title_light_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.raw_texts(spark, sf_dir).select("kind", "id", clean_light(F.col("raw")).alias("title"))
 
 
-@query(
-    "balanced_dataset",
-    f"""WITH d AS (SELECT doc_id, text, quality FROM documents JOIN labels USING (doc_id)),
+SQL_BALANCED_SET = f"""WITH d AS (SELECT doc_id, text, quality FROM documents JOIN labels USING (doc_id)),
     sides AS (
       SELECT 1 AS label, text, max(doc_id) AS k FROM d WHERE quality = 1 GROUP BY text
       UNION ALL SELECT 0, text, doc_id FROM d WHERE quality = 0),
@@ -55,8 +53,10 @@ def title_light_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned AS (
       SELECT label, {i.sql_strong('text')} AS service_title FROM picked WHERE r <= (SELECT n FROM n))
     SELECT service_title, max(label) AS label FROM cleaned
-    WHERE service_title <> '' GROUP BY service_title""",
-)
+    WHERE service_title <> '' GROUP BY service_title"""
+
+
+@query("balanced_dataset", SQL_BALANCED_SET)
 def balanced_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = i.labelled_documents(spark, sf_dir).select(
         "doc_id", F.col("text").alias("notice_name"), "quality"
