@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticelens.fixed_values import NO_KEYWORDS, SEED, STOP_WORDS
 from noticelens.functions.text import word_tokens
 from noticelens.operators.ranking import seeded_order, top_n
-from noticelens.session import lookup, small_side, written
+from noticelens.session import small_side, written
+
+# Words of a chunk of texts.
+CHUNK = 1_000_000
 
 
 def cluster_keywords(
@@ -25,48 +32,110 @@ def cluster_keywords(
 ) -> DataFrame:
     """Top terms per cluster by summed, length-normalised TF-IDF: (cluster, rank, term, score).
 
-    Every cluster is a corpus of its own. One pass over the texts writes the term counts
-    of every row; the vocabulary with its weights is summed from them and joined back,
-    a frequent term's rows spread over salts. Rows are told apart by a number of their
-    own, so ``key`` may repeat or be null. ``max_features`` keeps the most used terms of
-    each cluster only. Ranking uses the score rounded to 6 digits, ties alphabetical.
+    Every cluster is a corpus of its own. Texts are counted in chunks, each with a dictionary
+    of the terms of its clusters: a chunk's counts stay together as arrays, and only its
+    distinct terms travel, to be summed into the vocabulary and to fetch their weights. Norms
+    and sums are then made inside a chunk. Rows are told apart by their place, so ``key`` may
+    repeat or be null; rows without a cluster or text take no part. ``max_features`` keeps the
+    most used terms of each cluster only. Ranking uses the score rounded to 6 digits, ties
+    alphabetical.
     """
-    counts = _term_counts(df, cluster, text_col, stop_words)
-    sizes = (
-        df.filter(F.col(text_col).isNotNull())
-        .groupBy(F.col(cluster).alias("c"))
-        .agg(F.count(F.lit(1)).alias("n_docs"))
-    )
-    used = counts.groupBy("c", "term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    rows = df.filter(F.col(cluster).isNotNull() & F.col(text_col).isNotNull())
+    chunks = written(_chunks(rows, cluster, text_col, stop_words), "chunks", partition_by="kind")
+    terms = chunks.filter("kind = 'term'")
+    sizes = rows.groupBy(F.col(cluster).alias("c")).agg(F.count(F.lit(1)).alias("n_docs"))
+    used = terms.groupBy("c", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
     if max_features is not None:
         order = [F.desc("total"), F.asc("term")]
         used = top_n(used, ["c"], order, max_features, F.col("term")).drop("rank")
     idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    vocabulary = written(used.join(small_side(sizes), "c").select("c", "term", idf.alias("idf")), "terms")
-    weighted = lookup(counts, vocabulary, ["c", "term"], spread=["row"], materialised=True)
-    weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("row")))
-    shares = weighted.withColumn("share", F.col("w") / norm)
+    vocabulary = used.join(small_side(sizes), "c").select("c", "term", idf.alias("idf"))
+    # A term has a row per chunk here, however often it is used.
+    weights = terms.select("chunk", "c", "term", "number").join(vocabulary, ["c", "term"])
+    counts = chunks.filter("kind = 'counts'").select(F.col("chunk").alias("of"), "counts")
+    schema = T.StructType([T.StructField("c", df.schema[cluster].dataType), *_SCORED])
+    shares = counts.groupBy("of").cogroup(weights.groupBy("chunk")).applyInArrow(_shares, schema)
     scores = shares.groupBy("c", "term").agg(F.round(F.sum("share"), 6).alias("score"))
     ranked = top_n(scores, ["c"], [F.desc("score"), F.asc("term")], n, F.col("term"))
     return ranked.select(F.col("c").alias(cluster), "rank", "term", "score")
 
 
-def _term_counts(df: DataFrame, cluster: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """(row, c, term, tf), written once."""
-    words = word_tokens(F.col("t"))
-    kept = F.filter(words, lambda w: ~w.isin(list(stop_words))) if stop_words else words
-    rows = (
-        df.filter(F.col(text_col).isNotNull())
-        .select(F.col(cluster).alias("c"), F.col(text_col).alias("t"))
-        .withColumn("row", F.monotonically_increasing_id())
-    )
-    counted = (
-        rows.select("row", "c", F.explode(kept).alias("term"))
-        .groupBy("row", "c", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    return written(counted, "counts")
+_SCORED = [T.StructField("term", T.StringType()), T.StructField("share", T.DoubleType())]
+
+
+def _chunks(rows: DataFrame, cluster: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """Per chunk the terms of its clusters (``term``: number, total, df), and its counts as
+    arrays of row, term number and count (``counts``)."""
+    kind = rows.schema[cluster].dataType
+    fields = [
+        ("kind", T.StringType()), ("chunk", T.LongType()), ("c", kind), ("term", T.StringType()), ("number", T.IntegerType()),
+        ("total", T.LongType()), ("df", T.LongType()), ("counts", T.BinaryType()),
+    ]
+    names = [name for name, _ in fields]
+    stop = pa.array(list(stop_words), pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for whole in batches:
+            lengths = pc.list_value_length(whole.column(1)).to_numpy(zero_copy_only=False)
+            # Cut so that a chunk has about CHUNK words, or one text.
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // CHUNK)) + 1
+            for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows]):
+                batch, size = whole.slice(first, last - first), lengths[first:last]
+                words = batch.column(1).flatten().dictionary_encode()
+                if not len(words):
+                    continue
+                clusters = batch.column(0).dictionary_encode()
+                row = np.repeat(np.arange(len(size)), size)
+                term = words.indices.to_numpy()
+                kept = ~pc.is_in(words.dictionary, value_set=stop).to_numpy(zero_copy_only=False)[term]
+                pairs, tf = np.unique(row[kept] * len(words.dictionary) + term[kept], return_counts=True)
+                row, term = pairs // len(words.dictionary), pairs % len(words.dictionary)
+                owner = clusters.indices.to_numpy()[row]
+                found, number, df = np.unique(
+                    owner * len(words.dictionary) + term, return_inverse=True, return_counts=True
+                )
+                if not len(found):
+                    continue
+                total = np.bincount(number, weights=tf).astype(np.int64)
+                counts = np.concatenate([row, number, tf]).astype(np.int32).tobytes()
+                types = dict(zip(names, _types(whole.column(0).type)))
+                cells = {
+                    "kind": pa.array(["term"] * len(found)),
+                    "chunk": pa.array(np.full(len(found), chunk)),
+                    "c": clusters.dictionary.take(pa.array(found // len(words.dictionary))),
+                    "term": words.dictionary.take(pa.array(found % len(words.dictionary))),
+                    "number": pa.array(np.arange(len(found), dtype=np.int32)),
+                    "total": pa.array(total),
+                    "df": pa.array(df),
+                    "counts": pa.nulls(len(found), pa.binary()),
+                }
+                yield pa.RecordBatch.from_pydict({n: cells[n] for n in names})
+                whole_counts = {"kind": ["counts"], "chunk": [chunk], "counts": [counts]}
+                yield pa.RecordBatch.from_pydict({n: pa.array(whole_counts.get(n, [None]), types[n]) for n in names})
+                chunk += 1
+
+    words = rows.select(F.col(cluster).alias("c"), word_tokens(F.col(text_col)).alias("words"))
+    return words.mapInArrow(run, T.StructType([T.StructField(n, t) for n, t in fields]))
+
+
+def _types(kind: pa.DataType) -> list[pa.DataType]:
+    return [pa.string(), pa.int64(), kind, pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+
+def _shares(key, counts: pa.Table, weights: pa.Table) -> pa.Table:
+    """(c, term, share): sums of normalised weights over the rows of a chunk."""
+    number = weights.column("number").to_numpy()
+    # There is one row of counts; the terms of a chunk come from its counts.
+    data = np.frombuffer(counts.column("counts")[0].as_buffer(), dtype=np.int32)
+    row, term, tf = data.reshape(3, -1)
+    idf = np.zeros(int(max(term.max(initial=-1), number.max(initial=-1))) + 1)
+    idf[number] = weights.column("idf").to_numpy()
+    w = tf * idf[term]
+    # Rows whose terms all fell out have no length; their shares are 0.
+    size = np.sqrt(np.bincount(row, weights=w * w))[row]
+    share = np.bincount(term, weights=np.divide(w, size, out=np.zeros(len(w)), where=size > 0), minlength=len(idf))
+    return pa.table({"c": weights.column("c"), "term": weights.column("term"), "share": share[number]})
 
 
 def _first_rows(

@@ -5,8 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,8 @@ from noticelens.operators.maxsim import (
 )
 from noticelens.operators.rules import apply_rules
 from noticelens.operators.vectors import MAX_BLOCK_CELLS
-from noticelens.session import written
+from noticelens.session import lookup, shared_path, written
+from noticelens.sources.tables import read_table
 
 
 def weak_label(
@@ -143,35 +144,29 @@ def judge(
     prompts: DataFrame,
     client_factory: Callable[[], Callable[[str], str]] | None,
     pause: float = 0.0,
+    store: str | None = None,
+    attempts: int = 1,
+    wave: int = 10_000,
 ) -> DataFrame:
-    """Ask a caller-supplied client once per prompt and parse its replies.
+    """Ask a caller-supplied client once per distinct prompt and parse its replies.
 
-    The factory runs once per task; ``pause`` limits the rate per task. Replies
-    are checkpointed right away, so no later action or retry of a later stage asks
-    again. A failing call gives a null reply, parsed as a classification error.
+    Replies are kept by the prompt's content in the folder ``store``, in waves of about
+    ``wave`` prompts, each committed before the next one starts. A run that was killed goes
+    on with the prompts that have no reply yet, and later runs never ask the same again; only
+    what was under way in the last wave is asked anew. Without ``store`` a fresh folder is used.
+
+    The factory runs once per task; ``pause`` limits the rate per task and doubles with every
+    further one of the ``attempts``. A prompt whose calls all fail has no stored reply: it counts
+    as a classification error in this run, and the next run asks it again.
     """
     if client_factory is None:
         replies = prompts.withColumn("response", F.lit(None).cast("string"))
     else:
-        schema = T.StructType(prompts.schema.fields + [T.StructField("response", T.StringType())])
-
-        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            client = client_factory()
-
-            def one(prompt: str) -> str | None:
-                if prompt is None:
-                    return None
-                try:
-                    return client(prompt)
-                except Exception:
-                    return None
-                finally:
-                    time.sleep(pause)
-
-            for batch in batches:
-                yield batch.assign(response=[one(p) for p in batch["prompt"]])
-
-        replies = written(prompts.mapInPandas(ask, schema), "weaklabel")
+        spark = prompts.sparkSession
+        store = store or shared_path(spark, "replies")
+        _ask(prompts, client_factory, pause, store, attempts, wave)
+        known = _stored_replies(spark, store).groupBy("asked").agg(F.min("response").alias("response"))
+        replies = lookup(prompts.withColumn("asked", prompt_key("prompt")), known, ["asked"], "left").drop("asked")
     parsed = parse_judgement(F.coalesce("response", F.lit("")))
     error = F.col("error_label")
     not_set = F.lit(JUDGE_NOT_SET if client_factory is None else None)
@@ -183,3 +178,44 @@ def judge(
             .otherwise(F.col("_j.reason")),
         }
     ).drop("_j", "error_label")
+
+
+def prompt_key(prompt: str):
+    return F.sha2(F.col(prompt), 256)
+
+
+def _stored_replies(spark: SparkSession, store: str) -> DataFrame:
+    schema = T.StructType.fromDDL("asked string, response string")
+    return read_table(spark, store, schema, missing="empty")
+
+
+def _ask(prompts: DataFrame, client_factory, pause: float, store: str, attempts: int, wave: int) -> None:
+    """Fill the store with a reply for every prompt that has none."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client = client_factory()
+
+        def one(prompt: str) -> str | None:
+            for attempt in range(attempts):
+                try:
+                    return client(prompt)
+                except Exception:
+                    pass
+                finally:
+                    time.sleep(pause * 2**attempt)
+            return None
+
+        for batch in batches:
+            replies = pa.array([one(p) for p in batch.column(1).to_pylist()], pa.string())
+            answered = pa.RecordBatch.from_arrays([batch.column(0), replies], names=["asked", "response"])
+            yield answered.filter(replies.is_valid())
+
+    distinct = prompts.filter(F.col("prompt").isNotNull()).groupBy(prompt_key("prompt").alias("asked")).agg(
+        F.min("prompt").alias("prompt")
+    )
+    open_ = written(distinct.join(_stored_replies(prompts.sparkSession, store), "asked", "left_anti"), "open")
+    waves = -(-open_.count() // wave)
+    for n in range(waves):
+        # The key is a hash in hexadecimal, so any of its digits deal evenly.
+        part = open_.filter(F.conv(F.substring("asked", 1, 8), 16, 10).cast("long") % waves == n)
+        part.repartition("asked").mapInArrow(ask, "asked string, response string").write.mode("append").parquet(store)

@@ -9,7 +9,7 @@ from noticelens.fixed_values import NO_KEYWORDS, STOP_WORDS
 from noticelens.operators import density, encoders, hierarchy, index, keywords, vectors
 from noticelens.plans import inputs as i
 from noticelens.plans.registry import query
-from noticelens.session import shared_path, written
+from noticelens.session import lookup, shared_path, small_side, written
 from noticelens.sources.tables import read_sheet, write_book
 
 SQL_STOP = "(" + ", ".join(i.sql_text(w) for w in STOP_WORDS) + ")"
@@ -357,6 +357,31 @@ def hierarchy_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.hierarchical_cluster(points, NEEDED, SMALLEST)
 
 
+SQL_TFIDF_OF_POINTS = SQL_TFIDF.replace(
+    i.SQL_CLUSTERED,
+    "clustered AS (SELECT doc_id, cluster_id, text FROM documents JOIN clustered_points ON id = doc_id)",
+)
+
+
+@query(
+    "cluster_ontology",
+    f"""WITH RECURSIVE {_sql_hierarchy(SQL_PROJECTED, NEEDED, SMALLEST)}, {SQL_TFIDF_OF_POINTS}
+    SELECT CASE WHEN cluster_id = -1 THEN 'Noise' ELSE 'Cluster ' || cluster_id END AS name, n AS size,
+           cluster_id, rank, term, score
+    FROM ranked JOIN (SELECT c AS cluster_id, n FROM sizes) USING (cluster_id) WHERE rank <= 10""",
+)
+def cluster_ontology(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters found in the vectors, described by the words of their texts."""
+    found = written(hierarchy_cluster(spark, sf_dir), "clusters")
+    docs = i.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    rows = lookup(docs, found, ["id"]).select("id", "cluster_id", "text")
+    words = keywords.cluster_keywords(rows, "cluster_id", "id", "text", n=10)
+    sizes = rows.filter("text is not null").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    return words.join(small_side(sizes), "cluster_id").select(
+        keywords.cluster_name("cluster_id").alias("name"), "size", "cluster_id", "rank", "term", "score"
+    )
+
+
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), F.regexp_extract("html", i.PAGE_TITLE, 1).alias("title")

@@ -15,7 +15,7 @@ from noticelens.plans.labelling import SQL_NEAREST, nearest
 from noticelens.plans.preparation import SQL_FOLDS
 from noticelens.plans.registry import query
 from noticelens.session import shared_path, written
-from noticelens.streaming.scoring import score_stream
+from noticelens.streaming.scoring import read_batches, score_batches, score_stream
 
 MULTI = range(2, 2 + len(i.SCORED_LABELS))
 BINARY = range(0, 2)
@@ -100,6 +100,35 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+# Every seventh request comes once more with the next file.
+SQL_SCORE_TWICE = SQL_SCORE.replace(
+    "FROM embeddings)", "FROM (SELECT * FROM embeddings UNION ALL SELECT * FROM embeddings WHERE vec_id % 7 = 0))"
+)
+
+
+@query("score_batches", SQL_SCORE_TWICE)
+def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arriving files with repeated ids, scored into one folder a batch."""
+    arrived, out, checkpoint = (shared_path(spark, n) for n in ("arrived", "scored", "stream"))
+    rows = i.table(spark, sf_dir, "embeddings")
+    again = rows.filter("vec_id % 7 = 0").withColumn("part", (F.col("vec_id") + 1) % 3)
+    parts = rows.withColumn("part", F.col("vec_id") % 3).unionByName(again)
+    for n in range(3):
+        parts.filter(F.col("part") == n).drop("part").write.parquet(f"{arrived}/{n}")
+    files = len(spark.read.option("recursiveFileLookup", "true").parquet(arrived).inputFiles())
+    run = score_batches(
+        spark,
+        arrived,
+        rows.schema,
+        lambda df: score_batch(requests(df), i.SCORED_LABELS),
+        out,
+        checkpoint,
+        max_files=-(-files // 3),
+    )
+    run.awaitTermination()
+    return read_batches(spark, out).drop("batch")
+
+
 SQL_METRICS = """m AS (
       SELECT fold, class, sum(hit) AS hit, sum(seen) AS seen FROM (
         SELECT fold, truth AS class, count(*) AS seen, count(*) FILTER (truth = pred) AS hit

@@ -12,6 +12,8 @@ from noticelens.operators import encoders, mapping, maxsim, rules, weaklabel
 from noticelens.operators.ranking import dense_index, top_n
 from noticelens.plans import inputs as i
 from noticelens.plans.registry import query
+from noticelens.session import shared_path
+from noticelens.sources.tables import read_sheet, write_book
 
 
 def _sql_rules(text: str, what: str) -> str:
@@ -203,14 +205,19 @@ def weak_label_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'dept', s, count(*) FROM (SELECT {SQL_DEPT_STATUS} AS s FROM weak) GROUP BY s""",
 )
 def weak_label_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = weak_labels(spark, sf_dir).select("predicted_label", "dept_match_status")
+    # The result goes into the book first, and the summary is made of its sheet.
+    book = shared_path(spark, "labels")
+    write_book({"Classification_Result": weak_labels(spark, sf_dir).drop("vec_a", "vec_b")}, book)
+    found = read_sheet(spark, book, "Classification_Result").select("predicted_label", "dept_match_status")
     # One pass counts both summaries.
     both = F.array(
         F.struct(F.lit("label").alias("kind"), F.col("predicted_label").alias("value")),
         F.struct(F.lit("dept").alias("kind"), F.col("dept_match_status").alias("value")),
     )
     pairs = found.select(F.explode(both).alias("p")).select("p.kind", "p.value")
-    return pairs.filter("value IS NOT NULL").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    summary = pairs.filter("value IS NOT NULL").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    write_book({"Summary": summary}, book)
+    return read_sheet(spark, book, "Summary")
 
 
 @query("weak_label_text")
@@ -329,9 +336,7 @@ def taxonomy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "judge_candidates",
-    f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS}, {i.SQL_KB},
+SQL_JUDGE_CANDIDATES = f"""WITH {i.SQL_VECTORS}, {i.SQL_CENTROIDS}, {i.SQL_KB},
     t AS (SELECT e.id, e.a, CASE WHEN e.id % 50 = 0 THEN '' WHEN e.id % 50 = 1 THEN NULL
                                  ELSE p_name END AS title
           FROM e LEFT JOIN part ON p_partkey = e.id),
@@ -350,8 +355,10 @@ def taxonomy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
              'Pick the one label that fits this notice title best.' || chr(10) || 'Title: ' || title
              || chr(10) || 'Candidates, most similar first:' || chr(10) || b || chr(10)
              || 'Answer with JSON only: {{"best_label": "...", "reason": "one short sentence"}}' END AS prompt
-    FROM t JOIN block USING (id)""",
-)
+    FROM t JOIN block USING (id)"""
+
+
+@query("judge_candidates", SQL_JUDGE_CANDIDATES)
 def judge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = i.vectors(spark, sf_dir)
     key = F.col("p_partkey")
@@ -411,3 +418,38 @@ def judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"), parse_judgement(reply).alias("j")
     )
     return rows.select("id", "j.label", "j.reason")
+
+
+def first_candidate(prompt: str) -> str:
+    """A stand-in for a judge model: picks the first candidate, answers some prompts badly."""
+    best = prompt.split("- Label: ", 1)[1].split("\n", 1)[0]
+    kind = len(prompt) % 5
+    if kind == 0:
+        return "I would say " + best
+    reply = '{"best_label": "%s", "reason": "first"}' % best
+    return f"```json\n{reply}\n```" if kind == 1 else '{"reason": "none"}' if kind == 2 else reply
+
+
+@query(
+    "judge_chain",
+    f"""WITH c AS ({SQL_JUDGE_CANDIDATES}), {i.SQL_KB},
+    r AS (
+      SELECT id, error_label, length(prompt) % 5 AS kind,
+             string_split(split_part(candidates, '- Label: ', 2), chr(10))[1] AS best FROM c),
+    j AS (
+      SELECT id,
+             coalesce(error_label, CASE kind WHEN 0 THEN 'classification error' WHEN 2 THEN 'parse error' ELSE best END) AS label,
+             CASE WHEN error_label IS NOT NULL THEN 'empty_title' WHEN kind = 0 THEN 'invalid_reply'
+                  WHEN kind = 2 THEN 'none' ELSE 'first' END AS reasoning FROM r)
+    SELECT id, label AS predicted_label, reasoning, coalesce(div, 'N/A') AS predicted_div,
+           coalesce(dep, 'N/A') AS predicted_dept
+    FROM j LEFT JOIN kb ON kb.final_label = label""",
+)
+def judge_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates, calls, parsing and lookup; the judged table is written and read again."""
+    prompts = judge_candidates(spark, sf_dir)
+    judged = weaklabel.judge(prompts, lambda: first_candidate).drop("candidates", "prompt", "response")
+    path = shared_path(spark, "judged")
+    mapping.label_info(judged, i.knowledge_base(spark)).write.parquet(path)
+    found = spark.read.parquet(path)
+    return found.select("id", "predicted_label", "reasoning", "predicted_div", "predicted_dept")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -66,20 +67,60 @@ def read_sheet(
     schema: StructType | None = None,
     missing: str = "raise",
 ) -> DataFrame:
-    """A book is a folder with one Parquet table per sheet."""
-    return read_table(spark, f"{book.rstrip('/')}/{sheet}", schema, missing)
+    """A sheet of a book's last complete version; a plain folder of sheets is a book, too."""
+    path = _sheets(spark, book).get(sheet, f"{book.rstrip('/')}/{sheet}")
+    return read_table(spark, path, schema, missing)
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, on whatever file system they are; the names only come here."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(f.getPath()) for f in found or [])
+
+
+def complete_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match and were written to their end, by name."""
+    return [path.rpartition("/")[0] for path in _glob(spark, f"{pattern}/_SUCCESS")]
+
+
+def _versions(spark: SparkSession, book: str) -> list[str]:
+    """Folders of the book's manifests, oldest first."""
+    return complete_folders(spark, f"{book.rstrip('/')}/_manifest/*")
+
+
+def _sheets(spark: SparkSession, book: str) -> dict[str, str]:
+    versions = _versions(spark, book)
+    rows = spark.read.schema("sheet string, folder string").json(versions[-1]).collect() if versions else []
+    return {r["sheet"]: f"{book.rstrip('/')}/{r['folder']}" for r in rows}
 
 
 def write_book(
     tables: Mapping[str, DataFrame], book: str, partition_by: Mapping[str, str] | None = None
 ) -> None:
-    """Write one table per sheet; a detail sheet may be split into one folder per value."""
+    """Write one table per sheet, all of them visible at once; other sheets of the book stay.
+
+    Sheets go into folders of their own; a manifest that names a folder for every sheet is
+    written last, so readers see all sheets of one version or none of it, whatever fails in
+    between. Earlier versions stay readable for those who opened them. A sheet may be split
+    into one folder per value. Of two writers at once one fails and leaves the book as it is.
+    """
+    if not tables:
+        return
+    spark, book = next(iter(tables.values())).sparkSession, book.rstrip("/")
+    versions = _versions(spark, book)
+    number = int(versions[-1].rpartition("/")[2]) + 1 if versions else 0
+    folders = {sheet: path.removeprefix(f"{book}/") for sheet, path in _sheets(spark, book).items()}
     for name, df in tables.items():
-        writer = df.write.mode("overwrite")
+        folders[name] = f"{name}-{uuid.uuid4().hex}"
+        writer = df.write
         column = (partition_by or {}).get(name)
         if column:
             writer = writer.partitionBy(column)
-        writer.parquet(f"{book.rstrip('/')}/{name}")
+        writer.parquet(f"{book}/{folders[name]}")
+    manifest = spark.createDataFrame(sorted(folders.items()), "sheet string, folder string")
+    manifest.coalesce(1).write.json(f"{book}/_manifest/{number:012d}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
