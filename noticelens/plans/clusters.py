@@ -38,7 +38,7 @@ SQL_TFIDF = rf"""{i.SQL_CLUSTERED},
     f"WITH {SQL_TFIDF} SELECT cluster_id, rank, term, score FROM ranked WHERE rank <= 20",
 )
 def cluster_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = i.clustered(spark, sf_dir, parse=True)
+    docs = i.clustered(spark, sf_dir)
     return keywords.cluster_keywords(docs, "cluster_id", "doc_id", "text")
 
 
@@ -98,8 +98,7 @@ def cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the report book, one detail folder per cluster, and read both sheets back."""
     rows = i.clustered(spark, sf_dir)
-    parsed = i.clustered(spark, sf_dir, parse=True)
-    words = keywords.cluster_keywords(parsed, "cluster_id", "doc_id", "text")
+    words = keywords.cluster_keywords(rows, "cluster_id", "doc_id", "text")
     samples = keywords.cluster_samples(rows, "cluster_id", "doc_id", "text")
     book = shared_path(spark, "book")
     write_book({"keywords": words}, book)

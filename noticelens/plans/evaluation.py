@@ -17,8 +17,7 @@ from noticelens.plans.registry import query
 from noticelens.session import shared_path, written
 from noticelens.streaming.scoring import read_batches, score_batches, score_stream
 
-MULTI = range(2, 2 + len(i.SCORED_LABELS))
-BINARY = range(0, 2)
+MULTI, BINARY = len(i.SCORED_LABELS), 2
 
 
 def requests(embeddings: DataFrame) -> DataFrame:
@@ -176,9 +175,10 @@ def fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select(*rounded, "best_fold")
 
 
-FIRST, SECOND = range(0, 10), range(10, 20)
+# Two passes over a row: the cells folded in two ways.
+FIRST, SECOND = (10, 1), (10, 7)
 SQL_LOGITS = f"""l AS (
-      SELECT label, {i.sql_logits(FIRST)} AS first, {i.sql_logits(SECOND)} AS second FROM embeddings),
+      SELECT label, {i.sql_logits(*FIRST)} AS first, {i.sql_logits(*SECOND)} AS second FROM embeddings),
     cw AS (SELECT label, (SELECT count(*) FROM l) / (count(*) OVER () * n) AS weight
            FROM (SELECT label, count(*) AS n FROM l GROUP BY label))"""
 
@@ -190,7 +190,7 @@ def _sql_log_softmax(col: str, temperature: str = "1.0::DOUBLE") -> str:
 
 def two_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.table(spark, sf_dir, "embeddings").select(
-        "label", i.logits("first", FIRST), i.logits("second", SECOND)
+        "label", i.logits("first", *FIRST), i.logits("second", *SECOND)
     )
 
 
@@ -286,9 +286,9 @@ def strategy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "platt_scale",
-    """WITH RECURSIVE r AS (
-      SELECT vec_id AS id, embedding[2]::DOUBLE * 10.0::DOUBLE AS x, label % 2 AS y FROM embeddings),
-    d AS (SELECT list({'x': x, 'y': y}) AS rows FROM r),
+    f"""WITH RECURSIVE r AS (
+      SELECT vec_id AS id, {i.sql_logits(BINARY)}[2] AS x, label % 2 AS y FROM embeddings),
+    d AS (SELECT list({{'x': x, 'y': y}}) AS rows FROM r),
     fit(i, w, b) AS (
       SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE
       UNION ALL
@@ -301,7 +301,7 @@ def strategy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                list_sum(list_transform(ps, lambda z: z.p * (1 - z.p) * z.x)) AS hwb,
                list_sum(list_transform(ps, lambda z: z.p * (1 - z.p))) AS hbb
         FROM (SELECT i, w, b, list_transform(rows, lambda z:
-                       {'x': z.x, 'y': z.y, 'p': 1 / (1 + exp(-(w * z.x + b)))}) AS ps
+                       {{'x': z.x, 'y': z.y, 'p': 1 / (1 + exp(-(w * z.x + b)))}}) AS ps
               FROM fit, d WHERE i < 25))),
     best AS (SELECT w, b FROM fit WHERE i = 25)
     SELECT id, y AS label, round(1 / (1 + exp(-(w * x + b))), 4) AS calibrated FROM r, best""",
@@ -309,7 +309,7 @@ def strategy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def platt_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = i.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
-        (F.get("embedding", F.lit(1)).cast("double") * 10.0).alias("logit"),
+        F.get(i.logits("l", BINARY), F.lit(1)).alias("logit"),
         (F.col("label") % 2).alias("label"),
     )
     model = train.platt_fit(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +60,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-
-
 def sql_text(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
@@ -226,14 +225,26 @@ SQL_ENSEMBLE = """best AS (
   FROM scores GROUP BY id)"""
 
 
-def logits(name: str, cells: range) -> Column:
-    """Logits made of embedding cells, scaled by 10."""
-    values = F.array(*[F.get("embedding", F.lit(i)).cast("double") * 10.0 for i in cells])
-    return values.alias(name)
+CELLS = 64
+
+
+def _folded(k: int, step: int) -> list[list[int]]:
+    """Which cells each of ``k`` logits is the sum of; every cell counts for one."""
+    return [[n for n in range(CELLS) if n * step % k == j] for j in range(k)]
+
+
+def logits(name: str, k: int, step: int = 1) -> Column:
+    """Logits of the whole embedding, folded to ``k`` sums of cells and scaled by 10."""
+    def cell(n: int) -> Column:
+        return F.get("embedding", F.lit(n)).cast("double")
+
+    values = [reduce(Column.__add__, map(cell, group)) * 10.0 for group in _folded(k, step)]
+    return F.array(*values).alias(name)
 
 
-def sql_logits(cells: range, col: str = "embedding") -> str:
-    return "[" + ", ".join(f"{col}[{i + 1}]::DOUBLE * 10.0::DOUBLE" for i in cells) + "]"
+def sql_logits(k: int, step: int = 1, col: str = "embedding") -> str:
+    sums = (" + ".join(f"{col}[{n + 1}]::DOUBLE" for n in group) for group in _folded(k, step))
+    return "[" + ", ".join(f"({s}) * 10.0::DOUBLE" for s in sums) + "]"
 
 
 def dept_mapping(spark: SparkSession) -> DataFrame:
@@ -258,10 +269,9 @@ def sql_pairs(name: str, pairs: list[tuple[str, str]]) -> str:
 
 
 # Clusters: the number in documents.source, shifted so that src0 plays the noise.
-def clustered(spark: SparkSession, sf_dir: str, parse: bool = False) -> DataFrame:
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int") - 1
-    docs = table(spark, sf_dir, "documents") if parse else table(spark, sf_dir, "documents")
-    return docs.select("doc_id", number.alias("cluster_id"), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", number.alias("cluster_id"), "text")
 
 
 SQL_CLUSTERED = r"""clustered AS (

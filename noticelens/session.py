@@ -124,6 +124,15 @@ def lookup(
     if spread is None:
         plain = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
         spread = [c for c in plain if c not in on] or on
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    return rows.join(salted, [*on, "_salt"], how).drop("_salt")
+    salt = free_name("_salt", df, table)
+    salted = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = df.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    return rows.join(salted, [*on, salt], how).drop(salt)
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """The name, lengthened until no frame has a column of it; names are told apart without case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
