@@ -3,7 +3,8 @@
 Patterns find candidate spans in the whole text. The hash of each candidate's value is
 then counted over distinct owners and repositories: a value that many owners have was
 copied from an example, one that a single owner has and that does not read like a
-placeholder looks live. Only DataFrame functions run on the rows.
+placeholder looks live; in several repositories of that owner it is reused, which makes
+it no less live. Only DataFrame functions run on the rows.
 
 Offsets count code points; the spans of a kind are the leftmost non-overlapping matches,
 and a match whose value is too short is dropped but still used up its characters. The span
@@ -156,7 +157,12 @@ def spans(
     repo_col: str | None = None,
     copied_by: int = COPIED_BY,
 ) -> DataFrame:
-    """(row, kind, rank, start, end, verdict); the verdict is live, shared or example."""
+    """(row, kind, rank, start, end, verdict, owners, repos) of every span.
+
+    The verdict is ``example`` for placeholders and values of ``copied_by`` owners or more,
+    ``shared`` for those of several owners, and for one owner's ``reused`` if as many of its
+    repositories hold it, else ``live``.
+    """
     found = candidates(docs, id_col, text_col, owner_col, repo_col)
     found = found.withColumn("hash", F.sha2("value", 256))
     owners = (
@@ -170,10 +176,11 @@ def spans(
     verdict = (
         F.when((F.col("owners") >= copied_by) | F.col("value").rlike(PLACEHOLDER), "example")
         .when(F.col("owners") > 1, "shared")
+        .when(F.col("repos") >= copied_by, "reused")
         .otherwise("live")
     )
     return lookup(found, owners, ["hash"], spread=["row", "start"]).select(
-        "row", "kind", "rank", "start", "end", verdict.alias("verdict")
+        "row", "kind", "rank", "start", "end", verdict.alias("verdict"), "owners", "repos"
     )
 
 
@@ -198,14 +205,22 @@ def report(
     repo_col: str | None = None,
     copied_by: int = COPIED_BY,
 ) -> DataFrame:
-    """Counts, digest and list of the spans of every row."""
+    """Counts, digest and list of the spans of every row.
+
+    ``n_live`` counts the spans that look live, reused ones included, ``n_reused`` those;
+    ``n_owners`` and ``n_repos`` are the most owners and repositories that hold one of the
+    row's values, 0 without spans.
+    """
     found = spans(docs, id_col, text_col, owner_col, repo_col, copied_by)
     per = found.groupBy("row").agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE],
         _listed(True).alias("base"),
         _listed(False).alias("spans"),
-        F.count(F.when(F.col("verdict") == "live", 1)).alias("n_live"),
+        F.count(F.when(F.col("verdict").isin("live", "reused"), 1)).alias("n_live"),
+        F.count(F.when(F.col("verdict") == "reused", 1)).alias("n_reused"),
         F.count(F.when(F.col("verdict") == "example", 1)).alias("n_example"),
+        F.max("owners").alias("n_owners"),
+        F.max("repos").alias("n_repos"),
     )
     owner, repo = _names(owner_col, repo_col)
     rows = docs.select(F.col(id_col).alias("id"), _key(id_col, text_col, owner, repo).alias("row"))
@@ -216,8 +231,10 @@ def report(
         *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(F.coalesce("base", empty), 256).alias("base_sha256"),
         F.coalesce("spans", empty).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
-        F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        *[
+            F.coalesce(c, F.lit(0)).cast("long").alias(c)
+            for c in ("n_live", "n_reused", "n_example", "n_owners", "n_repos")
+        ],
     )
 
 

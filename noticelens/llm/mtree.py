@@ -192,7 +192,11 @@ def top_k(
     vector_col: str = "embedding",
     factor: int = 256,
 ) -> DataFrame:
-    """(query_id, rank, id, score): the k best rows of every query, from all rows."""
+    """(query_id, rank, id, score): the k best rows of every query, from all rows.
+
+    Inner products are sums of doubles, exact below 2**53; components so large that one could
+    reach that are refused.
+    """
     spark = vectors.sparkSession
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"),
@@ -200,7 +204,10 @@ def top_k(
         is_query.alias("asks"),
     ).filter("id is not null and v is not null")
     rows = stored(rows.withColumn("size", F.size("v")), "vectors")
-    count = rows.count()
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x))).cast("double")
+    count, reach = rows.agg(F.count(F.lit(1)), F.max(largest * largest * F.col("size"))).first()
+    if (reach or 0) >= 2.0**53:
+        raise ValueError("components are too large for exact inner products")
     forest = stored(_forest(rows, max(1, -(-count // SHARD))), "forest")
     queries = rows.filter("asks").select("id", "v", "size").distinct()
     blocks = max(1, -(-rows.filter("asks").count() // BLOCK))

@@ -64,6 +64,7 @@ _KINDS = " UNION ALL ".join(
 _ENTRY = "kind || ':' || (e - size) || ':' || e"
 _IS_BASE = "kind IN (" + ", ".join(_quoted(k) for k in BASE) + ")"
 
+# The source of a document is its owner and its only repository.
 SECRETS = f"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
@@ -86,12 +87,13 @@ WITH doc AS (
          string_agg({_ENTRY}, ',' ORDER BY e - size, rank) FILTER ({_IS_BASE}) AS base,
          string_agg({_ENTRY}, ',' ORDER BY e - size, rank) AS spans,
          count(*) FILTER (NOT example AND owners = 1) AS n_live,
-         count(*) FILTER (example) AS n_example
+         count(*) FILTER (example) AS n_example, max(owners) AS n_owners
   FROM judged GROUP BY r
 )
 SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+       coalesce(n_live, 0) AS n_live, 0::BIGINT AS n_reused, coalesce(n_example, 0) AS n_example,
+       coalesce(n_owners, 0) AS n_owners, coalesce(n_owners, 0) AS n_repos
 FROM doc LEFT JOIN per USING (r)
 """
 

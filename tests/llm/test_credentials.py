@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
+import pytest
 from helpers import ODD, docs_frame
+from pyspark.sql import functions as F
 
 from noticelens.llm import credentials
 
@@ -135,3 +137,26 @@ def test_private_keys_in_sql(spark, tmp_path):
     names = [d[0] for d in result.description]
     want = sorted(map(str, result.fetchall()))
     assert sorted(map(str, map(tuple, credentials.report(df).select(*names).collect()))) == want
+
+
+def test_many_repositories_of_one_owner_are_one_owner(spark):
+    rows = [(n, "token=onlyoneowner1", "me", f"repo{n}") for n in range(30)]
+    rows += [(100 + n, "token=everybodyhas1", f"owner{n}", "fork") for n in range(3)]
+    rows += [(200, "token=inasinglerepo1", "me", "repo0"), (201, "no secret", "me", "repo0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, repo string")
+    got = {r.doc_id: r for r in credentials.report(df, repo_col="repo").collect()}
+    for n in range(30):
+        assert (got[n].n_live, got[n].n_reused, got[n].n_owners, got[n].n_repos) == (1, 1, 1, 30)
+    assert (got[100].n_example, got[100].n_live, got[100].n_owners, got[100].n_repos) == (1, 0, 3, 3)
+    assert (got[200].n_live, got[200].n_reused, got[200].n_repos) == (1, 0, 1)
+    assert (got[201].n_live, got[201].n_owners, got[201].n_repos) == (0, 0, 0)
+    texts = {r.doc_id: r.text for r in credentials.redact(df, repo_col="repo").collect()}
+    assert texts[3] == texts[200] == "[REDACTED]" and texts[101] == "token=everybodyhas1"
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_redaction_beside_a_column_named_as_helpers_are(spark, small, monkeypatch):
+    monkeypatch.setattr("noticelens.session.is_small", lambda table, rows=0: small)
+    df = docs_frame(spark, SECRETS).withColumn("_salt", F.lit(5))
+    out = credentials.redact(df)
+    assert out.columns == df.columns and {r._salt for r in out.collect()} == {5}

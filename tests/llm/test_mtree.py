@@ -87,3 +87,9 @@ class Counting:
     def __getitem__(self, at):
         self.seen.append(len(at))
         return self.rows[at]
+
+
+def test_components_beyond_exact_products_are_refused(spark):
+    df = spark.createDataFrame([(0, [3e7]), (50, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="too large"):
+        mtree.top_k(df, F.col("vec_id") % 50 == 0)
