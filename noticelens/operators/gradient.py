@@ -121,11 +121,12 @@ def sums_of(rows: DataFrame, objective: Objective, models: np.ndarray, weights:
     parts = rows.select("first", "second", "label", "fold").mapInArrow(run, "task long, sums array<double>")
     vector = Summarizer.sum(array_to_vector("sums"))
     groups = parts.groupBy(F.floor(F.col("task") / FAN_IN).alias("group")).agg(vector.alias("sums"))
-    found = groups.agg(Summarizer.sum(F.col("sums")).alias("sums")).first()["sums"]
+    # Grouped, as a sum over nothing at all is refused.
+    found = groups.groupBy(F.lit(0)).agg(Summarizer.sum(F.col("sums")).alias("sums")).first()
     sent.unpersist()
-    if found is None or not len(found):
+    if found is None:
         return [Sums(0.0, 0.0, 0.0, 0.0, np.zeros(shape), np.zeros(shape)) for _ in range(count)]
-    return [Sums.of(flat, shape) for flat in found.toArray().reshape(count, -1)]
+    return [Sums.of(flat, shape) for flat in found["sums"].toArray().reshape(count, -1)]
 
 
 def train(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelens.fixed_values import NO_KEYWORDS, STOP_WORDS
-from noticelens.operators import density, encoders, hierarchy, index, keywords, vectors
+from noticelens.operators import cooccurrence, density, encoders, hierarchy, index, keywords, vectors
 from noticelens.plans import inputs as i
 from noticelens.plans.registry import query
 from noticelens.session import lookup, shared_path, small_side, written
@@ -404,3 +404,26 @@ def encode_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("vec_b").alias("dims_b"),
         F.round(square("vec_b"), 6).alias("square_b"),
     )
+
+
+PAIR_WINDOW = 5
+
+
+@query(
+    "title_pairs",
+    rf"""WITH t AS (
+      SELECT page_id, regexp_extract_all(lower(regexp_extract(html, '{i.PAGE_TITLE}', 1)),
+             '([\p{{L}}\p{{N}}_]{{2,}})', 1) AS w FROM pages),
+    place AS (SELECT page_id, w, unnest(range(1, len(w) + 1)) AS a FROM t),
+    near AS (SELECT w, a, unnest(range(a + 1, least(a + {PAIR_WINDOW}, len(w)) + 1)) AS b FROM place),
+    pair AS (SELECT w[a] AS word, w[b] AS other FROM near UNION ALL SELECT w[b], w[a] FROM near),
+    n AS (SELECT word, other, count(*) AS n FROM pair GROUP BY word, other),
+    own AS (SELECT word, sum(n) AS own FROM n GROUP BY word)
+    SELECT n.word, n.other, n, round(ln(n * (SELECT sum(own) FROM own) / (a.own * b.own)), 6) AS pmi
+    FROM n JOIN own a ON a.word = n.word JOIN own b ON b.word = n.other
+    WHERE ln(n * (SELECT sum(own) FROM own) / (a.own * b.own)) > 0""",
+)
+def title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of page titles that stand near each other more often than by chance."""
+    pairs = cooccurrence.pair_counts(page_titles(spark, sf_dir), "title", PAIR_WINDOW)
+    return cooccurrence.positive_pmi(pairs).withColumn("pmi", F.round("pmi", 6))
