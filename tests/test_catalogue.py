@@ -41,6 +41,7 @@ LARGE_PATHS = [
     "cluster_keywords", "cluster_samples", "density_cluster", "knn_l2", "maxsim_label",
     "nearest_label", "weak_label_ensemble", "weak_label_full", "label_info_lookup", "dept_match",
     "taxonomy_rollup", "judge_candidates", "rare_class_filter", "label_encode", "eval_metrics",
+    "knn_index", "hierarchy_cluster", "judge_chain",
 ]
 
 
@@ -77,7 +78,8 @@ PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|MapIn\w+|FlatMapGroups\w*"
 PYTHON_IN = {
     "title_clean", "title_light_clean", "balanced_dataset", "maxsim_label", "nearest_label",
     "weak_label_ensemble", "weak_label_full", "weak_label_summary", "weak_label_text",
-    "judge_candidates", "eval_metrics", "fold_summary", "knn_l2", "src_csv_fallback",
+    "judge_candidates", "eval_metrics", "fold_summary", "knn_l2", "src_csv_fallback", "knn_index",
+    "train_folds", "student_folds", "balanced_folds",
 }
 
 
