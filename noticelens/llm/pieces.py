@@ -39,7 +39,7 @@ from noticelens.llm.common import Recent, kept, strings
 SPACE = "▁"
 # Bounds of a worker: remembered segments, characters indexed at once, segments of texts that
 # wait for their ids, and slots for remembered pairs.
-SEGMENTS, INDEXED, WAITING, SLOTS = 200_000, 400_000, 300_000, 1 << 20
+SEGMENTS, INDEXED, WAITING, SLOTS = 200_000, 800_000, 300_000, 1 << 20
 # More than any piece id or code point offset; makes one key of two of them.
 _CODES = 1 << 24
 
@@ -68,6 +68,12 @@ class Vocabulary:
             self.bytes_of[n] = bytes([byte])
         self.drops_first_space = proto.normalizer_spec.add_dummy_prefix
 
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of all pieces in a row, where those of each begin, and how many they are."""
+        length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        return np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8), np.cumsum(length) - length, length
+
     @cached_property
     def segment(self) -> re.Pattern:
         """Matches the segments that can be encoded on their own."""
@@ -198,7 +204,15 @@ class PieceIndex:
         for n in range(per):
             key |= padded[n : n + len(key)] << (bits * (per - 1 - n))
         keys = [key[n * per : n * per + len(text)] for n in range(columns)]
-        suffixes = np.lexsort(keys[::-1])
+        # Sorted by their first characters; where these are equal and all of one segment, by the
+        # rest as well. No piece reaches beyond a segment, so others may stand in any order.
+        suffixes = np.argsort(keys[0])
+        ends = np.append(np.flatnonzero(text == 0), len(text))
+        whole = ends[np.searchsorted(ends, suffixes)] - suffixes >= per
+        same = np.diff(keys[0][suffixes]) == 0
+        tied = np.flatnonzero((np.append(same, False) | np.append(False, same)) & whole)
+        some = suffixes[tied]
+        suffixes[tied] = some[np.lexsort([k[some] for k in keys[::-1]])]
         keys = [k[suffixes] for k in keys]
 
         at = np.searchsorted(alphabet, self.points)
@@ -210,13 +224,15 @@ class PieceIndex:
         low = np.zeros(len(usable), dtype=np.int64)
         high = np.full(len(usable), len(text))
         for n in range(columns):
-            part = wanted[:, n * per : (n + 1) * per]
+            # Pieces that end before these characters are found already.
+            on = np.flatnonzero((wanted[:, n * per] > 0) & (low < high))
+            part = wanted[on, n * per : (n + 1) * per]
             shifts = bits * np.arange(per - 1, -1, -1)
             least = (part << shifts).sum(axis=1)
             most = (np.where(part > 0, part, 2**bits - 1) << shifts).sum(axis=1)
-            low, high = (
-                _searched(keys[n], low, high, least, False),
-                _searched(keys[n], low, high, most, True),
+            low[on], high[on] = (
+                _searched(keys[n], low[on], high[on], least, False),
+                _searched(keys[n], low[on], high[on], most, True),
             )
         counts = high - low
         first = np.repeat(low - np.concatenate([[0], counts.cumsum()[:-1]]), counts)
@@ -387,7 +403,10 @@ def _decoded(words: Vocabulary, ids: np.ndarray) -> str:
     size = len(words.bytes_of)
     if len(ids) and not (ids.min() >= 0 and ids.max() < size):
         ids = ids[(ids >= 0) & (ids < size)]
-    data = b"".join(map(words.bytes_of.__getitem__, ids.tolist()))
+    flat, first, length = words.table
+    sizes = length[ids]
+    ends = np.cumsum(sizes)
+    data = flat[np.repeat(first[ids] - (ends - sizes), sizes) + np.arange(sizes.sum())].tobytes()
     if words.drops_first_space and data[:1] == b" ":
         data = data[1:]
     return data.decode("utf-8", "replace")
