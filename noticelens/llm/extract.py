@@ -69,6 +69,12 @@ BAD_NAMES = frozenset(
     "pagination popup promo promoted recommended related replies reply respond rail search share "
     "sharing sidebar signup social sponsor sponsored subscribe teaser toolbar widget".split()
 )
+# Those of the bad names that hardly ever stand around a page's own text.
+NEVER_NAMES = frozenset(
+    "ad ads adv advert advertisement advertising comment comments commentlist consent cookie cookies "
+    "copyright discussion disqus footer gdpr menu nav navbar navigation newsletter promo promoted rail "
+    "recommended related replies reply respond sidebar signup sponsor sponsored subscribe teaser".split()
+)
 HEAD_NAMES = frozenset("header masthead".split())
 # With one of these, a class tells of a state or layout of what is around.
 MODIFIERS = frozenset("fixed has hide layout no not show sticky with without".split())
@@ -190,7 +196,8 @@ class _Reader:
             wrapper = inner = 0
         elif named:
             # A second bad name inside counts as a wrapper only if nothing good came between.
-            wrapper, inner = (self.opened, own if own >= 2 else 0) if not above.inner else (0, 0)
+            number = -self.opened if said & NEVER_NAMES else self.opened
+            wrapper, inner = (number, own if own >= 2 else 0) if not above.inner else (0, 0)
         return _Place(tag, above.bad or other or named, region, wrapper, inner)
 
 
@@ -246,7 +253,9 @@ def unwrap(blocks: list[Block]) -> None:
     """Clears blocks whose container has a bad name but holds what the page is about.
 
     An article, main or content container inside it tells so on a page that has none outside
-    of bad containers; else only more than half of the page's text outside of links.
+    of bad containers; else only more than half of the page's text outside of links, if there
+    is no text beside it to be the page's own. Comments, cookie notices, teasers, adverts,
+    sidebars and menus (wrappers below 0) are cleared for neither reason beside such text.
     """
     size = [len(b.text) if b.links <= LINKS else 0 for b in blocks]
     inside: dict[int, int] = {}
@@ -256,9 +265,12 @@ def unwrap(blocks: list[Block]) -> None:
     if not inside:
         return
     elsewhere = max((b.region for b in blocks if not b.bad), default=0)
+    alone = sum(n for b, n in zip(blocks, size) if not b.bad) < SHORT
     for b in blocks:
-        if b.wrapper and (b.inner > elsewhere or (elsewhere < 2 and 2 * inside[b.wrapper] > sum(size))):
-            b.bad = False
+        if b.wrapper and (alone or b.wrapper > 0):
+            by_size = alone and elsewhere < 2 and 2 * inside[b.wrapper] > sum(size)
+            if b.inner > elsewhere or by_size:
+                b.bad = False
 
 
 def first_pass(block: Block, region: int) -> bool | None:

@@ -118,3 +118,22 @@ def test_small_regions_decide_nothing_outside():
 def test_bad_parts_stay_bad_beside_an_article():
     page = f"<article><p>{STORY}</p></article><div class='related'><article>{RUSSIAN}</article></div>"
     assert extract.main_text(page + f"<div class=comments><p>{STORY * 9}</p></div>") == STORY
+
+
+SENTENCE = "The old mill by the river was sold to the town in the spring of that year, and it is to be a museum. "
+
+
+@pytest.mark.parametrize("name", ["comments", "related", "cookie-consent", "sidebar", "ads", "newsletter", "discussion"])
+def test_what_stands_beside_a_short_post_is_never_the_post(name):
+    """However long it is, on a page without article or main."""
+    page = f'<body><div class="post"><p>{SENTENCE}</p></div><div class="{name}"><p>{SENTENCE * 3}</p><p>{SENTENCE * 4}</p></div></body>'
+    assert extract.main_text(page) == SENTENCE.strip()
+    nested = page.replace("<p>", "<article><p>").replace("</p>", "</p></article>").replace('post"><article>', 'post">', 1)
+    assert SENTENCE * 3 not in extract.main_text(nested)
+    alone = f'<body><p>{SENTENCE}</p><div class="{name}"><p>{SENTENCE * 5}</p></div></body>'
+    assert extract.main_text(alone) == SENTENCE.strip()
+
+
+def test_a_wrapper_around_everything_is_cleared():
+    page = f'<body><div class="widget overlay"><h1>Title</h1><p>{SENTENCE}</p><p>{SENTENCE}</p></div></body>'
+    assert extract.main_text(page) == "\n\n".join(["Title", SENTENCE.strip(), SENTENCE.strip()])
