@@ -103,7 +103,7 @@ def _products(left: DataFrame, axes: int, right: DataFrame | None = None) -> np.
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["m"])
 
     # Grouped, as a sum over nothing at all is refused.
-    parts = both.mapInArrow(run, "m array<double>").groupBy(F.lit(0))
+    parts = both.mapInArrow(run, "m array<double>").groupBy(F.lit("all"))
     found = parts.agg(Summarizer.sum(array_to_vector("m")).alias("m")).first()
     return np.zeros((axes, axes)) if found is None else found["m"].toArray().reshape(axes, axes)
 

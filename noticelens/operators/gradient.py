@@ -122,7 +122,7 @@ def sums_of(rows: DataFrame, objective: Objective, models: np.ndarray, weights:
     vector = Summarizer.sum(array_to_vector("sums"))
     groups = parts.groupBy(F.floor(F.col("task") / FAN_IN).alias("group")).agg(vector.alias("sums"))
     # Grouped, as a sum over nothing at all is refused.
-    found = groups.groupBy(F.lit(0)).agg(Summarizer.sum(F.col("sums")).alias("sums")).first()
+    found = groups.groupBy(F.lit("all")).agg(Summarizer.sum(F.col("sums")).alias("sums")).first()
     sent.unpersist()
     if found is None:
         return [Sums(0.0, 0.0, 0.0, 0.0, np.zeros(shape), np.zeros(shape)) for _ in range(count)]
