@@ -88,12 +88,13 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = shared_path(spark, "scored"), shared_path(spark, "stream")
     run = score_stream(
         spark,
-        sf_dir,
-        "vec_id bigint, embedding array<float>, label int",
+        # In braces, as a pattern may match a file or a folder of files; a plain path must be a folder.
+        f"{sf_dir}/{{embeddings.parquet}}",
+        i.table(spark, sf_dir, "embeddings").schema,
         lambda df: score_batch(requests(df), i.SCORED_LABELS),
         out,
         checkpoint,
-        files="embeddings.parquet",
+        files="*",
     )
     run.awaitTermination()
     return spark.read.parquet(out)

@@ -24,6 +24,7 @@ def score_stream(
 ) -> StreamingQuery:
     """Score every new file of a folder and append the results as Parquet.
 
+    ``in_dir`` may be a pattern of folders or files, whose files then have to match ``files``.
     Scoring is stateless, so there is no watermark and duplicate ids are scored
     again. The checkpoint makes a restart go on where the last run stopped.
     """

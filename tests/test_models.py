@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from noticelens.operators import encoders, train
 from noticelens.operators.score import score_batch
 from noticelens.operators.weaklabel import weak_label_texts
+from noticelens.plans import evaluation
 from noticelens.session import shared_path
 from noticelens.streaming.scoring import score_stream
 
@@ -132,3 +133,19 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     run()
     expected = score_batch(df.limit(12).unionAll(df.limit(5)), labels)
     assert sorted(spark.read.parquet(out).collect()) == sorted(expected.collect())
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_stream_query_reads_a_table_of_one_file_or_of_a_folder(spark, tmp_path, folder):
+    vectors = spark.createDataFrame(
+        [(n, [n / 64.0] * 64, n % 3) for n in range(30)], "vec_id bigint, embedding array<float>, label int"
+    )
+    table = tmp_path / "embeddings.parquet"
+    if folder:
+        vectors.repartition(3).write.parquet(str(table))
+    else:
+        vectors.coalesce(1).write.parquet(str(tmp_path / "other"))
+        (file,) = (tmp_path / "other").glob("*.parquet")
+        table.write_bytes(file.read_bytes())
+    got = evaluation.stream(spark, str(tmp_path)).collect()
+    assert sorted(got) == sorted(evaluation.batch(spark, str(tmp_path)).collect()) and len(got) == 30
