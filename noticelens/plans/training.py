@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticelens.operators import classes, evaluate
 from noticelens.operators.gradient import Descent, Fit, predict, train
@@ -241,25 +246,28 @@ def student_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUCKETS, BINARY_FOLDS = 64, 5
 
 
-def bucket_counts(rows: DataFrame, key: str, text: str, buckets: int = BUCKETS) -> DataFrame:
-    """(key, features): how many words of a text fall into each bucket by their md5.
-
-    Counted per text before the shuffle, so a text sends a row per bucket at most.
-    """
+def bucket_counts(rows: DataFrame, text: str, buckets: int = BUCKETS) -> DataFrame:
+    """The rows with ``features`` for their text: how many of its words fall into each bucket
+    by their md5. Counted where the row lies; only distinct words of a batch are hashed."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1))
-    bucket = F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("int") % buckets
-    counts = (
-        rows.select(F.col(key).alias("key"), F.explode_outer(words).alias("word"))
-        .groupBy("key", bucket.alias("bucket"))
-        .agg(F.count("word").alias("n"))
-    )
-    entries = F.collect_list(F.when(F.col("bucket").isNotNull(), F.struct("bucket", "n")))
-    cells = F.transform(
-        F.sequence(F.lit(0), F.lit(buckets - 1)),
-        lambda b: F.coalesce(F.try_element_at("by_bucket", b.cast("int")), F.lit(0)).cast("double"),
-    )
-    by_key = counts.groupBy("key").agg(F.map_from_entries(entries).alias("by_bucket"))
-    return by_key.select(F.col("key").alias(key), cells.alias("features"))
+    table = rows.withColumn("features", words)
+    names = table.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(batch.num_columns - 1)
+            distinct = found.flatten().dictionary_encode()
+            sums = [hashlib.md5(w.encode()).digest() for w in distinct.dictionary.to_pylist()]
+            of_word = np.array([int.from_bytes(s[:2]) % buckets for s in sums], dtype=np.int64)
+            sizes = found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            counts = np.bincount(row * buckets + of_word[distinct.indices.to_numpy()], minlength=batch.num_rows * buckets)
+            ends = pa.array(np.arange(0, counts.size + 1, buckets, dtype=np.int32))
+            cells = pa.ListArray.from_arrays(ends, pa.array(counts.astype(float)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], cells], names=names)
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("features", T.ArrayType(T.DoubleType()))])
+    return table.mapInArrow(run, schema)
 
 
 def fold_scales(rows: DataFrame, folds: int, cells: int) -> np.ndarray:
@@ -304,9 +312,9 @@ def fold_scales(rows: DataFrame, folds: int, cells: int) -> np.ndarray:
 )
 def balanced_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balanced set to binary classifier: every model's word weights come from its own rows."""
-    rows = written(balanced_dataset(spark, sf_dir).select("service_title", "label"), "balanced")
-    folded = classes.stratified_folds(rows, "service_title", "label", BINARY_FOLDS)
-    coded = written(folded.join(bucket_counts(rows, "service_title", "service_title"), "service_title"), "coded")
+    rows = balanced_dataset(spark, sf_dir).select("service_title", "label")
+    counted = written(bucket_counts(rows, "service_title"), "balanced")
+    coded = written(classes.stratified_folds(counted, "service_title", "label", BINARY_FOLDS), "coded")
     scales = fold_scales(coded, BINARY_FOLDS, BUCKETS)
     weights = class_weight_list(coded, 2)
     fit = train(

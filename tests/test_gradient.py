@@ -1,8 +1,12 @@
+import hashlib
+import re
+
 import numpy as np
 import pytest
 
 from noticelens.operators.gradient import AdamW, Descent, dropped_cells, predict, train
 from noticelens.operators.objectives import Objective, Sums, batch_sums, log_softmax, with_bias
+from noticelens.plans import training
 
 CLASSES, CELLS = 3, 4
 OBJECTIVES = [
@@ -140,3 +144,19 @@ def test_second_views_drop_the_share_asked_for(spark):
     views = df.filter("features is not null").select(dropped_cells("features", "id", 0.25).alias("v")).collect()
     cells = np.array([r.v for r in views])
     assert 0.15 < (cells == 0).mean() < 0.35
+
+
+def test_words_are_counted_by_bucket_where_their_row_lies(spark, capsys):
+    """No shuffle of words, and rows of one text stay apart."""
+    texts = ["Road road b the  공사_1", "", None, "x", "Road road b the  공사_1", "word " * 300]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(2)
+    coded = training.bucket_counts(rows, "text", 8)
+    coded.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    want = []
+    for n, text in enumerate(texts):
+        cells = [0.0] * 8
+        for word in re.findall(r"\w\w+", (text or "").lower()):
+            cells[int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % 8] += 1.0
+        want.append((n, text, cells))
+    assert [tuple(r) for r in coded.orderBy("id").collect()] == want
