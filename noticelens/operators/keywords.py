@@ -7,8 +7,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +19,8 @@ from noticelens.functions.text import word_tokens
 from noticelens.operators.ranking import seeded_order, top_n
 from noticelens.session import small_side, written
 
-# Words of a chunk of texts.
-CHUNK = 1_000_000
+# Words of a chunk of texts; bytes of the texts that a task counts, two chunks of common words.
+CHUNK, PART_BYTES = 1_000_000, 12 << 20
 
 
 def cluster_keywords(
@@ -32,26 +34,35 @@ def cluster_keywords(
 ) -> DataFrame:
     """Top terms per cluster by summed, length-normalised TF-IDF: (cluster, rank, term, score).
 
-    Every cluster is a corpus of its own. Texts are counted in chunks, each with a dictionary
-    of the terms of its clusters: a chunk's counts stay together as arrays, and only its
-    distinct terms travel, to be summed into the vocabulary and to fetch their weights. Norms
-    and sums are then made inside a chunk. Rows are told apart by their place, so ``key`` may
-    repeat or be null; rows without a cluster or text take no part. ``max_features`` keeps the
-    most used terms of each cluster only. Ranking uses the score rounded to 6 digits, ties
-    alphabetical.
+    Every cluster is a corpus of its own. Texts are put in order of their clusters, a large one
+    over many tasks, as few texts of many clusters share few terms. They are counted in chunks,
+    each with a dictionary of the terms of its clusters: a chunk's counts stay together as
+    arrays, and only its distinct terms travel, to be summed into the vocabulary and to fetch
+    their weights. Norms and sums are then made inside a chunk. ``key`` may repeat or be null,
+    as rows are told apart by their place; rows without a cluster or text take no part.
+    ``max_features`` keeps the most used terms of each cluster only. Ranking uses the score
+    rounded to 6 digits, ties alphabetical.
     """
     rows = df.filter(F.col(cluster).isNotNull() & F.col(text_col).isNotNull())
-    chunks = written(_chunks(rows, cluster, text_col, stop_words), "chunks", partition_by="kind")
-    terms = chunks.filter("kind = 'term'")
-    sizes = rows.groupBy(F.col(cluster).alias("c")).agg(F.count(F.lit(1)).alias("n_docs"))
-    used = terms.groupBy("c", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
-    if max_features is not None:
+    sizes = rows.groupBy(F.col(cluster).alias("c")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.octet_length(text_col)).alias("size")
+    )
+    sizes = written(sizes, "sizes")
+    parts = max(1, -(-(sizes.agg(F.sum("size")).first()[0] or 0) // PART_BYTES))
+    together = rows.repartitionByRange(parts, F.col(cluster), F.xxhash64(key, text_col))
+    chunks = written(_chunks(together, cluster, text_col, stop_words), "chunks", partition_by="kind")
+    # A term has a row per chunk here, however often it is used.
+    terms = chunks.filter("kind = 'term'").select("chunk", "c", "term", "number", "total", "df")
+    if max_features is None:
+        of_term = W.partitionBy("c", "term")
+        used = terms.select("chunk", "c", "term", "number", F.sum("df").over(of_term).alias("df"))
+    else:
+        vocabulary = terms.groupBy("c", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
         order = [F.desc("total"), F.asc("term")]
-        used = top_n(used, ["c"], order, max_features, F.col("term")).drop("rank")
+        vocabulary = top_n(vocabulary, ["c"], order, max_features, F.col("term")).select("c", "term", "df")
+        used = terms.select("chunk", "c", "term", "number").join(vocabulary, ["c", "term"])
     idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    vocabulary = used.join(small_side(sizes), "c").select("c", "term", idf.alias("idf"))
-    # A term has a row per chunk here, however often it is used.
-    weights = terms.select("chunk", "c", "term", "number").join(vocabulary, ["c", "term"])
+    weights = used.join(small_side(sizes.drop("size")), "c").select("chunk", "c", "term", "number", idf.alias("idf"))
     counts = chunks.filter("kind = 'counts'").select(F.col("chunk").alias("of"), "counts")
     schema = T.StructType([T.StructField("c", df.schema[cluster].dataType), *_SCORED])
     shares = counts.groupBy("of").cogroup(weights.groupBy("chunk")).applyInArrow(_shares, schema)
@@ -64,8 +75,8 @@ _SCORED = [T.StructField("term", T.StringType()), T.StructField("share", T.Doubl
 
 
 def _chunks(rows: DataFrame, cluster: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """Per chunk the terms of its clusters (``term``: number, total, df), and its counts as
-    arrays of row, term number and count (``counts``)."""
+    """Per chunk the terms of its clusters (``term``: number, total, df), and its counts, packed
+    (``counts``)."""
     kind = rows.schema[cluster].dataType
     fields = [
         ("kind", T.StringType()), ("chunk", T.LongType()), ("c", kind), ("term", T.StringType()), ("number", T.IntegerType()),
@@ -98,10 +109,10 @@ def _chunks(rows: DataFrame, cluster: str, text_col: str, stop_words: Sequence[s
                 if not len(found):
                     continue
                 total = np.bincount(number, weights=tf).astype(np.int64)
-                counts = np.concatenate([row, number, tf]).astype(np.int32).tobytes()
+                counts = _packed(row, number, tf)
                 types = dict(zip(names, _types(whole.column(0).type)))
                 cells = {
-                    "kind": pa.array(["term"] * len(found)),
+                    "kind": pa.repeat("term", len(found)),
                     "chunk": pa.array(np.full(len(found), chunk)),
                     "c": clusters.dictionary.take(pa.array(found // len(words.dictionary))),
                     "term": words.dictionary.take(pa.array(found % len(words.dictionary))),
@@ -123,12 +134,24 @@ def _types(kind: pa.DataType) -> list[pa.DataType]:
     return [pa.string(), pa.int64(), kind, pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
+def _packed(row: np.ndarray, number: np.ndarray, tf: np.ndarray) -> bytes:
+    """Rows, term numbers and counts. Rows and, in a row, numbers ascend, so their steps are
+    small; the bytes of one place lie together and compress well."""
+    cells = np.concatenate([np.diff(row, prepend=0), np.diff(number, prepend=0), tf]).astype("<i4")
+    return zstandard.ZstdCompressor(level=1).compress(cells.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    row, number, tf = np.ascontiguousarray(planes.T).view("<i4").reshape(3, -1)
+    return np.cumsum(row), np.cumsum(number), tf
+
+
 def _shares(key, counts: pa.Table, weights: pa.Table) -> pa.Table:
     """(c, term, share): sums of normalised weights over the rows of a chunk."""
     number = weights.column("number").to_numpy()
     # There is one row of counts; the terms of a chunk come from its counts.
-    data = np.frombuffer(counts.column("counts")[0].as_buffer(), dtype=np.int32)
-    row, term, tf = data.reshape(3, -1)
+    row, term, tf = _unpacked(counts.column("counts")[0].as_py())
     idf = np.zeros(int(max(term.max(initial=-1), number.max(initial=-1))) + 1)
     idf[number] = weights.column("idf").to_numpy()
     w = tf * idf[term]

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,31 @@ def test_cluster_keywords(docs, cap):
     assert rows == brute(cap)
 
 
+def test_chunks_hold_texts_of_few_clusters(spark, monkeypatch):
+    """Terms are counted together for a cluster, and a large cluster by several tasks."""
+    chunks, found = keywords._chunks, []
+    monkeypatch.setattr(keywords, "_chunks", lambda *a: found.append(chunks(*a)) or found[0])
+    monkeypatch.setattr(keywords, "PART_BYTES", 2_000)
+    rows = [(n, n % 10 if n % 2 else 0, f"same words of row n{n}") for n in range(1000)]
+    df = spark.createDataFrame(rows, "id bigint, cluster_id int, text string").repartition(4)
+    got = keywords.cluster_keywords(df, "cluster_id", "id", "text", n=3)
+    assert [r.term for r in got.filter("cluster_id = 3").orderBy("rank").collect()] == ["of", "row", "same"]
+    terms = found[0].filter("kind = 'term'").groupBy("chunk").agg(F.collect_set("c").alias("c")).collect()
+    assert sum(0 in r.c for r in terms) > 3
+    assert sum(len(r.c) for r in terms) < len(terms) + 8
+
+
+@pytest.mark.parametrize("size", [1, 1000])
+def test_counts_are_packed_without_loss(size):
+    rng = np.random.default_rng(size)
+    row = np.sort(rng.integers(0, 90_000, size))
+    number, tf = rng.integers(0, 400_000, size), rng.integers(1, 70_000, size)
+    data = keywords._packed(row, number, tf)
+    assert all((a == b).all() for a, b in zip(keywords._unpacked(data), (row, number, tf)))
+    if size > 1:
+        assert len(data) < 12 * size
+
+
 def test_rows_of_one_key_are_weighed_apart(spark, docs):
     """The key names no row: repeated and null keys change nothing."""
     same = docs.withColumn("id", F.when(F.col("id") % 2 == 0, F.lit(1)).cast("bigint"))
