@@ -41,7 +41,9 @@ from noticelens.session import lookup, small_side, written
 
 TILE = 4_096
 # Rows of a distance matrix at a time; tiles that an open octant asks in its first round.
-ROWS, FIRST = 512, 4
+ROWS, FIRST = 128, 4
+# Distances of spots from boxes at a time; a worker holds some twenty arrays of that size.
+GAPS = 250_000
 # Tiles along the side of a region's parent.
 SIDE = 8
 # Links below this distance count as that long in stabilities, where 0 would weigh endlessly.
@@ -307,7 +309,7 @@ def links(cored: DataFrame, boxes, smallest: int) -> DataFrame:
         """The next tiles of every open octant: all within reach, or the ``step`` nearest if
         nothing was found yet."""
         numbers, sides = sent.value
-        rows_at_once = max(1, 2_000_000 // len(numbers))
+        rows_at_once = max(1, GAPS // len(numbers))
         for whole in batches:
             for first in range(0, whole.num_rows, rows_at_once):
                 b = whole.slice(first, rows_at_once)

@@ -1,9 +1,11 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from noticelens.operators import hierarchy
 from noticelens.operators.hierarchy import SHORTEST, _octant, _octant_gap2, hierarchical_cluster
 
 
@@ -142,3 +144,20 @@ def test_octants_and_their_gaps():
                 assert gap[n] <= (gx[there] ** 2 + gy[there] ** 2).min() + 1e-12
     angles = np.radians(np.arange(0, 360, 15) + 1)
     assert _octant(np.cos(angles), np.sin(angles)).tolist() == [n // 3 for n in range(24)]
+
+
+def test_a_task_holds_few_distances_at_a_time():
+    """The arrays of a full tile, and of spots against very many boxes, stay small together."""
+
+    def peak_mb(run) -> float:
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak / 1e6
+
+    gaps = np.random.default_rng(1).normal(size=(hierarchy.ROWS, hierarchy.TILE))
+    assert peak_mb(lambda: hierarchy._octant(gaps, gaps[::-1])) < 40
+    spots, boxes = np.zeros(max(1, hierarchy.GAPS // 5_000)), np.zeros((4, 5_000))
+    octant = np.arange(len(spots)) % 8
+    assert peak_mb(lambda: hierarchy._octant_gap2(spots, spots, octant, boxes)) < 60
