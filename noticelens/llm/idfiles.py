@@ -33,22 +33,26 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from noticelens.llm.common import Recent, kept, stored, strings
+from noticelens.llm.common import kept, stored, strings
 from noticelens.session import lookup, shared_path
 
 SHARD_BYTES = 16 << 20
 BLOCK_IDS = 500_000
-# Bound of the parts whose ids a worker remembers, and of what is encoded in one call.
-SEGMENTS, CALL = 150_000, 10_000
+# Bounds of the words whose ids a worker remembers, of so many bytes in the mean, and of the
+# characters that are encoded together.
+SEGMENTS, KEY_BYTES, CALL = 600_000, 64, 4 << 20
 
 _MAGIC = b"FRQ1"
 _HEAD = "<4sQIIII"
@@ -83,18 +87,72 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return ranks
 
 
+def _grouped(texts: Iterable[str], chars: int) -> Iterator[list[str]]:
+    """The texts in lists, each closed as soon as it has ``chars`` characters."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text) + 1
+        if size >= chars:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _runs(values: np.ndarray, lengths: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Picked runs of those that lie one after the other in ``values``, and the length of each."""
+    n = lengths[picked]
+    offsets = (np.cumsum(lengths) - lengths)[picked] - (np.cumsum(n) - n)
+    return values[np.repeat(offsets, n) + np.arange(n.sum())], n
+
+
+def _values(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+class Remembered:
+    """Ids of keys, of the new ones by ``encode``; begun anew when it has grown too large."""
+
+    def __init__(self, encode: Callable[[Iterable[str]], Iterator[bytes]]):
+        self.encode = encode
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = pa.array([], pa.large_string())
+        self.ids, self.lengths = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def find(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of ids, their lengths, and the run of each of the distinct ``keys``."""
+        if self.keys.nbytes + self.ids.nbytes >= KEY_BYTES * SEGMENTS:
+            self.clear()
+        run = pc.index_in(keys, value_set=self.keys)
+        new = keys.filter(run.is_null())
+        run = _values(run.fill_null(-1)).astype(np.int64)
+        run[run < 0] = len(self.keys) + np.arange(len(new))
+        if len(new):
+            found = list(self.encode(_values(new).tolist()))
+            self.keys = pa.concat_arrays([self.keys, new])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), dtype=np.uint32)])
+            self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), np.int64, len(found)) // 4])
+        return self.ids, self.lengths, run
+
+
 class TextEncoder:
     """Ids of texts by a byte-level tokenizer, equal parts encoded once.
 
     Its pattern always cuts before a single space between two characters that are no white
-    space, so the parts between such spaces are encoded on their own and remembered. Parts
-    of printable ASCII and Latin letters are cut further by the same pattern here, and only
-    new words reach the tokenizer; other parts go through its own pattern.
+    space, so the parts between such spaces are encoded on their own. Arrow finds the distinct
+    ones among some megabytes of text. Those of printable ASCII and Latin letters are cut
+    further by the same pattern here, all in one go, and only new words reach the tokenizer's
+    model; other parts go through its own pattern. Ids of words are put together to those of
+    parts and texts as arrays.
     """
 
     _cut = re.compile(r"(?<=\S) (?=\S)")
     _wide = re.compile(r"\s\s")
-    _plain = re.compile(r"[\n!-~\u00c0-\u024f]+")
+    # Without a line feed at an end: in a row of parts it would stand beside the next space.
+    _plain = r"^[!-~\x{c0}-\x{24f}]([\n!-~\x{c0}-\x{24f}]*[!-~\x{c0}-\x{24f}])?\z"
     # Fixed value: the pattern of the tokenizer, for those characters.
     _words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
@@ -103,54 +161,84 @@ class TextEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.bare = Tokenizer.from_str(tokenizer_json)
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spaced, self.words, self.first = Recent(), Recent(), Recent()
-
-    def _parts(self, text: str) -> list[str]:
-        if text[:1].isspace() or text[-1:].isspace() or self._wide.search(text):
-            return self._cut.split(text)
-        return text.split(" ")
-
-    @staticmethod
-    def _ids(tokenizer, texts: list[str]) -> Iterator[bytes]:
-        for n in range(0, len(texts), CALL):
-            for found in tokenizer.encode_batch_fast(texts[n : n + CALL], add_special_tokens=False):
+        self.model = self.tokenizer.model
+        bare = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = map(chr, [*b"\n ", *range(0x21, 0x7F), *range(0xC0, 0x250)])
+        self.letters = {ord(c): bare.pre_tokenize_str(c)[0][0] for c in plain}
+        self.words, self.odd = Remembered(self._by_model), Remembered(self._by_library)
+
+    def _by_model(self, words: list[str]) -> Iterator[bytes]:
+        for word in "\0".join(words).translate(self.letters).split("\0"):
+            yield array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
+
+    def _by_library(self, parts: list[str]) -> Iterator[bytes]:
+        for some in _grouped(parts, CALL // 32):
+            for found in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
                 yield array("I", found.ids).tobytes()
 
-    def _learn(self, known: Recent, new: set[str], before: str) -> None:
-        """Remember the ids of new parts, each with ``before`` in front of it."""
-        plain, odd = [], []
-        for part in new:
-            special = "<|" in part or not self._plain.fullmatch(part)
-            (odd if special else plain).append(part)
-        cut = [self._words.findall(before + part) for part in plain]
-        words = list(self.words.unknown(word for part in cut for word in part))
-        self.words.update(zip(words, self._ids(self.bare, words)))
-        for part, found in zip(plain, cut):
-            known[part] = b"".join(map(self.words.__getitem__, found))
-        known.update(zip(odd, self._ids(self.tokenizer, [before + part for part in odd])))
+    def _spacious(self, text: str) -> bool:
+        return text[:1].isspace() or text[-1:].isspace() or self._wide.search(text) is not None
+
+    def _parts(self, texts: list[str], spacious: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Parts of the texts and how many each has, first those of texts that are not spacious."""
+        even = pa.array(compress(texts, ~spacious), pa.large_string())
+        cut = [self._cut.split(text) for text in compress(texts, spacious)]
+        found = pc.split_pattern(even, " ")
+        counts = [_values(pc.list_value_length(found)), np.fromiter(map(len, cut), np.int64, len(cut))]
+        parts = [found.flatten(), pa.array(chain.from_iterable(cut), pa.large_string())]
+        return pa.concat_arrays(parts), np.concatenate(counts)
+
+    def _part_ids(self, spaced: pa.Array, heads: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of ids, their lengths, and the run of each part: ``spaced`` ones, which have a
+        space in front, then ``heads``."""
+        plain = [
+            pc.and_not(pc.match_substring_regex(parts, self._plain), pc.match_substring(parts, "<|"))
+            for parts in (spaced, heads)
+        ]
+        row = spaced.filter(plain[0])
+        row = pc.binary_join(pa.ListArray.from_arrays([0, len(row)], row), pa.scalar(" ", row.type))[0].as_py()
+        words = self._words.findall(" " + row) if row else []
+        cut = [self._words.findall(head) for head in _values(heads.filter(plain[1]))]
+        coded = pa.array(chain(words, *cut), pa.large_string()).dictionary_encode()
+        codes = _values(coded.indices)
+        ids, lengths, run = self.words.find(coded.dictionary)
+        ids, n = _runs(ids, lengths, run[codes])
+        # A plain part has no space, so that in a row of them each space begins a part.
+        begins = _values(pc.starts_with(coded.dictionary, " "))[codes[: len(words)]]
+        begins = np.concatenate([np.flatnonzero(begins), len(words) + np.cumsum([0, *map(len, cut)])])
+        lengths = np.diff(np.concatenate([[0], np.cumsum(n)])[begins])
+        odd = [" " + part for part in _values(spaced.filter(pc.invert(plain[0])))]
+        odd += _values(heads.filter(pc.invert(plain[1]))).tolist()
+        coded = pa.array(odd, pa.large_string()).dictionary_encode()
+        more, n, found = self.odd.find(coded.dictionary)
+        plain = np.concatenate([_values(flags) for flags in plain])
+        run = np.cumsum(plain) - 1
+        run[~plain] = len(lengths) + found[_values(coded.indices)]
+        return np.concatenate([ids, more]), np.concatenate([lengths, n]), run
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        spacious = np.fromiter(map(self._spacious, texts), bool, len(texts))
+        parts, counts = self._parts(texts, spacious)
+        coded = parts.dictionary_encode()
+        codes, ends = _values(coded.indices), np.cumsum(counts)
+        later = np.ones(len(codes), dtype=bool)
+        later[ends - counts] = False
+        # A part at the start of a text has no space in front, which makes other ids.
+        used = np.zeros((2, len(coded.dictionary)), dtype=bool)
+        used[0, codes[later]] = used[1, codes[~later]] = True
+        ids, lengths, run = self._part_ids(*(coded.dictionary.filter(pa.array(which)) for which in used))
+        place = np.cumsum(used.reshape(-1)) - 1
+        ids, n = _runs(ids, lengths, run[place[np.where(later, codes, codes + used.shape[1])]])
+        ends = np.cumsum(n)[ends - 1]
+        bounds = np.empty((len(texts), 2), dtype=np.int64)
+        bounds[np.argsort(spacious, kind="stable")] = np.stack([np.concatenate([[0], ends[:-1]]), ends], axis=1)
+        for first, end in bounds.tolist():
+            yield ids[first:end].tobytes()
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text as 32-bit integers."""
-        waiting, heads, new = [], set(), set()
-        for text in texts:
-            parts = self._parts(text)
-            waiting.append(parts)
-            heads.update(self.first.unknown(parts[:1]))
-            new.update(self.spaced.unknown(parts[1:]))
-            if len(new) >= CALL or len(waiting) >= 1_000:
-                yield from self._answers(waiting, heads, new)
-                waiting, heads, new = [], set(), set()
-        yield from self._answers(waiting, heads, new)
-
-    def _answers(self, waiting: list[list[str]], heads: set[str], new: set[str]) -> Iterator[bytes]:
-        self._learn(self.first, heads, "")
-        self._learn(self.spaced, new, " ")
-        for parts in waiting:
-            yield self.first[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))
-        for known in (self.first, self.spaced, self.words):
-            known.turn(SEGMENTS)
+        for some in _grouped(texts, CALL):
+            yield from self._encoded(some)
 
 
 def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -192,16 +280,22 @@ def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, t
                 schema=arrow,
             )
 
-        for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(strings(batch.column(1)))):
-                keys.append(key)
-                counts.append(len(ids) // 4 + 1)
-                data.append(ids + end)
-                size += counts[-1]
-                if size >= BLOCK_IDS:
-                    yield packed()
-                    block, first, size = block + 1, first + size, 0
-                    keys, counts, data = [], [], []
+        waiting = deque()
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                waiting.extend(batch.column(0).to_pylist())
+                yield from strings(batch.column(1))
+
+        for ids in encoder.encode(texts()):
+            keys.append(waiting.popleft())
+            counts.append(len(ids) // 4 + 1)
+            data.append(ids + end)
+            size += counts[-1]
+            if size >= BLOCK_IDS:
+                yield packed()
+                block, first, size = block + 1, first + size, 0
+                keys, counts, data = [], [], []
         if keys:
             yield packed()
 

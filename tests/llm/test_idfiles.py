@@ -1,4 +1,5 @@
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -42,6 +43,41 @@ def test_ids_equal_the_library(source, monkeypatch):
     assert [np.frombuffer(g, dtype=np.uint32).tolist() for g in got] == want
 
 
+def test_ids_of_mixed_texts_in_their_order(source, monkeypatch):
+    rng = random.Random(7)
+    parts = ["a", "b\nc", "\nd", "e\n", "'s", "it's", "<|x", "<|endoftext|>", "Ж", "é×", "12ab", "-", "\n", "x" * 200]
+    texts = [rng.choice(["", " ", "\n", "  "]) + rng.choice([" ", "  ", " \n", "\n "]).join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(2000)]
+    texts += [" ".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(2000)]
+    rng.shuffle(texts)
+    want = [e.ids for e in Tokenizer.from_str(source).encode_batch(texts, add_special_tokens=False)]
+    for call in (idfiles.CALL, 500):
+        monkeypatch.setattr(idfiles, "CALL", call)
+        got = idfiles.TextEncoder(source).encode(texts)
+        assert [np.frombuffer(g, dtype=np.uint32).tolist() for g in got] == want
+
+
+def test_python_is_called_for_new_words_only(source):
+    """Neither for each part between spaces nor for each distinct one of them."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopé", k=6)) for _ in range(200)]
+    parts = list({f"{rng.choice(words)}-{rng.choice(words)}" for _ in range(30_000)})
+    texts = [" ".join(rng.sample(parts, 500)) for _ in range(200)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    encoder = idfiles.TextEncoder(source)
+    sys.setprofile(count)
+    try:
+        found = list(encoder.encode(texts))
+    finally:
+        sys.setprofile(None)
+    assert len(found) == 200 and len(parts) > 15_000
+    assert calls < 0.5 * len(parts)
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])
 def test_coding_round_trip(n):
     rng = np.random.default_rng(n)
