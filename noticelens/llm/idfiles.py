@@ -35,7 +35,7 @@ import zlib
 from array import array
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, compress
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,66 +45,80 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from noticelens.llm.common import kept, stored, strings
+from noticelens.llm.common import kept, stored
 from noticelens.session import lookup, shared_path
 
 SHARD_BYTES = 16 << 20
 BLOCK_IDS = 500_000
 # Bounds of the words whose ids a worker remembers, of so many bytes in the mean, and of the
-# characters that are encoded together.
-SEGMENTS, KEY_BYTES, CALL = 600_000, 64, 4 << 20
+# bytes of text that are encoded together.
+SEGMENTS, KEY_BYTES, CALL = 800_000, 64, 6 << 20
 
 _MAGIC = b"FRQ1"
 _HEAD = "<4sQIIII"
 # Bytes of the four ranks of each control byte.
-_LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+_LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ranks below 2**32."""
-    ranks = ranks.astype(np.int64)
-    length = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    ranks = ranks.astype(np.uint32)
+    length = np.ones(len(ranks), dtype=np.uint8)
+    most = int(ranks.max(initial=0))
+    for bound in (0xFF, 0xFFFF, 0xFFFFFF):
+        if most > bound:
+            length += ranks > bound
     codes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
     codes[: len(ranks)] = length - 1
     control = np.bitwise_or.reduce(codes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8), axis=1)
-    first = np.cumsum(length) - length
-    data = np.zeros(int(length.sum()), dtype=np.uint8)
-    for byte in range(4):
-        has = length > byte
-        data[first[has] + byte] = ranks[has] >> (8 * byte) & 0xFF
+    ends = np.cumsum(length, dtype=np.int64)
+    data = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
+    first = ends - length
+    data[first] = ranks.astype(np.uint8)
+    for byte in range(1, int(length.max(initial=0))):
+        has = np.flatnonzero(length > byte)
+        data[first[has] + byte] = (ranks[has] >> (8 * byte)).astype(np.uint8)
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The ranks of control and data bytes."""
     length = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:count]
-    first = np.cumsum(length) - length
-    values = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
-    ranks = np.zeros(count, dtype=np.int64)
-    for byte in range(int(length.max(initial=0))):
-        has = length > byte
-        ranks[has] |= values[first[has] + byte] << (8 * byte)
+    first = np.cumsum(length, dtype=np.int64) - length
+    values = np.frombuffer(data, dtype=np.uint8)
+    ranks = values[first].astype(np.int64)
+    for byte in range(1, int(length.max(initial=0))):
+        has = np.flatnonzero(length > byte)
+        ranks[has] |= values[first[has] + byte].astype(np.int64) << (8 * byte)
     return ranks
 
 
-def _grouped(texts: Iterable[str], chars: int) -> Iterator[list[str]]:
-    """The texts in lists, each closed as soon as it has ``chars`` characters."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text) + 1
-        if size >= chars:
-            yield group
-            group, size = [], 0
+def _grouped(texts: Iterable[pa.Array], size: int) -> Iterator[pa.Array]:
+    """The texts in arrays, each closed as soon as it has ``size`` bytes; null is empty."""
+    group, held = [], 0
+    for column in texts:
+        column = column.cast(pa.large_string()).fill_null("")
+        # One more a text, so that empty texts do not gather without end.
+        ends, first = np.cumsum(_values(pc.binary_length(column)) + 1), 0
+        while first < len(column):
+            before = int(ends[first - 1]) if first else 0
+            end = int(np.searchsorted(ends, before + size - held)) + 1
+            group.append(column.slice(first, end - first))
+            held += int(ends[min(end, len(column)) - 1]) - before
+            first = end
+            if held >= size:
+                yield pa.concat_arrays(group)
+                group, held = [], 0
     if group:
-        yield group
+        yield pa.concat_arrays(group)
 
 
 def _runs(values: np.ndarray, lengths: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Picked runs of those that lie one after the other in ``values``, and the length of each."""
     n = lengths[picked]
-    offsets = (np.cumsum(lengths) - lengths)[picked] - (np.cumsum(n) - n)
-    return values[np.repeat(offsets, n) + np.arange(n.sum())], n
+    index = np.repeat((np.cumsum(lengths) - lengths)[picked] - (np.cumsum(n) - n), n)
+    index += np.arange(len(index))
+    return values[index], n
 
 
 def _values(column: pa.Array) -> np.ndarray:
@@ -150,7 +164,9 @@ class TextEncoder:
     """
 
     _cut = re.compile(r"(?<=\S) (?=\S)")
-    _wide = re.compile(r"\s\s")
+    # White space at an end or beside another; the characters are those of \s in a str pattern.
+    _white = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    _wide = rf"^{_white}|{_white}\z|{_white}{{2}}"
     # Without a line feed at an end: in a row of parts it would stand beside the next space.
     _plain = r"^[!-~\x{c0}-\x{24f}]([\n!-~\x{c0}-\x{24f}]*[!-~\x{c0}-\x{24f}])?\z"
     # Fixed value: the pattern of the tokenizer, for those characters.
@@ -172,21 +188,19 @@ class TextEncoder:
             yield array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
 
     def _by_library(self, parts: list[str]) -> Iterator[bytes]:
-        for some in _grouped(parts, CALL // 32):
-            for found in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+        for some in _grouped([pa.array(parts, pa.large_string())], CALL // 32):
+            for found in self.tokenizer.encode_batch_fast(_values(some).tolist(), add_special_tokens=False):
                 yield array("I", found.ids).tobytes()
 
-    def _spacious(self, text: str) -> bool:
-        return text[:1].isspace() or text[-1:].isspace() or self._wide.search(text) is not None
-
-    def _parts(self, texts: list[str], spacious: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-        """Parts of the texts and how many each has, first those of texts that are not spacious."""
-        even = pa.array(compress(texts, ~spacious), pa.large_string())
-        cut = [self._cut.split(text) for text in compress(texts, spacious)]
-        found = pc.split_pattern(even, " ")
-        counts = [_values(pc.list_value_length(found)), np.fromiter(map(len, cut), np.int64, len(cut))]
-        parts = [found.flatten(), pa.array(chain.from_iterable(cut), pa.large_string())]
-        return pa.concat_arrays(parts), np.concatenate(counts)
+    def _parts(self, texts: pa.Array, wide: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Parts of the texts and how many each has, first those of texts that are not ``wide``."""
+        found = pc.split_pattern(texts.filter(pc.invert(wide)), " ")
+        parts, counts = found.flatten(), _values(pc.list_value_length(found))
+        cut = [self._cut.split(text) for text in _values(texts.filter(wide))]
+        if not cut:
+            return parts, counts
+        parts = pa.concat_arrays([parts, pa.array(chain.from_iterable(cut), pa.large_string())])
+        return parts, np.concatenate([counts, np.fromiter(map(len, cut), np.int64, len(cut))])
 
     def _part_ids(self, spaced: pa.Array, heads: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of ids, their lengths, and the run of each part: ``spaced`` ones, which have a
@@ -199,7 +213,7 @@ class TextEncoder:
         row = pc.binary_join(pa.ListArray.from_arrays([0, len(row)], row), pa.scalar(" ", row.type))[0].as_py()
         words = self._words.findall(" " + row) if row else []
         cut = [self._words.findall(head) for head in _values(heads.filter(plain[1]))]
-        coded = pa.array(chain(words, *cut), pa.large_string()).dictionary_encode()
+        coded = pa.array([*words, *chain.from_iterable(cut)], pa.large_string()).dictionary_encode()
         codes = _values(coded.indices)
         ids, lengths, run = self.words.find(coded.dictionary)
         ids, n = _runs(ids, lengths, run[codes])
@@ -216,9 +230,9 @@ class TextEncoder:
         run[~plain] = len(lengths) + found[_values(coded.indices)]
         return np.concatenate([ids, more]), np.concatenate([lengths, n]), run
 
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        spacious = np.fromiter(map(self._spacious, texts), bool, len(texts))
-        parts, counts = self._parts(texts, spacious)
+    def _encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        wide = pc.match_substring_regex(texts, self._wide)
+        parts, counts = self._parts(texts, wide)
         coded = parts.dictionary_encode()
         codes, ends = _values(coded.indices), np.cumsum(counts)
         later = np.ones(len(codes), dtype=bool)
@@ -231,13 +245,18 @@ class TextEncoder:
         ids, n = _runs(ids, lengths, run[place[np.where(later, codes, codes + used.shape[1])]])
         ends = np.cumsum(n)[ends - 1]
         bounds = np.empty((len(texts), 2), dtype=np.int64)
-        bounds[np.argsort(spacious, kind="stable")] = np.stack([np.concatenate([[0], ends[:-1]]), ends], axis=1)
+        bounds[np.argsort(_values(wide), kind="stable")] = np.stack([np.concatenate([[0], ends[:-1]]), ends], axis=1)
         for first, end in bounds.tolist():
             yield ids[first:end].tobytes()
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text as 32-bit integers."""
-        for some in _grouped(texts, CALL):
+        texts = iter(texts)
+        return self.encode_columns(pa.array(some, pa.large_string()) for some in iter(lambda: list(islice(texts, 256)), []))
+
+    def encode_columns(self, columns: Iterable[pa.Array]) -> Iterator[bytes]:
+        """Ids of each text of some Arrow columns, as 32-bit integers; null is empty."""
+        for some in _grouped(columns, CALL):
             yield from self._encoded(some)
 
 
@@ -282,12 +301,12 @@ def _tokenized(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, t
 
         waiting = deque()
 
-        def texts() -> Iterator[str]:
+        def texts() -> Iterator[pa.Array]:
             for batch in batches:
                 waiting.extend(batch.column(0).to_pylist())
-                yield from strings(batch.column(1))
+                yield batch.column(1)
 
-        for ids in encoder.encode(texts()):
+        for ids in encoder.encode_columns(texts()):
             keys.append(waiting.popleft())
             counts.append(len(ids) // 4 + 1)
             data.append(ids + end)
