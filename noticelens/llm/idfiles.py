@@ -52,7 +52,7 @@ SHARD_BYTES = 16 << 20
 BLOCK_IDS = 500_000
 # Bounds of the words whose ids a worker remembers, of so many bytes in the mean, and of the
 # bytes of text that are encoded together.
-SEGMENTS, KEY_BYTES, CALL = 800_000, 64, 6 << 20
+SEGMENTS, KEY_BYTES, CALL = 800_000, 64, 4 << 20
 
 _MAGIC = b"FRQ1"
 _HEAD = "<4sQIIII"
@@ -70,7 +70,7 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
             length += ranks > bound
     codes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
     codes[: len(ranks)] = length - 1
-    control = np.bitwise_or.reduce(codes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8), axis=1)
+    control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
     ends = np.cumsum(length, dtype=np.int64)
     data = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
     first = ends - length
@@ -78,7 +78,7 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     for byte in range(1, int(length.max(initial=0))):
         has = np.flatnonzero(length > byte)
         data[first[has] + byte] = (ranks[has] >> (8 * byte)).astype(np.uint8)
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
