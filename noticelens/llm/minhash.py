@@ -9,9 +9,10 @@
    members of that class, and only the best estimate is tried.
 3. Last, every remaining candidate pair of different classes is settled. In a bucket of up
    to ``FEW`` nodes all of them are built. In a larger one shingles fall into core ones,
-   which more than ``FEW`` nodes of such buckets have, and rare ones. Either two nodes have
-   enough core shingles to be linked by these alone, or they share a rare one, which is
-   found by an index of rare shingles; any other pair cannot be linked and is not built.
+   which more than ``FEW`` nodes of such buckets have, and rare ones. Two nodes that share a
+   rare one are found by an index of rare shingles. Of any other pair all common shingles
+   are core ones. These are counted inside tiles of bounded size, and only links that join
+   two classes come out of a tile.
 
 A candidate pair is dropped unconfirmed only if bounds rule it out, of the sizes and of a
 bitmap of the shingles (common shingles are common bits, but for those that share a bit
@@ -56,6 +57,8 @@ PART = 2_000
 FEW = 64
 # Longs of the bitmap of a node's shingles.
 MARKS = 32
+# Nodes that ask in a tile, nodes that are asked, core shingles of either; pairs compared at once.
+GUESTS, ASKED, CORES, CELLS = 8_192, 16_384, 4_000_000, 1 << 17
 
 _LANES = KEPT * BITS // 64
 
@@ -374,8 +377,9 @@ def _linked(docs, nodes, width, percent, id_col, text_col) -> DataFrame:
         at = _at_mains(shared, linked)
 
     marked = stored(at.join(facts, "node"), "marked")
-    pairs = _of_small(marked, percent).unionByName(_of_large(marked, sets, percent)).distinct()
-    rest = stored(_confirmed(pairs, sets, percent), "links")
+    pairs, by_core = _of_large(marked, sets, percent)
+    pairs = _of_small(marked, percent).unionByName(pairs).distinct()
+    rest = stored(_confirmed(pairs, sets, percent).unionByName(by_core), "links")
     if not rest.isEmpty():
         linked = stored(components(links.unionByName(rest)), "linked")
     return linked
@@ -447,11 +451,13 @@ def _of_small(marked: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("g.node", "h.node").alias("a"), F.greatest("g.node", "h.node").alias("b"))
 
 
-def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different classes in large buckets that bounds leave possible."""
+def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of different classes in large buckets: pairs (a, b) that share a rare shingle and that
+    bounds leave possible, and links (a, b) by core shingles alone."""
     large = marked.filter("large")
     if large.isEmpty():
-        return marked.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+        none = marked.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+        return none, none
     nodes = (
         large.groupBy("node")
         .agg(
@@ -477,10 +483,9 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     places = sets.join(told, "node", "left_semi").select("node", "full")
     places = stored(places.mapInArrow(run, "s long, node long"), "places")
     owners = places.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
-    owners = stored(owners.filter(F.col("df") <= FEW), "owners")
-    rare = stored(
-        attached(places, owners.filter("df > 1").select("s", "df"), ["s"], spread=["node"]), "rare"
-    )
+    owners = stored(owners, "owners")
+    few = owners.filter(F.col("df").between(2, FEW)).select("s", "df")
+    rare = stored(attached(places, few, ["s"], spread=["node"]), "rare")
     own = owners.filter("df = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     shared = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"))
     zero = F.lit(0).cast("long")
@@ -492,18 +497,9 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "judged",
     )
     judged = _side(nodes)
-    rows = large.join(judged.select("node", "core"), "node")
-    both = F.least("g.core", "h.core")
-    by_core = (
-        rows.filter("component != main")
-        .alias("g")
-        .join(
-            rows.alias("h"),
-            _apart(percent)
-            & (100 * both >= percent * (F.col("g.n") + F.col("h.n") - both)),
-        )
-        .select(F.col("g.node").alias("a"), F.col("h.node").alias("b"))
-    )
+    many = owners.filter(F.col("df") > FEW).select("s")
+    cores = attached(places, many, ["s"], spread=["node"]).groupBy("node").agg(F.collect_list("s").alias("cores"))
+    by_core = _by_core(large, nodes, cores, percent)
     # So many rare shingles a partner shares at least; all but so many need no lookup.
     needed = F.greatest(F.ceil(percent * F.col("n") / 100) - F.col("core"), F.lit(1))
     asked = judged.filter("outside").withColumn("looked", F.col("rare") - needed + 1)
@@ -526,7 +522,158 @@ def _of_large(marked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .filter((F.col("g.component") != F.col("h.component")) & _possible("g", "h", percent))
         .select("a", "b")
     )
-    return by_core.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(by_rare)
+    return by_rare, by_core
+
+
+_TILE = ["main", "unit", "of_g", "of_h"]
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows (*_TILE, asks, node, component) of a stored table (key, main, node, component, core):
+    every node outside its bucket's largest class, asking, meets each node of the bucket once.
+
+    The buckets of one largest class are taken as one if that asks for no more pairs than
+    they do apart.
+    """
+    outside = F.col("component") != F.col("main")
+    measures = [
+        F.count(F.lit(1)).alias("size"),
+        F.sum("core").alias("weight"),
+        F.count(F.when(outside, True)).alias("guests"),
+        F.coalesce(F.sum(F.when(outside, F.col("core"))), F.lit(0)).alias("guests_weight"),
+    ]
+    apart = rows.groupBy("main", "key").agg(*measures).groupBy("main")
+    apart = apart.agg(F.sum(F.col("guests") * F.col("size")).alias("pairs"))
+    as_one = rows.dropDuplicates(["main", "node"]).groupBy("main").agg(*measures).join(apart, "main")
+    as_one = as_one.filter(F.col("guests") * F.col("size") <= F.col("pairs")).select("main", F.lit(True).alias("one"))
+    rows = attached(rows, as_one, ["main"], "left", spread=["node"])
+    # A class's buckets are taken either all as one or all apart, so 0 stands for no bucket.
+    rows = rows.withColumn("unit", F.when(F.col("one"), F.lit(0).cast("long")).otherwise(F.col("key")))
+    rows = stored(rows.dropDuplicates(["main", "unit", "node"]).drop("key", "one"), "able")
+
+    def chunks(n: str, most: int, weight: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / most), F.ceil(F.col(weight) / CORES))
+
+    units = rows.groupBy("main", "unit").agg(*measures).filter("guests > 0")
+    units = units.select(
+        "main", "unit", chunks("guests", GUESTS, "guests_weight").alias("g"), chunks("size", ASKED, "weight").alias("h")
+    )
+    rows = attached(rows, units, ["main", "unit"], spread=["node"])
+    some_g, some_h = (F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)) for c in "gh")
+    all_g, all_h = (F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)) for c in "gh")
+    same = ["main", "unit", "node", "component"]
+    asking = rows.filter(outside).select(*same, F.lit(True).alias("asks"), some_g.alias("of_g"), all_h.alias("of_h"))
+    asked = rows.select(*same, F.lit(False).alias("asks"), all_g.alias("of_g"), some_h.alias("of_h"))
+    return asking.unionByName(asked).select(*_TILE, "asks", "node", "component")
+
+
+def _by_core(large: DataFrame, nodes: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of nodes outside a large bucket's largest class, by common core shingles.
+
+    ``nodes`` is stored; ``cores`` has the core shingles of every node.
+    """
+    # No more shingles are common than core ones, and the union has at least n.
+    able = nodes.filter(100 * F.col("core") >= percent * F.col("n")).select("node", "core")
+    rows = large.select("key", "main", "node", "component")
+    rows = stored(attached(rows, able, ["node"], spread=["key"]), "able")
+    facts = nodes.select("node", "n", "bits").join(cores, "node")
+    rows = _tiles(rows).join(facts, "node").select(*_TILE, "asks", "node", "component", "n", "bits", "cores")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, *_TILE).sortWithinPartitions(*_TILE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([batch.column(n).to_numpy() for n in range(len(_TILE))])
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if held and tuple(keys[first]) != key:
+                    yield _tile_links(pa.Table.from_batches(held), percent)
+                    held = []
+                key = tuple(keys[first])
+                held.append(batch.slice(first, last - first))
+        if held:
+            yield _tile_links(pa.Table.from_batches(held), percent)
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and where each list begins, with the end."""
+    lists = column.combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    offsets = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _tile_links(tile: pa.Table, percent: int) -> pa.RecordBatch:
+    """Links (a, b) by which the asking nodes of a tile join classes; of several that join
+    the same ones the first stays."""
+    main = tile["main"][0].as_py()
+    asks = tile["asks"].to_numpy()
+    node, component, n = (tile[c].to_numpy() for c in ("node", "component", "n"))
+    bits = _lists(tile["bits"])[0].view(np.uint64).reshape(-1, _LANES)
+    values, starts = _lists(tile["cores"])
+    distinct, ids = np.unique(values, return_inverse=True)
+    core = np.diff(starts)
+    chance = 1 / 2**BITS
+    most = KEPT * (1 - chance) * (1 - _floor(percent))
+    g, h = np.flatnonzero(asks), np.flatnonzero(~asks)
+    has = np.zeros(len(distinct), dtype=bool)
+    root: dict[int, int] = {}
+    out: list[tuple[int, int]] = []
+
+    def find(x: int) -> int:
+        while x in root:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    def possible(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = some[:, None]
+        both = np.minimum(core[x], core[h])
+        fits = 100 * both >= percent * (n[x] + n[h] - both)
+        fits &= component[x] != component[h]
+        # Of two nodes outside the largest class, only the smaller one asks.
+        fits &= (component[h] == main) | (node[x] < node[h])
+        x, y = np.nonzero(fits)
+        x, y = some[x], h[y]
+        apart = bits[x] ^ bits[y]
+        apart |= apart >> np.uint64(1)
+        apart |= apart >> np.uint64(2)
+        apart = np.bitwise_count(apart & np.uint64(0x1111111111111111)).sum(axis=1)
+        return x[apart <= most], y[apart <= most]
+
+    def linked(x: int, others: np.ndarray) -> np.ndarray:
+        has[ids[starts[x] : starts[x + 1]]] = True
+        size = core[others]
+        ends = size.cumsum()
+        places = np.arange(ends[-1]) + np.repeat(starts[others] - (ends - size), size)
+        both = np.add.reduceat(has[ids[places]], ends - size, dtype=np.int64)
+        has[ids[starts[x] : starts[x + 1]]] = False
+        return others[100 * both >= percent * (n[x] + n[others] - both)]
+
+    step = max(1, CELLS // max(1, len(h)))
+    for first in range(0, len(g), step):
+        x, y = possible(g[first : first + step])
+        cuts = np.flatnonzero(np.diff(x)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(x)]):
+            # Long sets are counted a few at a time.
+            while low < high:
+                end = low + max(1, int(np.searchsorted(core[y[low:high]].cumsum(), CORES // 4)))
+                end = min(end, high)
+                found = linked(x[low], y[low:end])
+                _, firsts = np.unique(component[found], return_index=True)
+                for other in found[firsts].tolist():
+                    a, b = find(int(component[x[low]])), find(int(component[other]))
+                    if a != b:
+                        root[a] = b
+                        out.append((int(node[x[low]]), int(node[other])))
+                low = end
+    a, b = (pa.array([pair[k] for pair in out], pa.int64()) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
 
 def one_of_each(
