@@ -343,7 +343,8 @@ def variants(words: DataFrame, ratio: int = RATIO, block: int = BLOCK) -> DataFr
         .select("word", F.size("near").cast("long").alias("n_near"), F.array_min("near").alias("best"))
     )
     fits = -F.col("best.less") >= ratio * F.col("n")
-    judged = words.join(near, "word", "left").select(
+    # Written words take far less than their rows do, so a table of them is never broadcast by its size.
+    judged = words.join(near.hint("merge"), "word", "left").select(
         "word",
         F.when(fits, F.col("best.near")).alias("form"),
         "n",
@@ -352,6 +353,6 @@ def variants(words: DataFrame, ratio: int = RATIO, block: int = BLOCK) -> DataFr
     )
     judged = stored(judged, "judged")
     ends = roots(judged.filter("form is not null").select("word", "form"))
-    return judged.join(ends, "word", "left").select(
+    return judged.join(ends.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

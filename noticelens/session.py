@@ -127,7 +127,8 @@ def lookup(
     salt = free_name("_salt", df, table)
     salted = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rows = df.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    return rows.join(salted, [*on, salt], how).drop(salt)
+    # The planner knows the size of the file only, not that of the repeated rows.
+    return rows.join(salted.hint("merge"), [*on, salt], how).drop(salt)
 
 
 def free_name(name: str, *frames: DataFrame) -> str:

@@ -117,3 +117,11 @@ def test_every_single_error_is_found():
     found |= {*back.near([w[::-1] for w in words], [len(w) - len(w) // 2 for w in words])}
     want = {(i, j) for i, a in enumerate(words) for j, b in enumerate(words) if is_near(a, b)}
     assert {(i, j) for i, j in found if i != j} == want
+
+
+def test_no_table_of_words_is_broadcast_by_the_size_of_its_file(spark):
+    words = spark.createDataFrame([("aaaaa", 9), ("aaaab", 3), ("other", 5)], "word string, n long")
+    found = spelling.variants(words)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.word: r.root for r in found.collect()} == {"aaaaa": "aaaaa", "aaaab": "aaaaa", "other": "other"}
